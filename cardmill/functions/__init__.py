@@ -7,6 +7,7 @@ from cardmill.functions.categories import (
     credit_band,
     credit_out_of_range,
     error_flags,
+    has_error,
     risk_tier,
 )
 from cardmill.functions.money import parse_money, plain_money
@@ -24,6 +25,7 @@ __all__ = [
     "event_second",
     "event_time",
     "foreign_state",
+    "has_error",
     "is_night",
     "is_online",
     "is_weekend",

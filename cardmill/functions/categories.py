@@ -44,10 +44,13 @@ def chip_code(c: Column) -> Column:
 
 
 def error_flags(c: Column) -> dict[str, Column]:
-    """One boolean per known error (case-sensitive substring) and ``has_error``."""
-    flags = {name: F.coalesce(c.contains(text), F.lit(False)) for name, text in ERROR_TEXTS.items()}
-    flags["has_error"] = reduce(or_, list(flags.values()))
-    return flags
+    """One boolean per known error: a case-sensitive substring."""
+    return {name: F.coalesce(c.contains(text), F.lit(False)) for name, text in ERROR_TEXTS.items()}
+
+
+def has_error() -> Column:
+    """Any of the error flag columns."""
+    return reduce(or_, [F.col(name) for name in ERROR_TEXTS])
 
 
 def credit_out_of_range(score: Column) -> Column:

@@ -47,15 +47,33 @@ _WORD = r"(?i)\b(" + "|".join(CURRENCY_WORDS) + r")\b"
 
 def plain_money(c: Column) -> Column:
     """``$29,278`` to double."""
-    return F.translate(c, "$,", "").try_cast("double")
+    return _without(_without(c, "$"), ",").try_cast("double")
 
 
 def _trim(c: Column) -> Column:
     return F.btrim(c, F.lit(BLANKS))
 
 
+def _has_blank_end(c: Column) -> Column:
+    """Cheap test that saves the trim on most texts."""
+    return F.left(c, F.lit(1)).isin(*BLANKS) | F.right(c, F.lit(1)).isin(*BLANKS)
+
+
+def _has_letters(c: Column) -> Column:
+    """Cheap test that saves the word search on purely numeric text."""
+    return F.upper(c) != F.lower(c)
+
+
+def _without(c: Column, char: str) -> Column:
+    return F.replace(c, F.lit(char), F.lit(""))
+
+
+def _swapped(c: Column, char: str, other: str) -> Column:
+    return F.replace(c, F.lit(char), F.lit(other))
+
+
 def _occurrences(c: Column, char: str) -> Column:
-    return F.length(c) - F.length(F.translate(c, char, ""))
+    return F.length(c) - F.length(_without(c, char))
 
 
 def _after_last(c: Column, char: str) -> Column:
@@ -72,22 +90,36 @@ def _pick(layout: Column, values: dict[str, Column | str]) -> Column:
     return F.coalesce(*arms)
 
 
-def _layout(text: Column) -> Column:
-    dots, commas = _occurrences(text, "."), _occurrences(text, ",")
+def _layout(text: Column, dots: Column, commas: Column) -> Column:
     three = F.lit(3)
+    mixed = F.when(_after_last(text, ".") < _after_last(text, ","), "dot_decimal").otherwise("comma_decimal")
+    only_dots = (
+        F.when(dots > 1, "dots").when(_after_last(text, ".") == three, "dot_three").otherwise("dot")
+    )
+    only_commas = (
+        F.when(commas > 1, "commas").when(_after_last(text, ",") == three, "comma_three").otherwise("comma")
+    )
     return (
         F.when((dots == 0) & (commas == 0), "bare")
-        .when((dots > 0) & (commas > 0) & (_after_last(text, ".") < _after_last(text, ",")), "dot_decimal")
-        .when((dots > 0) & (commas > 0), "comma_decimal")
-        .when(dots > 1, "dots")
-        .when((dots == 1) & (_after_last(text, ".") == three), "dot_three")
-        .when(dots == 1, "dot")
-        .when(commas > 1, "commas")
-        .when(_after_last(text, ",") == three, "comma_three")
-        .otherwise("comma")
+        .when(commas == 0, only_dots)
+        .when(dots == 0, only_commas)
+        .otherwise(mixed)
     )
 
 
+def _settle(df: DataFrame, *names: str) -> DataFrame:
+    """Compute these steps here, once, and in a method of their own.
+
+    Filters stay above a generator. Without one, a later filter on the parsed
+    amount is pushed down by repeating all steps in it, once per reference; and
+    all steps share one generated method, which the JVM stops compiling when it
+    grows beyond 8 kB of byte code.
+    """
+    steps = [f"_money_{n}" for n in names]
+    others = [c for c in df.columns if c not in steps]
+    return df.select(*others, F.inline(F.array(F.struct(*steps))))
+
+
 def parse_money(df: DataFrame, source: str = "amount") -> DataFrame:
     """Replace ``source`` by ``amount_raw`` and add the four parsed columns.
 
@@ -96,8 +128,9 @@ def parse_money(df: DataFrame, source: str = "amount") -> DataFrame:
     and is marked AMBIGUOUS; no row is dropped.
     """
     kept = [c for c in df.columns if c != source]
-    raw, text, currency, body, layout, number = (
-        F.col(f"_money_{n}") for n in ("raw", "text", "currency", "body", "layout", "number")
+    raw, text, currency, body, digits, layout, number, negative, value = (
+        F.col(f"_money_{n}")
+        for n in ("raw", "text", "currency", "body", "digits", "layout", "number", "negative", "value")
     )
 
     word = F.upper(F.regexp_extract(text, _WORD, 1))
@@ -111,25 +144,23 @@ def parse_money(df: DataFrame, source: str = "amount") -> DataFrame:
         .otherwise(text)
     )
     bracketed = body.startswith("(") & body.endswith(")")
-    negative = bracketed | body.startswith("-")
     unsigned = (
         F.when(bracketed, _trim(F.substr(body, F.lit(2), F.length(body) - 2)))
         .when(body.startswith("-"), _trim(F.substr(body, F.lit(2))))
         .otherwise(body)
     )
-    digits = F.col("_money_digits")
-    no_dots, no_commas = F.translate(digits, ".", ""), F.translate(digits, ",", "")
+    no_dots, no_commas = _without(digits, "."), _without(digits, ",")
     readable = _pick(
         layout,
         {
             "bare": digits,
             "dot_decimal": no_commas,
-            "comma_decimal": F.translate(no_dots, ",", "."),
+            "comma_decimal": _swapped(no_dots, ",", "."),
             "dots": no_dots,
             "dot": digits,
             "dot_three": F.when(currency == "VND", no_dots),
             "commas": no_commas,
-            "comma": F.translate(digits, ",", "."),
+            "comma": _swapped(digits, ",", "."),
             "comma_three": F.when(currency == "VND", no_commas),
         },
     )
@@ -138,40 +169,52 @@ def parse_money(df: DataFrame, source: str = "amount") -> DataFrame:
         F.lit("ambiguous: '"),
         digits,
         F.lit("' could be "),
-        F.translate(digits, ".,", ""),
+        _without(no_dots, ","),
         F.lit(" or "),
-        F.translate(digits, ",", "."),
+        _swapped(digits, ",", "."),
     )
     unreadable = F.concat(_pick(layout, {k: v[2] for k, v in LAYOUTS.items()}), digits)
-    value = number.try_cast(AMOUNT_TYPE)
 
-    staged = (
+    coined = (
         df.withColumnRenamed(source, "_money_raw")
-        .withColumn("_money_text", _trim(raw))
+        .withColumn("_money_text", F.when(_has_blank_end(raw), _trim(raw)).otherwise(raw))
         .withColumn(
             "_money_currency",
-            F.when(usable, F.coalesce(sign_code, F.when(word != "", word))),
+            F.when(
+                usable,
+                F.when(has_sign, sign_code).when(_has_letters(text), F.nullif(word, F.lit(""))),
+            ),
         )
         .withColumn("_money_body", F.when(usable, uncoined))
-        .withColumn("_money_negative", negative)
-        .withColumn("_money_digits", F.translate(unsigned, " \xa0", ""))
-        .withColumn("_money_layout", F.when(digits.isNotNull(), _layout(digits)))
+    )
+    measured = (
+        _settle(coined, "text", "currency", "body")
+        .withColumn("_money_negative", bracketed | body.startswith("-"))
+        .withColumn("_money_digits", _without(_without(unsigned, " "), "\xa0"))
+        .withColumns({"_money_dots": _occurrences(digits, "."), "_money_commas": _occurrences(digits, ",")})
+        .withColumn(
+            "_money_layout",
+            F.when(digits.isNotNull(), _layout(digits, F.col("_money_dots"), F.col("_money_commas"))),
+        )
         .withColumn("_money_number", readable)
         .withColumn("_money_number", F.when(number.rlike(_NUMBER), number))
+        .withColumn("_money_value", number.try_cast(AMOUNT_TYPE))
+        .withColumn("_money_amount", F.when(negative, -value).otherwise(value).cast(AMOUNT_TYPE))
+        .withColumn(
+            "_money_format",
+            F.when(undecided, F.lit("AMBIGUOUS"))
+            .when(number.isNull(), F.lit("INVALID"))
+            .otherwise(_pick(layout, {k: v[0] for k, v in LAYOUTS.items()})),
+        )
     )
-    # A later filter on the result would be pushed down by repeating all of the
-    # above inside it, once per reference. Filters stay above a generator.
-    steps = ("text", "currency", "negative", "digits", "layout", "number")
-    staged = staged.select(*kept, raw, F.inline(F.array(F.struct(*(f"_money_{n}" for n in steps)))))
-    return staged.select(
+    helpers = [f"_money_{n}" for n in ("body", "negative", "dots", "commas", "value")]
+    settled = _settle(measured.drop(*helpers), "amount", "format", "digits", "layout", "number")
+    return settled.select(
         *kept,
         raw.alias("amount_raw"),
-        F.when(F.col("_money_negative"), -value).otherwise(value).cast(AMOUNT_TYPE).alias("amount"),
+        F.col("_money_amount").alias("amount"),
         currency.alias("amount_currency"),
-        F.when(undecided, F.lit("AMBIGUOUS"))
-        .when(number.isNull(), F.lit("INVALID"))
-        .otherwise(_pick(layout, {k: v[0] for k, v in LAYOUTS.items()}))
-        .alias("amount_format"),
+        F.col("_money_format").alias("amount_format"),
         F.when(raw.isNull(), F.lit("null input"))
         .when(~usable, F.lit("empty or placeholder"))
         .when(undecided, two_ways)

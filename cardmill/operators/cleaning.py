@@ -44,7 +44,9 @@ def mark_place(df: DataFrame) -> DataFrame:
 
 
 def mark_errors(df: DataFrame) -> DataFrame:
-    return df.withColumns(fn.error_flags(F.col("errors"))).drop("errors")
+    """Error text to one flag per error, and ``has_error``."""
+    flagged = df.withColumns(fn.error_flags(F.col("errors"))).drop("errors")
+    return flagged.withColumn("has_error", fn.has_error())
 
 
 def mark_refund(df: DataFrame) -> DataFrame:
@@ -80,12 +82,11 @@ def clean_transactions(df: DataFrame, tiebreak: Sequence[Column] | None = None)
     the key and the load time, so no copy is parsed in vain.
     """
     latest = latest_where_keyed(df, "id", ["_loaded_at"], tiebreak)
+    parsed = fn.parse_money(type_transactions(latest).transform(mark_errors))
     cleaned = (
-        fn.parse_money(type_transactions(latest))
-        .transform(mark_refund)
+        parsed.transform(mark_refund)
         .transform(mark_place)
         .withColumn("use_chip", fn.chip_code(F.col("use_chip_raw")))
-        .transform(mark_errors)
         .transform(mark_valid)
     )
     return add_event_day(cleaned)

@@ -75,8 +75,7 @@ def chip_encode(spark: SparkSession, folder: str) -> DataFrame:
 
 @query(f"SELECT id, {oracle.ERROR_FLAGS} FROM q_raw_txn")
 def error_flags(spark: SparkSession, folder: str) -> DataFrame:
-    flags = fn.error_flags(F.col("errors"))
-    return tables.raw_transactions(spark, folder).select("id", *(c.alias(name) for name, c in flags.items()))
+    return ops.mark_errors(tables.raw_transactions(spark, folder).select("id", "errors"))
 
 
 _ONLINE = "merchant_state IS NULL AND upper(merchant_city) = 'ONLINE'"

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from cardmill.operators import dims, features, marts
 from cardmill.queries import inputs, oracle, tables
 from cardmill.queries.registry import query
+from cardmill.session import materialize
 
 _DOUBLE_AMOUNT = "* REPLACE (CAST(amount AS DOUBLE) AS amount)"
 _FACT = f"SELECT {', '.join(marts.FACT_COLUMNS)} FROM (SELECT {_DOUBLE_AMOUNT} FROM q_valid_txn)"
@@ -77,13 +78,13 @@ FROM q_valid_txn t LEFT JOIN q_dim3 u ON t.user_id = u.user_id AND u.is_current
 
 @query(_MART)
 def fraud_mart(spark: SparkSession, folder: str) -> DataFrame:
-    """Raw rows to mart in one plan."""
-    valid = tables.enriched_transactions(spark, folder).filter("is_valid")
+    """Raw rows to mart. Staged rows and merchants are stored first, as in the warehouse job."""
+    valid = materialize(tables.enriched_transactions(spark, folder).filter("is_valid"), "staged")
     return marts.fraud_mart(
         marts.fact_transactions(valid),
         _merged_users(spark, folder),
         features.fraud_features(valid),
-        dims.merchant_dimension(valid),
+        materialize(dims.merchant_dimension(valid), "merchants"),
     )
 
 
