@@ -61,6 +61,15 @@ def scratch_path(spark: SparkSession, label: str) -> str:
     return f"{scratch_root(spark)}/{label}-{uuid.uuid4().hex}"
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """Deal out the rows of a source that has fewer splits than the session has cores.
+
+    A source with enough splits, as any large one, is returned unchanged.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+
+
 def materialize(df: DataFrame, label: str) -> DataFrame:
     """Write ``df`` to the scratch folder and read it back: fixed rows, no lineage."""
     path = scratch_path(df.sparkSession, label)
