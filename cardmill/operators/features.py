@@ -148,11 +148,17 @@ def daily_features(
     return between_days(fraud_features(window, opening, hot_rows), target, target)
 
 
-def amounts_before(txns: DataFrame, target: date) -> DataFrame:
+def daily_amounts(txns: DataFrame) -> DataFrame:
+    """Amount total and count per user and day: the state from which a day's opening totals are read."""
+    return txns.groupBy("user_id", "year", "month", "day").agg(
+        F.sum("amount").alias("amount_sum"), F.count("amount").alias("amount_count")
+    )
+
+
+def amounts_before(daily: DataFrame, target: date) -> DataFrame:
     """Each user's amount total and count before the lookback of ``target`` starts."""
-    number = day_number(F.col("year"), F.col("month"), F.col("day"))
     start = target - timedelta(days=LOOKBACK_DAYS)
-    earlier = txns.filter(number < start.year * 10_000 + start.month * 100 + start.day)
+    earlier = between_days(daily, date.min, start - timedelta(days=1))
     return earlier.groupBy("user_id").agg(
-        F.sum("amount").alias("amount_sum"), F.count("amount").alias("amount_count")
+        F.sum("amount_sum").alias("amount_sum"), F.sum("amount_count").alias("amount_count")
     )

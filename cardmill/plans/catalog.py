@@ -6,7 +6,7 @@ from pyspark.sql import SparkSession
 
 from cardmill.plans.layout import Lake
 from cardmill.schemas import PARTITIONING, STAGING
-from cardmill.sinks import files
+from cardmill import files
 
 # Database, table, contract and layer directory.
 TABLES = (

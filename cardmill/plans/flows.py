@@ -9,6 +9,7 @@ from pyspark.sql import SparkSession
 from cardmill.operators import quality
 from cardmill.plans import staging, warehouse
 from cardmill.plans.layout import Lake
+from cardmill.session import clear_scratch
 from cardmill.sources import read_day, read_table
 
 
@@ -20,11 +21,13 @@ def run_backfill(spark: SparkSession, lake: Lake, as_of: datetime) -> dict:
         "cards": staging.clean_cards(spark, lake, as_of.date()),
         "transactions": staging.clean_transactions_all(spark, lake),
         "enriched": staging.enrich_transactions_all(spark, lake),
+        "amounts": warehouse.build_amounts(spark, lake),
         "features": warehouse.build_features_all(spark, lake),
         "dim_users": warehouse.build_dim_users(spark, lake, as_of),
         "dim_cards": warehouse.build_dim_cards(spark, lake),
     }
     result["marts"] = warehouse.build_marts(spark, lake)
+    clear_scratch(spark)
     _gate_staging(spark, lake)
     return result
 
@@ -40,11 +43,13 @@ def run_day(spark: SparkSession, lake: Lake, day: date, as_of: datetime) -> dict
         "cards": staging.clean_cards(spark, lake, as_of.date()),
         "transactions": staging.clean_transactions_day(spark, lake, day),
         "enriched": staging.enrich_transactions_day(spark, lake, day),
+        "amounts": warehouse.build_amounts(spark, lake, day),
         "features": warehouse.build_features_day(spark, lake, day),
         "dim_users": warehouse.build_dim_users(spark, lake, as_of),
         "dim_cards": warehouse.build_dim_cards(spark, lake),
     }
     result["marts"] = warehouse.build_marts(spark, lake)
+    clear_scratch(spark)
     _gate_staging(spark, lake)
     return result
 

@@ -11,7 +11,7 @@ from cardmill.operators.dedup import latest_per_key
 from cardmill.plans.layout import Lake
 from cardmill.schemas import PARTITIONING, STAGING
 from cardmill.sinks import overwrite_partitions, replace_table
-from cardmill.sources import read_days, read_table, read_table_if_present
+from cardmill.sources import read_table, read_table_if_present
 
 _DAY = PARTITIONING["features"]
 
@@ -20,19 +20,30 @@ def _valid(spark: SparkSession, lake: Lake) -> DataFrame:
     return read_table(spark, lake.staging("transactions")).filter("is_valid")
 
 
-def build_features_day(spark: SparkSession, lake: Lake, day: date, lifetime: bool = True) -> int:
-    """Features of one day. ``lifetime`` averages over the whole history instead of the lookback."""
+def build_amounts(spark: SparkSession, lake: Lake, day: date | None = None) -> int:
+    """Amount totals per user and day, for one day or for all."""
     txns = _valid(spark, lake)
-    opening = features.amounts_before(txns, day) if lifetime else None
-    return overwrite_partitions(
-        features.daily_features(txns, day, opening), lake.warehouse("feat_fraud_features"), _DAY
-    )
+    if day is not None:
+        txns = features.between_days(txns, day, day)
+    return overwrite_partitions(features.daily_amounts(txns), lake.warehouse("user_daily_amounts"), _DAY)
+
+
+def build_features_day(spark: SparkSession, lake: Lake, day: date, lifetime: bool = True) -> int:
+    """Features of one day.
+
+    ``lifetime`` averages over the user's whole history, read from the stored
+    daily totals, instead of over the lookback.
+    """
+    opening = None
+    if lifetime:
+        opening = features.amounts_before(read_table(spark, lake.warehouse("user_daily_amounts")), day)
+    daily = features.daily_features(_valid(spark, lake), day, opening)
+    return overwrite_partitions(daily, lake.warehouse("feat_fraud_features"), _DAY)
 
 
 def build_features_all(spark: SparkSession, lake: Lake) -> int:
-    return overwrite_partitions(
-        features.fraud_features(_valid(spark, lake)), lake.warehouse("feat_fraud_features"), _DAY
-    )
+    built = features.fraud_features(_valid(spark, lake))
+    return overwrite_partitions(built, lake.warehouse("feat_fraud_features"), _DAY)
 
 
 def _user_snapshot(spark: SparkSession, lake: Lake) -> DataFrame:

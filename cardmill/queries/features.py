@@ -73,7 +73,7 @@ def daily_features_lookback(spark: SparkSession, folder: str) -> DataFrame:
 def daily_features_lifetime(spark: SparkSession, folder: str) -> DataFrame:
     """One day, with the average over the user's whole history carried in as totals."""
     txns = tables.event_transactions(spark, folder)
-    return ops.daily_features(txns, TARGET, ops.amounts_before(txns, TARGET))
+    return ops.daily_features(txns, TARGET, ops.amounts_before(ops.daily_amounts(txns), TARGET))
 
 
 @query(

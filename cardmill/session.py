@@ -7,6 +7,8 @@ import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
+from cardmill import files
+
 # Settings that can be changed on a running session. Sizes and executor shape
 # belong to the deployment, so none of them is set here.
 SQL_SETTINGS = {
@@ -20,6 +22,7 @@ SQL_SETTINGS = {
 }
 
 _SCRATCH_ROOTS: dict[str, str] = {}
+_SCRATCH_TABLES: list[str] = []
 
 
 def build_session(app_name: str = "cardmill", master: str | None = None, **conf: str) -> SparkSession:
@@ -58,7 +61,17 @@ def scratch_root(spark: SparkSession) -> str:
 
 def scratch_path(spark: SparkSession, label: str) -> str:
     """A new, unused path below the scratch folder."""
-    return f"{scratch_root(spark)}/{label}-{uuid.uuid4().hex}"
+    path = f"{scratch_root(spark)}/{label}-{uuid.uuid4().hex}"
+    _SCRATCH_TABLES.append(path)
+    return path
+
+
+def clear_scratch(spark: SparkSession) -> int:
+    """Delete the intermediate tables of this process. DataFrames that read them end with it."""
+    removed = 0
+    while _SCRATCH_TABLES:
+        removed += files.delete(spark, _SCRATCH_TABLES.pop())
+    return removed
 
 
 def spread(df: DataFrame) -> DataFrame:

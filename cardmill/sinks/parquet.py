@@ -8,7 +8,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
-from cardmill.sinks import files
+from cardmill import files
 
 
 def _counted(df: DataFrame) -> tuple[DataFrame, Observation]:

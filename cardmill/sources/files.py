@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from cardmill.sinks import files
+from cardmill import files
 
 # A JSON object is parsed as one text only up to this size.
 MAX_JSON_BYTES = 64 * 1024 * 1024

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.types import StructType
 
 from cardmill.operators.features import between_days
-from cardmill.sinks import files
+from cardmill import files
 
 
 def read_table(spark: SparkSession, path: str, schema: StructType | None = None) -> DataFrame:

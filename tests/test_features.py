@@ -93,9 +93,10 @@ def test_daily_equals_full_when_history_is_carried(spark):
         "'b' as _batch_id",
     )
     target = datetime(2024, 1, 15).date()
+    opening = features.amounts_before(features.daily_amounts(df), target)
     full = features.fraud_features(df).filter("day = 15")
-    daily = features.daily_features(df, target, features.amounts_before(df, target))
-    split = features.daily_features(df, target, features.amounts_before(df, target), hot_rows=5)
+    daily = features.daily_features(df, target, opening)
+    split = features.daily_features(df, target, opening, hot_rows=5)
     expected = sorted(map(str, full.collect()))
     assert expected and sorted(map(str, daily.collect())) == expected
     assert sorted(map(str, split.collect())) == expected
