@@ -5,9 +5,9 @@ hour, one day, seven days; bounds and equal times included) and the ratio of its
 amount to the user's running average.
 
 A user with a bounded number of rows is handled by window functions over one
-shuffle. A hot user is not: its rows are first summed per second, so a trailing
-window sees at most one row per second of two weeks, and its running totals are
-computed over ranges (see ``skew``). Both ways give the same result.
+shuffle. A hot user is not: its rows are first summed per second, trailing values
+are running sums over blocks of the clock, and running totals are computed over
+ranges (see ``skew``). Both ways give the same result.
 """
 
 from __future__ import annotations
@@ -41,7 +41,10 @@ def _trailing(window, count: Column, total: Column) -> dict[str, Column]:
 
 
 def _bounded_users(txns: DataFrame) -> DataFrame:
-    """One shuffle and one sort: the row order also serves the windows over seconds."""
+    """One shuffle and one sort: the row order also serves the windows over seconds.
+
+    A moving frame costs its length per row, which is why only users with few rows come here.
+    """
     user = Window.partitionBy("user_id")
     rows = user.orderBy(*_ROW_ORDER).rowsBetween(Window.unboundedPreceding, 0)
     running = txns.withColumns(
@@ -52,20 +55,48 @@ def _bounded_users(txns: DataFrame) -> DataFrame:
 
 
 def _velocity_per_second(txns: DataFrame) -> DataFrame:
-    """Trailing counts and sums per (user, second).
+    """Trailing counts and sums per (user, second), in time that grows with the seconds only.
+
+    Every second enters once and leaves each trailing window again: one row adds
+    its transactions at its own time, one row per window takes them away when the
+    window has passed. Plain running sums over these rows are the trailing values;
+    a moving frame would add up its whole content for every row.
 
-    A second belongs to a seven-day block of the clock and is also sent to the
-    next block as context, so a task needs no more than two blocks of seconds
-    for one user, however many transactions the user has.
+    A second belongs to a seven-day block of the clock and also enters the next
+    block, so a task needs no more than two blocks of seconds for one user,
+    however many transactions the user has.
     """
     seconds = txns.groupBy("user_id", "_second").agg(
-        F.count("transaction_id").alias("_n"), F.sum("amount").alias("_amount")
+        F.count("transaction_id").alias("_rows"),
+        F.count("amount").alias("_amounts"),
+        F.coalesce(F.sum("amount"), F.lit(0).cast("decimal(28,2)")).alias("_total"),
+    )
+    lengths = sorted({*COUNT_FRAMES.values(), *SUM_FRAMES.values()})
+    second, block, leaves = F.col("_second"), F.col("_block"), F.col("_leaves")
+    own = F.floor(second / F.lit(WEEK)).cast("bigint")
+    moves = (
+        seconds.withColumn("_block", F.explode(F.array(own, own + 1)))
+        # 0 enters; a length leaves the windows of that length.
+        .withColumn("_leaves", F.explode(F.array(F.lit(0), *map(F.lit, lengths))))
+        .withColumn("_at", F.when(leaves == 0, second).otherwise(second + leaves + 1))
+        .filter(F.col("_at") < (block + 1) * WEEK)
+    )
+    window = Window.partitionBy("user_id", "_block").orderBy("_at")
+
+    def present(name: str, length: int) -> Column:
+        value = F.col(name)
+        return F.sum(F.when(leaves == 0, value).when(leaves == length, -value)).over(window)
+
+    trailing = {name: present("_rows", s) for name, s in COUNT_FRAMES.items()}
+    trailing |= {name: present("_total", s) for name, s in SUM_FRAMES.items()}
+    trailing |= {f"_known_{name}": present("_amounts", s) for name, s in SUM_FRAMES.items()}
+    entered = moves.withColumns(trailing).filter((leaves == 0) & (block == own))
+    return entered.select(
+        "user_id",
+        "_second",
+        *COUNT_FRAMES,
+        *(F.when(F.col(f"_known_{name}") > 0, F.col(name)).alias(name) for name in SUM_FRAMES),
     )
-    own = F.floor(F.col("_second") / F.lit(WEEK)).cast("bigint")
-    spread = seconds.withColumn("_block", F.explode(F.array(own, own + 1)))
-    window = Window.partitionBy("user_id", "_block").orderBy("_second")
-    trailing = spread.withColumns(_trailing(window, F.col("_n"), F.col("_amount")))
-    return trailing.filter(F.col("_block") == own).select("user_id", "_second", *COUNT_FRAMES, *SUM_FRAMES)
 
 
 def _hot_users(txns: DataFrame, rows: int, range_rows: int) -> DataFrame:

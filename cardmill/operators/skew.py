@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from cardmill.session import materialize
 
 # A key above this many rows is split. At most rows/HOT_ROWS keys can be hot.
-HOT_ROWS = 2_000_000
+HOT_ROWS = 20_000
 
 # Rows of one range when a hot key is split.
 RANGE_ROWS = 8_000_000
