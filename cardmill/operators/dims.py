@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
-from datetime import datetime
+from datetime import datetime, timezone
 from functools import reduce
 from operator import or_
 
@@ -62,7 +62,7 @@ def type2_merge(
     touched and never shuffled. One full outer join on the key yields both rows
     of a change.
     """
-    as_of = as_of or datetime.utcnow()
+    as_of = as_of or datetime.now(timezone.utc).replace(tzinfo=None)
     columns = [*snapshot.columns, *(c for c in dim.columns if c not in snapshot.columns)]
     complete = dim.select(*(_or_null(dim, snapshot, c) for c in columns))
     fresh = first_versions(snapshot, key, as_of)
