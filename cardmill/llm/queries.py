@@ -2,13 +2,17 @@
 
 from __future__ import annotations
 
-from cardmill.llm import minhash, quality
+from cardmill.llm import decontaminate, lines, minhash, pieces, quality
 
 QUERIES = {
+    "op1_lines": lines.op1_lines,
+    "op3_pieces": pieces.op3_pieces,
     "op7_minhash": minhash.op7_minhash,
+    "op9_decontaminate": decontaminate.op9_decontaminate,
     "op10_quality": quality.op10_quality,
 }
 
 ORACLES = {
+    "op1_lines": lines.SQL,
     "op7_minhash": minhash.SQL,
 }

@@ -10,7 +10,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cardmill.llm import minhash, quality
+from cardmill.llm import decontaminate, lines, minhash, pieces, quality
 from cardmill.llm.tables import read, ready
 from cardmill.session import materialize
 
@@ -21,6 +21,15 @@ def keep_good(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return quality.classify(docs, read(spark, sf_dir, "labels")).filter("predicted = 1").select(*docs.columns)
 
 
+def drop_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents without later copies of repeated runs of lines; those that lose all their lines go."""
+    ready(spark)
+    counts = ("__lines", "__removed", "__runs_removed")
+    found = lines.remove_repeated_lines(docs, names=counts).filter("__removed = 0 or __removed < __lines")
+    length = F.when(F.col("__removed") > 0, F.length("text").cast("long")).otherwise(F.col("n_chars"))
+    return found.withColumn("n_chars", length).select(*docs.columns)
+
+
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near copies (similarity 0.8 or more), the one with the smallest id."""
     ready(spark)
@@ -28,9 +37,28 @@ def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
     return docs.join(others, F.col("doc_id") == F.col("__id"), "left_anti")
 
 
+def drop_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that hold no benchmark item."""
+    ready(spark)
+    found = decontaminate.leaks(docs, read(spark, sf_dir, "benchmark")).select(F.col("doc_id").alias("__id")).distinct()
+    return docs.join(found, F.col("doc_id") == F.col("__id"), "left_anti")
+
+
+def to_pieces(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Ids of a sampled segmentation of each text, and whether they decode to it."""
+    ready(spark)
+    model = pieces.model_bytes(spark)
+    found = pieces.decode(pieces.encode(docs, model), model)
+    lossless = F.col("decoded").eqNullSafe(F.col("text")).alias("lossless")
+    return found.select("doc_id", "lang", "source", "n_chars", F.size("pieces").alias("n_pieces"), "pieces", lossless)
+
+
 STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] = [
     ("quality_classifier", keep_good),
+    ("line_dedup", drop_repeated_lines),
     ("minhash_near_dedup", drop_near_copies),
+    ("benchmark_decontamination", drop_leaks),
+    ("sentencepiece", to_pieces),
 ]
 
 #: Classifier votes, MinHash candidates and sampled pieces cannot be said in SQL; tests hold the rows against brute force.
