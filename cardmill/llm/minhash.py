@@ -7,7 +7,8 @@ Documents with equal sets form a class; classes are compared, so that copies cos
    most probability ``miss``.
 2. Each bucket compares its members with one hub, the member with the most company over all buckets. That is linear in
    the members, and joins the copies of one original to it. Members that end up in different components although they
-   share a bucket are then compared pair by pair, so no link between components is lost.
+   share a bucket are then compared pair by pair, block against block inside the tasks, so no link between components
+   is lost; only pairs that pass step 3 leave a task.
 3. A candidate pair is compared signature batch by signature batch; it is dropped as soon as the posterior probability
    (uniform prior) that its similarity reaches the threshold is below ``miss`` (Satuluri and Parthasarathy, 2012).
 4. Every survivor is confirmed on the full shingle sets.
@@ -35,6 +36,8 @@ WORDS = 5
 ROWS = 7
 MISS = 1e-6
 BATCH = 28  # signature values compared at a time
+VALUES = 504  # signature values of 8 bits kept for comparison; the bands use the first ones in full
+BLOCK = 1024  # members of a bucket compared at a time
 
 
 def bands_for(threshold: float, rows: int = ROWS, miss: float = MISS) -> int:
@@ -44,12 +47,13 @@ def bands_for(threshold: float, rows: int = ROWS, miss: float = MISS) -> int:
 def least_matches(threshold: float, total: int, batch: int = BATCH, miss: float = MISS) -> dict[int, int]:
     """For each number of compared values, the fewest matches with P(similarity >= threshold | matches) >= miss."""
     grid = (np.arange(200_000) + 0.5) / 200_000
+    chance = grid + (1 - grid) / 256  # of equal values, which have 8 bits
     out = {}
     for n in [*range(batch, total, batch), total]:
         low, high = 0, n
         while low < high:
             m = (low + high) // 2
-            log = m * np.log(grid) + (n - m) * np.log1p(-grid)
+            log = m * np.log(chance) + (n - m) * np.log1p(-chance)
             density = np.exp(log - log.max())
             if density[grid >= threshold].sum() / density.sum() >= miss:
                 high = m
@@ -73,7 +77,7 @@ def _minima(values: np.ndarray, starts: np.ndarray, count: int) -> np.ndarray:
 
 
 def describe(docs: DataFrame, key: str, text_column: str, rows: int, bands: int) -> DataFrame:
-    """key, n_shingles, 128-bit hash of the shingle set, band keys, signature (16 bits a value)."""
+    """key, n_shingles, 128-bit hash of the shingle set, band keys, signature (8 bits a value)."""
 
     def run(batches):
         for batch in batches:
@@ -88,12 +92,12 @@ def describe(docs: DataFrame, key: str, text_column: str, rows: int, bands: int)
                     starts = (np.cumsum(sizes) - sizes)[full]
                     high[full] = np.add.reduceat(tx.mix(values), starts)
                     low[full] = np.add.reduceat(tx.mix(values ^ np.uint64(0xA5A5A5A5A5A5A5A5)), starts)
-                    minima = _minima(values, starts, rows * bands)
+                    minima = _minima(values, starts, max(rows * bands, VALUES))
                     banded = np.zeros((len(full), bands), dtype=np.uint64)
                     for r in range(rows):
-                        banded = tx.mix(banded * np.uint64(31) + minima[:, r::rows]) if r else minima[:, ::rows].astype(np.uint64)
+                        banded = tx.mix(banded * np.uint64(31) + minima[:, r : rows * bands : rows])
                     banded = tx.mix(banded + np.arange(1, bands + 1, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15)).view(np.int64)
-                    short = minima.astype(np.uint16)
+                    short = (minima[:, :VALUES] >> np.uint32(11)).astype(np.uint8)
                     for i, row in enumerate(full):
                         keys[row], signatures[row] = banded[i], short[i].tobytes()
                 yield pa.RecordBatch.from_arrays(
@@ -123,26 +127,70 @@ def sets(docs: DataFrame, key: str, text_column: str) -> DataFrame:
     return plain.mapInArrow(run, "id long, shingles array<long>")
 
 
-def similar(pairs: DataFrame, described: DataFrame, docs: DataFrame, key: str, text_column: str, threshold: float, total: int) -> DataFrame:
-    """The pairs (a, b) whose similarity reaches the threshold, confirmed on full sets."""
-    needed = least_matches(threshold, total)
+def _passing(left: np.ndarray, right: np.ndarray, needed: dict[int, int], at: np.ndarray, to: np.ndarray) -> np.ndarray:
+    """Which of the pairs (left[at], right[to]) pass the sequential test."""
+    alive, matches, seen = np.arange(len(at)), np.zeros(len(at), dtype=np.int64), 0
+    for upto, least in needed.items():
+        matches = matches + (left[at[alive], seen:upto] == right[to[alive], seen:upto]).sum(axis=1)
+        keep = matches >= least
+        alive, matches, seen = alive[keep], matches[keep], upto
+    return alive
+
+
+def _signatures(column) -> np.ndarray:
+    return np.frombuffer(b"".join(column.to_pylist()), dtype=np.uint8).reshape(len(column), VALUES)
+
+
+def across_components(rest: DataFrame, described: DataFrame, threshold: float) -> DataFrame:
+    """Pairs of different components in the same bucket that pass the sequential test.
+
+    ``rest`` has bucket, id, component, size. A large bucket is cut into blocks, and each pair of blocks is a group of
+    its own, so no task holds more than two blocks of one bucket.
+    """
+    needed = least_matches(threshold, VALUES)
+    count = F.ceil(F.col("size") / BLOCK).cast("int")
+    placed = rest.withColumn("own", F.pmod(F.xxhash64("id"), count).cast("int")).withColumn("other", F.explode(F.sequence(F.lit(0), count - 1)))
+    placed = placed.withColumns({"x": F.least("own", "other"), "y": F.greatest("own", "other")})
+    signature = described.filter("n > 0").select("id", "signature").dropDuplicates(["id", "signature"])
+    rows = placed.join(signature, "id").select("bucket", "x", "y", "own", "id", "component", "signature")
+    rows = rows.repartition("bucket", "x", "y").sortWithinPartitions("bucket", "x", "y")
+
+    def run(batches):
+        for _, table in tx.groups(batches, 3):
+            own, ids, component = (table.column(i).to_numpy() for i in (3, 4, 5))
+            x, y = table.column(1)[0].as_py(), table.column(2)[0].as_py()
+            signatures = _signatures(table.column(6))
+            left, right = np.flatnonzero(own == x), np.flatnonzero(own == y)
+            for a in range(0, len(left), 64):
+                p, q = np.repeat(left[a : a + 64], len(right)), np.tile(right, len(left[a : a + 64]))
+                apart = (component[p] != component[q]) & ((ids[p] < ids[q]) | (x != y))
+                p, q = p[apart], q[apart]
+                found = _passing(signatures, signatures, needed, p, q)
+                low, high = np.minimum(ids[p[found]], ids[q[found]]), np.maximum(ids[p[found]], ids[q[found]])
+                yield pa.RecordBatch.from_arrays([pa.array(low), pa.array(high)], ["a", "b"])
+
+    return rows.mapInArrow(run, "a long, b long").filter("a < b").distinct()
+
+
+def passing(pairs: DataFrame, described: DataFrame, threshold: float) -> DataFrame:
+    """The pairs (a, b) that pass the sequential test."""
+    needed = least_matches(threshold, VALUES)
 
     def prune(batches):
         for batch in batches:
-            n = batch.num_rows
-            if not n:
-                continue
-            left, right = (np.frombuffer(b"".join(batch.column(i).to_pylist()), dtype=np.uint16).reshape(n, total) for i in (2, 3))
-            alive, matches, seen = np.arange(n), np.zeros(n, dtype=np.int64), 0
-            for at, least in needed.items():
-                matches = matches + (left[alive, seen:at] == right[alive, seen:at]).sum(axis=1)
-                keep = matches >= least
-                alive, matches, seen = alive[keep], matches[keep], at
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1)], ["a", "b"]).take(pa.array(alive))
+            every = np.arange(batch.num_rows)
+            if len(every):
+                alive = _passing(_signatures(batch.column(2)), _signatures(batch.column(3)), needed, every, every)
+                yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1)], ["a", "b"]).take(pa.array(alive))
 
     signature = described.filter("n > 0").select("id", "signature")
     candidates = pairs.join(signature.toDF("a", "x"), "a").join(signature.toDF("b", "y"), "b").select("a", "b", "x", "y")
-    survivors = materialize(candidates.mapInArrow(prune, "a long, b long").distinct(), "survivors")
+    return candidates.mapInArrow(prune, "a long, b long").distinct()
+
+
+def confirmed(survivors: DataFrame, docs: DataFrame, key: str, text_column: str, threshold: float) -> DataFrame:
+    """The pairs (a, b) whose similarity reaches the threshold on full sets."""
+    survivors = materialize(survivors, "survivors")
     members = survivors.select("a").union(survivors.select("b")).distinct().toDF("__id")
     wanted = docs.join(members, F.col(key).cast("long") == F.col("__id"), "left_semi")
     full = materialize(sets(wanted, key, text_column), "shingle-sets")
@@ -170,14 +218,13 @@ def near_duplicates(docs: DataFrame, threshold: float, key="doc_id", text_column
     hubs = hubs.select("bucket", (-F.col("hub.col2")).alias("hub"))
     pair = F.least("id", "hub").alias("a"), F.greatest("id", "hub").alias("b")
     stars = materialize(members.join(hubs, "bucket").filter("id <> hub").select(*pair).distinct(), "stars")
-    links = similar(stars, described, docs, key, text_column, threshold, rows * bands)
+    links = confirmed(passing(stars, described, threshold), docs, key, text_column, threshold)
 
-    placed = members.join(stored_components(links).toDF("id", "component"), "id", "left").select("bucket", "id", F.coalesce("component", "id").alias("component"))
+    placed = members.join(stored_components(links).toDF("id", "component"), "id", "left").select("bucket", "size", "id", F.coalesce("component", "id").alias("component"))
     mixed = placed.groupBy("bucket").agg(F.min("component").alias("p"), F.max("component").alias("q")).filter("p < q").select("bucket")
     rest = materialize(placed.join(mixed, "bucket"), "mixed-buckets")
-    across = rest.toDF("bucket", "a", "p").join(rest.toDF("bucket", "b", "q"), "bucket").filter("a < b and p <> q")
-    across = across.select("a", "b").distinct().join(stars, ["a", "b"], "left_anti")
-    links = links.union(similar(across, described, docs, key, text_column, threshold, rows * bands))
+    across = across_components(rest, described, threshold).join(stars, ["a", "b"], "left_anti")
+    links = links.union(confirmed(across, docs, key, text_column, threshold))
 
     found = stored_components(links).toDF("rep", "component")
     rows_ = described.select("id", "n", "high", "low").join(copies, ["high", "low", "n"], "left")

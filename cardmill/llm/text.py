@@ -136,3 +136,26 @@ def distinct(values: np.ndarray, rows: np.ndarray):
     keep = np.ones(len(values), dtype=bool)
     keep[1:] = (values[1:] != values[:-1]) | (rows[1:] != rows[:-1])
     return values[keep], rows[keep]
+
+
+def groups(batches, keys: int):
+    """(key values, table) for each run of rows with equal first ``keys`` columns; a run may span batches."""
+    held, now = [], None
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        columns = [batch.column(i) for i in range(keys)]
+        change = np.zeros(batch.num_rows, dtype=bool)
+        for c in columns:
+            values = c.to_numpy(zero_copy_only=False)
+            change[1:] |= values[1:] != values[:-1]
+        cuts = [0, *np.flatnonzero(change).tolist(), batch.num_rows]
+        for a, b in zip(cuts[:-1], cuts[1:]):
+            key = tuple(c[a].as_py() for c in columns)
+            if held and key != now:
+                yield now, pa.Table.from_batches(held).combine_chunks()
+                held = []
+            now = key
+            held.append(batch.slice(a, b - a))
+    if held:
+        yield now, pa.Table.from_batches(held).combine_chunks()
