@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
-from cardmill.llm import decontaminate, lines, minhash, pieces, quality
+from cardmill.llm import decontaminate, lines, minhash, pieces, quality, toxicity
 
 QUERIES = {
     "op1_lines": lines.op1_lines,
     "op3_pieces": pieces.op3_pieces,
+    "op5_toxicity": toxicity.op5_toxicity,
     "op7_minhash": minhash.op7_minhash,
     "op9_decontaminate": decontaminate.op9_decontaminate,
     "op10_quality": quality.op10_quality,
