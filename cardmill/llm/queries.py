@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
-from cardmill.llm import decontaminate, lines, minhash, pieces, quality, toxicity
+from cardmill.llm import decontaminate, lines, minhash, pieces, quality, substrings, toxicity
 
 QUERIES = {
     "op1_lines": lines.op1_lines,
     "op3_pieces": pieces.op3_pieces,
+    "op4_substrings": substrings.op4_substrings,
     "op5_toxicity": toxicity.op5_toxicity,
     "op7_minhash": minhash.op7_minhash,
     "op9_decontaminate": decontaminate.op9_decontaminate,
@@ -15,5 +16,6 @@ QUERIES = {
 
 ORACLES = {
     "op1_lines": lines.SQL,
+    "op4_substrings": substrings.SQL,
     "op7_minhash": minhash.SQL,
 }
