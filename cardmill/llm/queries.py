@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from cardmill.llm import decontaminate, lines, minhash, pieces, quality, substrings, toxicity
+from cardmill.llm import decontaminate, lines, minhash, pieces, quality, substrings, toxicity, vectors
 
 QUERIES = {
     "op1_lines": lines.op1_lines,
+    "op2_vectors": vectors.op2_vectors,
     "op3_pieces": pieces.op3_pieces,
     "op4_substrings": substrings.op4_substrings,
     "op5_toxicity": toxicity.op5_toxicity,
@@ -16,6 +17,7 @@ QUERIES = {
 
 ORACLES = {
     "op1_lines": lines.SQL,
+    "op2_vectors": vectors.SQL,
     "op4_substrings": substrings.SQL,
     "op7_minhash": minhash.SQL,
 }
