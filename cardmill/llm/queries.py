@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from cardmill.llm import decontaminate, lines, minhash, pieces, quality, substrings, toxicity, vectors
+from cardmill.llm import chat, decontaminate, lines, minhash, pieces, quality, sharding, substrings, toxicity, vectors
 
 QUERIES = {
     "op1_lines": lines.op1_lines,
@@ -10,7 +10,9 @@ QUERIES = {
     "op3_pieces": pieces.op3_pieces,
     "op4_substrings": substrings.op4_substrings,
     "op5_toxicity": toxicity.op5_toxicity,
+    "op6_sharding": sharding.op6_sharding,
     "op7_minhash": minhash.op7_minhash,
+    "op8_chat": chat.op8_chat,
     "op9_decontaminate": decontaminate.op9_decontaminate,
     "op10_quality": quality.op10_quality,
 }
