@@ -28,7 +28,7 @@ from cardmill.session import materialize
 
 HEAVY = 0.005
 SPLIT = 0.5
-PIECES = 8  # pieces of a cut group in one shard's share
+PIECES = 8  # pieces of a cut group for each shard it could fill
 BLOCK_GROUPS = 20_000
 OVERHEAD = 8
 
