@@ -13,8 +13,8 @@ copy stays. Repetition is judged on the input, not on what is left.
 
 Defined cases: null and empty texts have no lines and stay as they are. Rows that agree in key and text are one document
 and get the same result. A null key sorts before all others. An emptied document keeps an empty text. Ties don't exist:
-places are ordered by key, hash of the text and line number. An empty table gives an empty result. Other columns, of
-whatever name, are kept; the added ones are ``n_lines``, ``n_removed``, ``n_runs`` (or as ``names`` says).
+places are ordered by key, hash of the text and line number. An empty table gives an empty result. Other columns are
+kept; the added ones are ``n_lines``, ``n_removed``, ``n_runs`` (or as ``names`` says) and replace any of these names.
 """
 
 from __future__ import annotations
@@ -22,7 +22,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from cardmill.llm.tables import read, ready
+from cardmill.llm.tables import fresh, read, ready
 from cardmill.session import materialize
 
 MIN_LINES = 3
@@ -74,19 +74,20 @@ def remove_repeated_lines(
     keyed = docs.select(doc.alias("doc"), F.xxhash64(text_column).alias("hash"), F.col(text_column).alias("text"))
     runs = repeated_runs(keyed, min_lines, min_chars)
     runs = runs.groupBy(*PLACE).agg(F.sort_array(F.collect_list(F.struct("start", "length"))).alias("__runs"))  # of one document
-    runs = runs.select(F.col("doc").alias("__doc"), F.col("hash").alias("__hash"), "__runs")
-    joined = docs.join(runs, (doc == F.col("__doc")) & (F.xxhash64(text_column) == F.col("__hash")), "left")
+    by_doc, by_hash, found = (fresh(docs, c) for c in ("__doc", "__hash", "__runs"))
+    runs = runs.toDF(by_doc, by_hash, found)
+    joined = docs.join(runs, (doc == F.col(by_doc)) & (F.xxhash64(text_column) == F.col(by_hash)), "left")
 
     lines = F.split(text_column, "\n")
-    starts = F.concat(F.array(F.lit(0)), F.transform("__runs", lambda r: r["start"] + r["length"]))
-    ends = F.concat(F.transform("__runs", lambda r: r["start"]), F.array(F.size(lines)))
+    starts = F.concat(F.array(F.lit(0)), F.transform(found, lambda r: r["start"] + r["length"]))
+    ends = F.concat(F.transform(found, lambda r: r["start"]), F.array(F.size(lines)))
     kept = F.transform(F.arrays_zip(starts.alias("a"), ends.alias("b")), lambda g: F.slice(lines, g["a"] + 1, g["b"] - g["a"]))
-    text = F.when(F.col("__runs").isNull(), F.col(text_column)).otherwise(F.array_join(F.flatten(kept), "\n"))
+    text = F.when(F.col(found).isNull(), F.col(text_column)).otherwise(F.array_join(F.flatten(kept), "\n"))
     total = F.when(F.coalesce(F.length(text_column), F.lit(0)) == 0, F.lit(0)).otherwise(F.size(lines))
-    removed = F.coalesce(F.aggregate("__runs", F.lit(0), lambda s, r: s + r["length"]), F.lit(0))
-    count = F.coalesce(F.when(F.col("__runs").isNotNull(), F.size("__runs")), F.lit(0))
+    removed = F.coalesce(F.aggregate(found, F.lit(0), lambda s, r: s + r["length"]), F.lit(0))
+    count = F.coalesce(F.when(F.col(found).isNotNull(), F.size(found)), F.lit(0))
     return joined.select(
-        *[text.alias(c) if c == text_column else F.col(f"`{c}`") for c in docs.columns],
+        *[text.alias(c) if c == text_column else F.col(f"`{c}`") for c in docs.columns if c not in names],
         *[x.cast("long").alias(n) for x, n in zip((total, removed, count), names)],
     )
 

@@ -15,7 +15,8 @@ law, 1 / (2 + rank). ``alpha`` is the exponent of all weights: 1 samples from th
 best segmentation.
 
 Null texts have null pieces and decode to null; empty texts have none. Rows with equal keys and texts get equal pieces;
-a null key counts as 0. Other columns are kept as they are; the added ones are named by parameters.
+a null key counts as 0. Other columns are kept as they are, except that one with the name of the added column is
+replaced.
 """
 
 from __future__ import annotations
@@ -30,7 +31,7 @@ from cardmill.llm.tables import read, ready
 
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 SPACE = "▁"
-SLICE = 1 << 21
+SLICE = 1 << 19
 FILTER_BITS = 18
 _U = np.uint64
 
@@ -227,9 +228,10 @@ def piece_ids(v: Vocabulary, data: np.ndarray, offsets: np.ndarray, keys: np.nda
 
 def _with(docs: DataFrame, extra, name: str, kind: str, run) -> DataFrame:
     """``docs`` with one more column computed by ``run`` from the ``extra`` columns; clashing names do no harm."""
-    width = len(docs.columns)
-    fields = ", ".join(f"c{i} {t}" for i, (_, t) in enumerate(docs.dtypes))
-    plain = docs.select(*[F.col(f"`{c}`").alias(f"c{i}") for i, c in enumerate(docs.columns)], *extra)
+    kept_columns = docs.drop(name).columns
+    width = len(kept_columns)
+    fields = ", ".join(f"c{i} {t}" for i, (_, t) in enumerate(docs.drop(name).dtypes))
+    plain = docs.select(*[F.col(f"`{c}`").alias(f"c{i}") for i, c in enumerate(kept_columns)], *extra)
 
     def whole(batches):
         for batch in batches:
@@ -238,7 +240,7 @@ def _with(docs: DataFrame, extra, name: str, kind: str, run) -> DataFrame:
                 yield pa.RecordBatch.from_arrays([*kept, column], [*[f"c{i}" for i in range(width)], "added"])
 
     out = plain.mapInArrow(whole, f"{fields}, added {kind}")
-    return out.toDF(*docs.columns, name)
+    return out.toDF(*kept_columns, name)
 
 
 def encode(docs: DataFrame, model: bytes, key="doc_id", text_column="text", name="pieces", alpha: float = 1.0, seed: int = 0) -> DataFrame:

@@ -8,8 +8,8 @@ neighbours vote with their cosine as weight.
 
 Null and empty texts have no terms: their vector is zero, and they score the share of label 1 in the sample. Rows with
 the same ``doc_id`` are scored each for itself. Labels that are null, or belong to no document, are not learned from;
-without any label the score is 0.5. Columns other than the key and the text are ignored; ``text_column`` and ``key``
-may have any names. Ties among neighbours are broken by their place in the sample, which is sorted by hash and key.
+without any label the score is 0.5. Columns other than the key and the text are kept as they are, except that one with
+the name of an added column is replaced. Ties among neighbours are broken by their place in the sample, which is sorted by hash and key.
 """
 
 from __future__ import annotations
@@ -147,6 +147,7 @@ def vote(model: dict, counts: np.ndarray, neighbours: int = NEIGHBOURS) -> np.nd
 def score(docs: DataFrame, model: dict, text_column="text", name="score") -> DataFrame:
     """``docs`` with a score column (0 to 1) appended."""
     spark = docs.sparkSession
+    docs = docs.drop(name)
     shared = spark.sparkContext.broadcast(model)
     width = len(docs.columns)
 
@@ -163,11 +164,11 @@ def score(docs: DataFrame, model: dict, text_column="text", name="score") -> Dat
     return out.toDF(*docs.columns, name)
 
 
-def classify(docs: DataFrame, labels: DataFrame, threshold: float = 0.5, **names) -> DataFrame:
-    """``docs`` with ``score`` and ``predicted`` (1 if the score reaches the threshold)."""
+def classify(docs: DataFrame, labels: DataFrame, threshold: float = 0.5, added=("score", "predicted"), **names) -> DataFrame:
+    """``docs`` with its score and the predicted label (1 if the score reaches the threshold) added."""
     model = train(docs, labels, **names)
-    scored = score(docs, model, names.get("text_column", "text"))
-    return scored.withColumn("predicted", (F.col("score") >= threshold).cast("int"))
+    scored = score(docs, model, names.get("text_column", "text"), added[0])
+    return scored.withColumn(added[1], (F.col(added[0]) >= threshold).cast("int"))
 
 
 def op10_quality(spark, folder: str) -> DataFrame:

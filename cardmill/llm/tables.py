@@ -23,6 +23,14 @@ def ready(spark: SparkSession) -> SparkSession:
     return spark
 
 
+def fresh(df: DataFrame, name: str) -> str:
+    """A column name like ``name`` that ``df`` doesn't have."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name = f"_{name}"
+    return name
+
+
 def held_out(doc_id) -> F.Column:
     return F.coalesce(F.crc32(doc_id.cast("string").cast("binary")) % FOLDS == HELD_OUT_REMAINDER, F.lit(False))
 

@@ -11,37 +11,42 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from cardmill.llm import decontaminate, lines, minhash, pieces, quality
-from cardmill.llm.tables import read, ready
+from cardmill.llm.tables import fresh, read, ready
 from cardmill.session import materialize
 
 
+def _without(docs: DataFrame, found: DataFrame) -> DataFrame:
+    name = fresh(docs, "__id")
+    return docs.join(found.select(F.col("doc_id").alias(name)).distinct(), F.col("doc_id") == F.col(name), "left_anti")
+
+
 def keep_good(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the quality classifier accepts."""
     ready(spark)
-    return quality.classify(docs, read(spark, sf_dir, "labels")).filter("predicted = 1").select(*docs.columns)
+    added = fresh(docs, "__score"), fresh(docs, "__predicted")
+    return quality.classify(docs, read(spark, sf_dir, "labels"), added=added).filter(F.col(added[1]) == 1).select(*docs.columns)
 
 
 def drop_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without later copies of repeated runs of lines; those that lose all their lines go."""
     ready(spark)
-    counts = ("__lines", "__removed", "__runs_removed")
-    found = lines.remove_repeated_lines(docs, names=counts).filter("__removed = 0 or __removed < __lines")
-    length = F.when(F.col("__removed") > 0, F.length("text").cast("long")).otherwise(F.col("n_chars"))
+    counts = tuple(fresh(docs, c) for c in ("__lines", "__removed", "__runs_removed"))
+    total, removed = F.col(counts[0]), F.col(counts[1])
+    found = lines.remove_repeated_lines(docs, names=counts).filter((removed == 0) | (removed < total))
+    length = F.when(removed > 0, F.length("text").cast("long")).otherwise(F.col("n_chars"))
     return found.withColumn("n_chars", length).select(*docs.columns)
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near copies (similarity 0.8 or more), the one with the smallest id."""
     ready(spark)
-    others = minhash.near_duplicates(docs, 0.8).filter("not kept").select(F.col("doc_id").alias("__id")).distinct()
-    return docs.join(others, F.col("doc_id") == F.col("__id"), "left_anti")
+    return _without(docs, minhash.near_duplicates(docs, 0.8).filter("not kept"))
 
 
 def drop_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that hold no benchmark item."""
     ready(spark)
-    found = decontaminate.leaks(docs, read(spark, sf_dir, "benchmark")).select(F.col("doc_id").alias("__id")).distinct()
-    return docs.join(found, F.col("doc_id") == F.col("__id"), "left_anti")
+    return _without(docs, decontaminate.leaks(docs, read(spark, sf_dir, "benchmark")))
 
 
 def to_pieces(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
