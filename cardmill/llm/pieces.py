@@ -273,7 +273,7 @@ def decode(docs: DataFrame, model: bytes, pieces="pieces", name="decoded") -> Da
         if not loaded:
             loaded["v"] = np.array(Vocabulary(shared.value, 1.0).bytes, dtype=object)
         lists = batch.column(batch.num_columns - 1)
-        texts = [None if x is None else b"".join(loaded["v"][x.values.to_numpy()]).decode("utf-8", "replace") for x in lists]
+        texts = [b"".join(loaded["v"][x.values.to_numpy()]).decode("utf-8", "replace") if x.is_valid else None for x in lists]
         yield 0, batch.num_rows, pa.array(texts, pa.string())
 
     return _with(docs, [F.col(pieces).alias("__pieces")], name, "string", run)

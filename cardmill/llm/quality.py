@@ -167,7 +167,7 @@ def score(docs: DataFrame, model: dict, text_column="text", name="score") -> Dat
 def classify(docs: DataFrame, labels: DataFrame, threshold: float = 0.5, added=("score", "predicted"), **names) -> DataFrame:
     """``docs`` with its score and the predicted label (1 if the score reaches the threshold) added."""
     model = train(docs, labels, **names)
-    scored = score(docs, model, names.get("text_column", "text"), added[0])
+    scored = score(docs.drop(*added), model, names.get("text_column", "text"), added[0])
     return scored.withColumn(added[1], (F.col(added[0]) >= threshold).cast("int"))
 
 

@@ -25,11 +25,11 @@ from cardmill.llm.tables import held_out, read, ready
 
 SAMPLE = 8000
 VOCABULARY = 512
-LEAST_DOCUMENTS = 5
+LEAST_CHI_SQUARE = 15.0  # a word by chance reaches this once in 10 000
 NEIGHBOURS = 15
 BLOCK = 64
 LEAN = 0.8  # share of label 1 among the sample's documents with the word, both labels weighted alike
-PRIOR_WEIGHT = 0.5
+PRIOR_WEIGHT = 1.5
 
 
 def _lowered(df: DataFrame, text_column: str, *columns) -> DataFrame:
@@ -82,7 +82,8 @@ def vocabulary(chosen: DataFrame, size: int) -> np.ndarray:
     p, q = F.col("p"), F.col("n") - F.col("p")
     chi = F.pow(p * (good - q) - q * (bad - p), F.lit(2)) / ((p + q) * (bad + good - p - q) + F.lit(1e-9))
     lean = (p / bad) / (p / bad + q / good)
-    best = counted.filter((F.col("n") >= LEAST_DOCUMENTS) & (lean >= LEAN)).orderBy(chi.desc(), "word").limit(size).collect()
+    chi = chi * (bad + good) / F.lit(float(bad) * good)
+    best = counted.filter((chi >= LEAST_CHI_SQUARE) & (lean >= LEAN)).orderBy(chi.desc(), "word").limit(size).collect()
     return np.sort(np.array([r.word for r in best], dtype=np.int64).view(np.uint64))
 
 
