@@ -38,3 +38,13 @@ def has_data(spark: SparkSession, path: str) -> bool:
     if not fs.exists(target):
         return False
     return any(not status.getPath().getName().startswith(("_", ".")) for status in fs.listStatus(target))
+
+
+def children(spark: SparkSession, path: str) -> list[str]:
+    target, fs = _path(spark, path)
+    return [status.getPath().getName() for status in fs.listStatus(target)] if fs.exists(target) else []
+
+
+def mkdirs(spark: SparkSession, path: str) -> None:
+    target, fs = _path(spark, path)
+    fs.mkdirs(target)

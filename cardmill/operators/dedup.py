@@ -27,6 +27,10 @@ def latest_per_key(
 
 
 def latest_where_keyed(df: DataFrame, key: str, newest: Sequence[str], tiebreak=None) -> DataFrame:
-    """As ``latest_per_key``, but rows without a key are all kept: they are not copies of one another."""
-    keyed = latest_per_key(df.filter(F.col(key).isNotNull()), [key], newest, tiebreak)
-    return keyed.unionByName(df.filter(F.col(key).isNull()))
+    """As ``latest_per_key``, but rows without a key are all kept: they are not copies of one another.
+
+    Each of them gets a number of its own as a second key, so the source is read once and they spread over all tasks.
+    """
+    order = tiebreak if tiebreak is not None else [F.xxhash64(*df.columns).asc()]
+    lone = df.withColumn("_lone", F.when(F.col(key).isNull(), F.monotonically_increasing_id()))
+    return latest_per_key(lone, [key, "_lone"], newest, order).drop("_lone")

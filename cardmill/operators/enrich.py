@@ -12,12 +12,17 @@ from pyspark.sql import functions as F
 
 UNKNOWN = "UNKNOWN"
 
+CODE_SALTS = 64
+
 CARD_ATTRIBUTES = ("card_brand", "card_type", "card_number_masked", "card_on_dark_web")
 
 
 def add_mcc_description(txns: DataFrame, mcc: DataFrame) -> DataFrame:
     """A missing code stays NULL; a code without a description becomes UNKNOWN."""
-    joined = txns.drop("mcc_description").join(mcc.select("mcc", "mcc_description"), "mcc", "left")
+    # Few codes, very many rows each: where the code side is not broadcast, a salt spreads a code over many tasks.
+    salts = mcc.select("mcc", "mcc_description", F.explode(F.sequence(F.lit(0), F.lit(CODE_SALTS - 1))).alias("_salt"))
+    salted = txns.drop("mcc_description").withColumn("_salt", F.pmod(F.xxhash64("transaction_id"), F.lit(CODE_SALTS)).cast("int"))
+    joined = salted.join(salts, ["mcc", "_salt"], "left").drop("_salt")
     described = F.when(F.col("mcc").isNotNull(), F.coalesce("mcc_description", F.lit(UNKNOWN)))
     return joined.withColumn("mcc_description", described)
 

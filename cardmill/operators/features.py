@@ -156,15 +156,12 @@ def fraud_features(txns: DataFrame, opening: DataFrame | None = None, hot_rows:
     return conform(add_time_and_place_flags(velocity(txns, opening, hot_rows)), STAGING["features"])
 
 
-def day_number(year: Column, month: Column, day: Column) -> Column:
-    """Partition columns as one comparable number, usable for partition pruning."""
-    return year * 10_000 + month * 100 + day
-
-
 def between_days(df: DataFrame, first: date, last: date) -> DataFrame:
-    number = day_number(F.col("year"), F.col("month"), F.col("day"))
-    low, high = (d.year * 10_000 + d.month * 100 + d.day for d in (first, last))
-    return df.filter((number >= low) & (number <= high))
+    """Rows of the days from ``first`` to ``last``: whole years between them, months at the ends, days in those months."""
+    year, month, day = F.col("year"), F.col("month"), F.col("day")
+    after = (year > first.year) | (year == first.year) & ((month > first.month) | (month == first.month) & (day >= first.day))
+    before = (year < last.year) | (year == last.year) & ((month < last.month) | (month == last.month) & (day <= last.day))
+    return df.filter(after & before)
 
 
 def daily_features(

@@ -51,6 +51,36 @@ def unique_check(df: DataFrame, key: str, prefix: str = "") -> DataFrame:
     )
 
 
+def table_checks(
+    df: DataFrame,
+    key: str,
+    not_null: Sequence[str] = (),
+    accepted: Mapping[str, Sequence[str]] | None = None,
+    prefix: str = "",
+) -> DataFrame:
+    """``column_checks`` and ``unique_check`` together: failures are counted per key first, so the table is read once."""
+    failing: dict[str, Column] = {f"not_null.{c}": F.col(c).isNull() for c in not_null}
+    failing |= {f"accepted_values.{c}": ~F.col(c).isin(*v) for c, v in (accepted or {}).items()}
+    names = list(failing)
+    per_key = df.groupBy(key).agg(
+        F.count(F.lit(1)).alias("n"), *(F.count_if(failing[n]).alias(f"f{i}") for i, n in enumerate(names))
+    )
+    known = F.col(key).isNotNull()
+    total = F.coalesce(F.sum("n"), F.lit(0))
+    counted = per_key.agg(
+        total.alias("all"),
+        F.count_if(known & (F.col("n") > 1)).alias("repeated"),
+        F.coalesce(F.sum(F.when(known, F.col("n"))), F.lit(0)).alias("keyed"),
+        *(F.coalesce(F.sum(f"f{i}"), F.lit(0)).alias(f"f{i}") for i in range(len(names))),
+    )
+    found = [("has_rows", F.when(F.col("all") > 0, 0).otherwise(1).cast("bigint"), "all")]
+    found += [(name, F.col(f"f{i}"), "all") for i, name in enumerate(names)]
+    found += [(f"unique.{key}", F.col("repeated"), "keyed")]
+    rows = [F.struct(F.lit(prefix + n).alias("check"), f.alias("failures"), F.col(t).alias("total")) for n, f, t in found]
+    report = counted.select(F.inline(F.array(*rows)))
+    return report.withColumn("passed", F.col("failures") == 0)
+
+
 def null_rows(df: DataFrame, key: str) -> DataFrame:
     """The offending rows themselves: none means the check passes."""
     return df.filter(F.col(key).isNull()).select(key)
@@ -75,17 +105,15 @@ def raw_checks(transactions: DataFrame, mcc_codes: DataFrame) -> DataFrame:
 def staging_checks(transactions: DataFrame, users: DataFrame, cards: DataFrame) -> DataFrame:
     formats = ("US", "EU", "CLEAN", "VN", "AMBIGUOUS", "INVALID")
     return union_reports(
-        column_checks(
+        table_checks(
             transactions,
+            "transaction_id",
             ["transaction_id", "user_id", "amount_format", "is_valid"],
             {"amount_format": formats},
             "transactions.",
         ),
-        unique_check(transactions, "transaction_id", "transactions."),
-        column_checks(users, ["user_id"], prefix="users."),
-        unique_check(users, "user_id", "users."),
-        column_checks(cards, ["card_id"], prefix="cards."),
-        unique_check(cards, "card_id", "cards."),
+        table_checks(users, "user_id", ["user_id"], prefix="users."),
+        table_checks(cards, "card_id", ["card_id"], prefix="cards."),
     )
 
 

@@ -5,53 +5,76 @@ from __future__ import annotations
 from datetime import date, datetime
 
 from pyspark.sql import SparkSession
+from pyspark.sql import functions as F
 
 from cardmill.operators import quality
 from cardmill.plans import staging, warehouse
 from cardmill.plans.layout import Lake
 from cardmill.session import clear_scratch
-from cardmill.sources import read_day, read_table
+from cardmill.sources import read_day, read_table, read_table_if_present
 
 
-def run_backfill(spark: SparkSession, lake: Lake, as_of: datetime) -> dict:
-    """Everything after ingest, for all days at once."""
-    result = {
+def _dimensions(spark: SparkSession, lake: Lake, as_of: datetime) -> dict:
+    return {
         "mcc_codes": staging.clean_mcc_codes(spark, lake),
         "users": staging.clean_users(spark, lake),
         "cards": staging.clean_cards(spark, lake, as_of.date()),
-        "transactions": staging.clean_transactions_all(spark, lake),
-        "enriched": staging.enrich_transactions_all(spark, lake),
-        "amounts": warehouse.build_amounts(spark, lake),
-        "features": warehouse.build_features_all(spark, lake),
-        "dim_users": warehouse.build_dim_users(spark, lake, as_of),
-        "dim_cards": warehouse.build_dim_cards(spark, lake),
     }
-    result["marts"] = warehouse.build_marts(spark, lake)
-    clear_scratch(spark)
-    _gate_staging(spark, lake)
-    return result
+
+
+def run_backfill(spark: SparkSession, lake: Lake, as_of: datetime) -> dict:
+    """Everything after ingest, for all days at once. Nothing is published that fails the staging checks."""
+    try:
+        result = _dimensions(spark, lake, as_of)
+        result["transactions"] = staging.clean_transactions_all(spark, lake)
+        _gate_staging(spark, lake)
+        result["amounts"] = warehouse.build_amounts(spark, lake)
+        result["features"] = warehouse.build_features_all(spark, lake)
+        result["dim_users"] = warehouse.build_dim_users(spark, lake, as_of)
+        result["dim_cards"] = warehouse.build_dim_cards(spark, lake)
+        result["marts"] = warehouse.build_marts(spark, lake)
+        return result
+    finally:
+        clear_scratch(spark)
 
 
 def run_day(spark: SparkSession, lake: Lake, day: date, as_of: datetime) -> dict:
-    """One day after ingest; the raw day is checked before anything is overwritten."""
+    """One day after ingest; the raw day is checked before anything is overwritten.
+
+    Days after ``day`` whose lookback holds it, and days that lost an id to it, get new features and marts too. Running
+    averages of later days count every earlier day, so with ``day`` in the past all later days are rebuilt.
+    """
     quality.gate(
         quality.raw_checks(read_day(spark, lake.raw("transactions"), day), read_table(spark, lake.raw("mcc_codes")))
     )
-    result = {
-        "mcc_codes": staging.clean_mcc_codes(spark, lake),
-        "users": staging.clean_users(spark, lake),
-        "cards": staging.clean_cards(spark, lake, as_of.date()),
-        "transactions": staging.clean_transactions_day(spark, lake, day),
-        "enriched": staging.enrich_transactions_day(spark, lake, day),
-        "amounts": warehouse.build_amounts(spark, lake, day),
-        "features": warehouse.build_features_day(spark, lake, day),
-        "dim_users": warehouse.build_dim_users(spark, lake, as_of),
-        "dim_cards": warehouse.build_dim_cards(spark, lake),
-    }
-    result["marts"] = warehouse.build_marts(spark, lake)
-    clear_scratch(spark)
-    _gate_staging(spark, lake)
-    return result
+    try:
+        result = _dimensions(spark, lake, as_of)
+        result["transactions"] = staging.clean_transactions_day(spark, lake, day)
+        _gate_staging(spark, lake)
+        changed = [day, *map(date.fromisoformat, result["transactions"]["other_days"])]
+        result["amounts"] = sum(warehouse.build_amounts(spark, lake, d) for d in changed)
+        result["dim_users"] = warehouse.build_dim_users(spark, lake, as_of)
+        result["dim_cards"] = warehouse.build_dim_cards(spark, lake)
+        later = warehouse.stored_days(spark, lake, min(changed))
+        result["features"], result["marts"] = 0, {}
+        for d in sorted({*changed, *later}):
+            result["features"] += warehouse.build_features_day(spark, lake, d)
+            result["marts"] = warehouse.build_marts(spark, lake, d)
+        return result
+    finally:
+        clear_scratch(spark)
+
+
+def needs_review(spark: SparkSession, lake: Lake) -> bool:
+    """Whether rows wait in quarantine: the branch after a run."""
+    quarantined = read_table_if_present(spark, lake.quarantine("transactions"))
+    return quarantined is not None and quality.has_quarantine(quarantined.filter("NOT is_resolved"))
+
+
+def check_labels(spark: SparkSession, lake: Lake, year: int) -> None:
+    """Gate on the share of labelled transactions of a year."""
+    report = quality.label_coverage(read_table(spark, lake.staging("transactions")).filter("is_valid"), year)
+    quality.gate(report.withColumn("check", F.lit(f"label_coverage.{year}")))
 
 
 def _gate_staging(spark: SparkSession, lake: Lake) -> None:

@@ -51,7 +51,7 @@ def card_partitions(df: DataFrame) -> DataFrame:
     )
 
 
-# Source tables, range keys and connections; small tables first.
+# Source tables, range keys and how many connections read them unless a run says otherwise; small tables first.
 TABLE_SPECS = (
     TableSpec("mcc_codes", "raw_mcc_codes", single_file=True),
     TableSpec("fraud_labels", "raw_fraud_labels", "transaction_id", 4),
@@ -83,25 +83,34 @@ def write_raw(df: DataFrame, spec: TableSpec, lake: Lake) -> int:
     return (overwrite_single_file if spec.single_file else replace_table)(df, target)
 
 
+@dataclass(frozen=True)
+class Load:
+    """One source table that reached the raw layer."""
+
+    batch_id: str
+    table: str
+    path: str
+    rows: int
+    at: datetime
+
+
 def ingest(
     lake: Lake, spec: TableSpec, rows: DataFrame, batch_id: str | None = None, now: datetime | None = None
-) -> dict:
+) -> Load:
     """Write one source table to the raw layer. Repeating it replaces the same partitions."""
     now = now or datetime.now(timezone.utc).replace(tzinfo=None)
     batch_id = batch_id or new_batch_id(now)
     count = write_raw(to_raw(rows, spec, batch_id, now), spec, lake)
-    return {
-        "status": "success",
-        "batch_id": batch_id,
-        "source": spec.source_table,
-        "output": lake.raw(spec.table),
-        "row_count": count,
-        "ingested_at": now.isoformat(),
-    }
+    return Load(batch_id, spec.source_table, lake.raw(spec.table), count, now)
 
 
-def ingest_all(spark: SparkSession, lake: Lake, source: JdbcSource) -> list[dict]:
+def ingest_all(spark: SparkSession, lake: Lake, source: JdbcSource, connections: int | None = None) -> list[Load]:
+    """All source tables. ``connections`` sets how many read a table that has a range key; else each has its own number."""
     return [
-        ingest(lake, spec, source.read(spark, spec.source_table, spec.range_key, spec.partitions))
+        ingest(
+            lake,
+            spec,
+            source.read(spark, spec.source_table, spec.range_key, (spec.range_key and connections) or spec.partitions),
+        )
         for spec in TABLE_SPECS
     ]

@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
+from dataclasses import dataclass
 from datetime import date, timedelta
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from cardmill.operators.dedup import latest_where_keyed
-from cardmill.sinks import drop_partition, overwrite_partitions, replace_table
+from cardmill.sinks import drop_partition, overwrite_partitions, recover_partitions, replace_table
 from cardmill.sources import read_table_if_present
 
 # File sizes of the hot and the warm tier, and the assumed size of a stored row.
@@ -19,6 +20,15 @@ ROW_BYTES = 500
 _DAY = ("year", "month", "day")
 
 
+@dataclass(frozen=True)
+class Compaction:
+    """What a compaction wrote; nothing was there to compact if ``rows`` is None."""
+
+    path: str
+    rows: int | None = None
+    files: int = 0
+
+
 def target_files(rows: int, file_bytes: int) -> int:
     return max(1, rows * ROW_BYTES // file_bytes)
 
@@ -48,18 +58,19 @@ def _packed(df: DataFrame, dedup_key: str | None, file_bytes: int) -> tuple[Data
 
 def compact_day(
     spark: SparkSession, path: str, day: date, dedup_key: str | None = None, file_bytes: int = HOT_FILE_BYTES
-) -> dict:
+) -> Compaction:
     """Rewrite one day into few large files. The old files go when the new ones are committed."""
+    recover_partitions(spark, path)
     partition = "/".join([path, f"year={day.year}", f"month={day.month}", f"day={day.day}"])
     df = read_table_if_present(spark, partition)
     if df is None:
-        return {"skipped": True, "path": partition}
+        return Compaction(partition)
     packed, rows, count = _packed(df, dedup_key, file_bytes)
     replace_table(packed, partition)
-    return {"partition": f"year={day.year}/month={day.month}/day={day.day}", "row_count": rows, "target_files": count}
+    return Compaction(partition, rows, count)
 
 
-def compact_yesterday(spark: SparkSession, path: str, dedup_key: str | None = None, today: date | None = None) -> dict:
+def compact_yesterday(spark: SparkSession, path: str, dedup_key: str | None = None, today: date | None = None) -> Compaction:
     return compact_day(spark, path, (today or date.today()) - timedelta(days=1), dedup_key)
 
 
@@ -72,15 +83,17 @@ def compact_month(
     dedup_key: str | None = None,
     file_bytes: int = WARM_FILE_BYTES,
     compression: str = "zstd",
-) -> dict:
+) -> Compaction:
     """Merge the days of a month into one directory of the warm tier; the days stay where they are."""
+    for table in (path, warm_path):
+        recover_partitions(spark, table)
+    output = f"{warm_path}/year={year}/month={month}"
     df = read_table_if_present(spark, f"{path}/year={year}/month={month}")
     if df is None:
-        return {"skipped": True}
-    output = f"{warm_path}/year={year}/month={month}"
+        return Compaction(output)
     packed, rows, count = _packed(df, dedup_key, file_bytes)
     replace_table(packed, output, compression)
-    return {"year": year, "month": month, "row_count": rows, "target_files": count, "output_path": output}
+    return Compaction(output, rows, count)
 
 
 def still_quarantined(cutoff: date) -> Column:
@@ -103,7 +116,7 @@ def vacuum_quarantine(
     if rewritten:
         touched = spark.createDataFrame(rewritten, df.select(*_DAY).schema)
         same_day = [F.col(f"q.{c}").eqNullSafe(F.col(f"d.{c}")) for c in _DAY]
-        kept = df.filter(keep).alias("q").join(F.broadcast(touched.alias("d")), same_day, "left_semi")
+        kept = df.filter(keep).alias("q").join(touched.alias("d"), same_day, "left_semi")
         overwrite_partitions(kept, path, _DAY)
     for row in changed:
         if not row["after"]:
@@ -117,3 +130,14 @@ def vacuum_quarantine(
 def _directory_value(value: object) -> object:
     return "__HIVE_DEFAULT_PARTITION__" if value is None else value
 
+
+def maintain_table(
+    spark: SparkSession, path: str, warm_path: str, dedup_key: str | None = None, today: date | None = None
+) -> list[Compaction]:
+    """Compact yesterday; on the first day of a month also merge the month before into the warm tier."""
+    today = today or date.today()
+    done = [compact_yesterday(spark, path, dedup_key, today)]
+    if today.day == 1:
+        before = today - timedelta(days=1)
+        done.append(compact_month(spark, path, warm_path, before.year, before.month, dedup_key))
+    return done

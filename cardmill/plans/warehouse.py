@@ -5,12 +5,13 @@ from __future__ import annotations
 from datetime import date, datetime
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from cardmill.operators import dims, features, marts
 from cardmill.operators.dedup import latest_per_key
 from cardmill.plans.layout import Lake
 from cardmill.schemas import PARTITIONING, STAGING
-from cardmill.sinks import overwrite_partitions, replace_table
+from cardmill.sinks import drop_partition, overwrite_day, overwrite_partitions, replace_table
 from cardmill.sources import read_table, read_table_if_present
 
 _DAY = PARTITIONING["features"]
@@ -22,10 +23,10 @@ def _valid(spark: SparkSession, lake: Lake) -> DataFrame:
 
 def build_amounts(spark: SparkSession, lake: Lake, day: date | None = None) -> int:
     """Amount totals per user and day, for one day or for all."""
-    txns = _valid(spark, lake)
-    if day is not None:
-        txns = features.between_days(txns, day, day)
-    return overwrite_partitions(features.daily_amounts(txns), lake.warehouse("user_daily_amounts"), _DAY)
+    path = lake.warehouse("user_daily_amounts")
+    if day is None:
+        return replace_table(features.daily_amounts(_valid(spark, lake)), path, partition_by=_DAY)
+    return overwrite_day(features.daily_amounts(features.between_days(_valid(spark, lake), day, day)), path, day)
 
 
 def build_features_day(spark: SparkSession, lake: Lake, day: date, lifetime: bool = True) -> int:
@@ -38,12 +39,19 @@ def build_features_day(spark: SparkSession, lake: Lake, day: date, lifetime: boo
     if lifetime:
         opening = features.amounts_before(read_table(spark, lake.warehouse("user_daily_amounts")), day)
     daily = features.daily_features(_valid(spark, lake), day, opening)
-    return overwrite_partitions(daily, lake.warehouse("feat_fraud_features"), _DAY)
+    return overwrite_day(daily, lake.warehouse("feat_fraud_features"), day)
+
+
+def stored_days(spark: SparkSession, lake: Lake, after: date) -> list[date]:
+    """Days of the staging table after ``after``: one row for each, from the partition columns alone."""
+    days = read_table(spark, lake.staging("transactions")).select(*_DAY).filter("year IS NOT NULL").distinct()
+    found = days.filter(F.make_date("year", "month", "day") > F.lit(after)).collect()
+    return sorted(date(r["year"], r["month"], r["day"]) for r in found)
 
 
 def build_features_all(spark: SparkSession, lake: Lake) -> int:
     built = features.fraud_features(_valid(spark, lake))
-    return overwrite_partitions(built, lake.warehouse("feat_fraud_features"), _DAY)
+    return replace_table(built, lake.warehouse("feat_fraud_features"), partition_by=_DAY)
 
 
 def _user_snapshot(spark: SparkSession, lake: Lake) -> DataFrame:
@@ -66,26 +74,39 @@ def build_dim_cards(spark: SparkSession, lake: Lake) -> int:
     return replace_table(cards.select(*STAGING["dim_cards"].names), lake.warehouse("dim_cards"))
 
 
-def build_marts(spark: SparkSession, lake: Lake) -> dict:
-    """Merchant dimension first: as a stored table its size is known when the mart joins it."""
-    txns = _valid(spark, lake)
-    merchants = replace_table(dims.merchant_dimension(txns), lake.warehouse("dim_merchants"))
+def build_marts(spark: SparkSession, lake: Lake, day: date | None = None) -> dict:
+    """All marts, or what one day changes: its day of the daily ones, its month of the monthly one.
+
+    The merchant dimension is a lifetime total and is rebuilt each time. It comes first: as a stored table its size is
+    known when the mart joins it.
+    """
+    every = _valid(spark, lake)
+    merchants = replace_table(dims.merchant_dimension(every), lake.warehouse("dim_merchants"))
+    feature_rows = read_table(spark, lake.warehouse("feat_fraud_features"))
+    txns = every
+    if day is not None:
+        txns, feature_rows = features.between_days(every, day, day), features.between_days(feature_rows, day, day)
     mart = marts.fraud_mart(
         marts.fact_transactions(txns),
         read_table(spark, lake.warehouse("dim_users")),
-        read_table(spark, lake.warehouse("feat_fraud_features")),
+        feature_rows,
         read_table(spark, lake.warehouse("dim_merchants")),
     )
-    return {
-        "dim_merchants": merchants,
-        "fraud_features": overwrite_partitions(mart, lake.warehouse("fraud_features"), _DAY),
-        "user_daily_stats": overwrite_partitions(
-            marts.user_daily_stats(txns), lake.warehouse("user_daily_stats"), _DAY
-        ),
-        "merchant_risk_score": overwrite_partitions(
-            marts.merchant_risk_score(txns), lake.warehouse("merchant_risk_score"), ("year", "month")
-        ),
-    }
+    daily = {"fraud_features": mart, "user_daily_stats": marts.user_daily_stats(txns)}
+    if day is None:
+        counts = {name: replace_table(df, lake.warehouse(name), partition_by=_DAY) for name, df in daily.items()}
+    else:
+        counts = {name: overwrite_day(df, lake.warehouse(name), day) for name, df in daily.items()}
+    month = ("year", "month")
+    path = lake.warehouse("merchant_risk_score")
+    if day is None:
+        counts["merchant_risk_score"] = replace_table(marts.merchant_risk_score(every), path, partition_by=month)
+    else:
+        this = every.filter(f"year = {day.year} AND month = {day.month}")
+        counts["merchant_risk_score"] = overwrite_partitions(marts.merchant_risk_score(this), path, month)
+        if not counts["merchant_risk_score"]:
+            drop_partition(spark, path, {"year": day.year, "month": day.month})
+    return {"dim_merchants": merchants, **counts}
 
 
 def publish_views(spark: SparkSession, lake: Lake) -> None:

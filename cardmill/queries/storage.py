@@ -15,7 +15,7 @@ from cardmill.queries.registry import query
 from cardmill.schemas import RAW, STAGING, conform
 from cardmill.session import scratch_path
 from cardmill.sinks import overwrite_partitions, replace_table
-from cardmill.sources import read_csv, read_days, read_json_labels
+from cardmill.sources import read_csv, read_days, read_json_labels, read_json_map
 from cardmill.sources.files import explode_json_map
 
 _DAY = ("year", "month", "day")
@@ -145,6 +145,35 @@ def json_labels(spark: SparkSession, folder: str) -> DataFrame:
     return read_json_labels(spark, path)
 
 
+_ODD = {
+    0: ("c_name || ', \"the\" one'", "c_mktsegment || ', {x} [y] \\ z'"),
+    1: ("c_name", "'true'"),
+    2: ("c_name || ' \\'", "NULL"),
+    3: ("c_name", "CAST(c_nationkey AS STRING)"),
+}
+
+
+def _odd(part: int) -> str:
+    return "CASE c_custkey % 4 " + " ".join(f"WHEN {k} THEN {v[part]}" for k, v in _ODD.items()) + " END"
+
+
+@query(f"SELECT {_odd(0)} AS key, {_odd(1)} AS value FROM {{customer}}")
+def json_map(spark: SparkSession, folder: str) -> DataFrame:
+    """Entries with commas, quotes, escapes, brackets, true, null and numbers, each key twice: the last one counts."""
+    path = scratch_path(spark, "map")
+    plain = {k: tuple(x and x.replace("\\", "\\\\") for x in v) for k, v in _ODD.items()}
+    odd = ["CASE c_custkey % 4 " + " ".join(f"WHEN {k} THEN {v[i]}" for k, v in plain.items()) + " END" for i in (0, 1)]
+    rows = inputs.table(spark, folder, "customer").select("c_custkey", F.expr(odd[0]).alias("k"), F.expr(odd[1]).alias("v"))
+    text = F.to_json(F.create_map("k", "v"))
+    bare = F.to_json(F.create_map("k", F.lit("@")))
+    entry = F.expr("substr(e, 2, length(e) - 2)")
+    raw = F.when(F.col("c_custkey") % 4 == 0, text).otherwise(F.replace(bare, F.lit('"@"'), F.coalesce("v", F.lit("null"))))
+    new = rows.withColumn("e", raw).select(F.concat(entry, F.lit(",")).alias("value"))
+    old = rows.withColumn("e", bare).select(F.concat(entry, F.lit(",")).alias("value"))
+    old.unionByName(new).write.text(path)
+    return read_json_map(spark, path, "key", "value")
+
+
 @query(
     "SELECT id, client_id, card_brand, card_type, card_number, expires, has_chip, num_cards_issued, credit_limit, acct_open_date, "
     "year_pin_last_changed, card_on_dark_web, 'raw_cards' AS _source_file, 'batch_7' AS _batch_id, "

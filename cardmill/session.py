@@ -74,17 +74,17 @@ def clear_scratch(spark: SparkSession) -> int:
     return removed
 
 
-def spread(df: DataFrame) -> DataFrame:
-    """Deal out the rows of a source that has fewer splits than the session has cores.
-
-    A source with enough splits, as any large one, is returned unchanged.
-    """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
-
-
 def materialize(df: DataFrame, label: str) -> DataFrame:
     """Write ``df`` to the scratch folder and read it back: fixed rows, no lineage."""
     path = scratch_path(df.sparkSession, label)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def drop_table(df: DataFrame) -> None:
+    """Delete the files of a table that ``materialize`` returned."""
+    spark = df.sparkSession
+    for file in df.inputFiles()[:1]:
+        path = file.rsplit("/", 1)[0]
+        _SCRATCH_TABLES[:] = [p for p in _SCRATCH_TABLES if not path.endswith(p.rsplit("/", 1)[-1])]
+        files.delete(spark, path)

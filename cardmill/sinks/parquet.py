@@ -2,13 +2,18 @@
 
 from __future__ import annotations
 
-import uuid
 from collections.abc import Mapping, Sequence
+from datetime import date
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from cardmill import files
+from cardmill.sinks.swap import INCOMING, put_in_place, recover, swap_folder
+
+
+# Partition columns of tables by day.
+DAY = ("year", "month", "day")
 
 
 def _counted(df: DataFrame) -> tuple[DataFrame, Observation]:
@@ -20,7 +25,10 @@ def _counted(df: DataFrame) -> tuple[DataFrame, Observation]:
 def overwrite_partitions(
     df: DataFrame, path: str, partition_by: Sequence[str], compression: str = "snappy", sort_by: Sequence[str] = ()
 ) -> int:
-    """Replace exactly the partitions that occur in ``df``; return the rows written.
+    """Replace the partitions that occur in ``df``; return the rows written.
+
+    A partition that should be there no more has to be dropped: see ``overwrite_day``
+    for one day and ``replace_table`` for all of them.
 
     Rows of one partition are brought together, but a partition too large for
     one task is split, so a hot day becomes several files instead of one slow task.
@@ -38,34 +46,41 @@ def overwrite_partitions(
     return observation.get["rows"]
 
 
-def replace_table(df: DataFrame, path: str, compression: str = "snappy") -> int:
-    """Replace a whole unpartitioned table, also one that ``df`` reads.
+def overwrite_day(df: DataFrame, path: str, day: date, sort_by: Sequence[str] = ()) -> int:
+    """Replace one day by ``df``, which holds rows of that day only; without rows the day goes."""
+    rows = overwrite_partitions(df, path, DAY, sort_by=sort_by)
+    if not rows:
+        drop_partition(df.sparkSession, path, {"year": day.year, "month": day.month, "day": day.day})
+    return rows
+
 
-    The new files are complete before the old ones move away, so readers never
-    see a half-written table and a failed job leaves the old table in place.
+def replace_table(
+    df: DataFrame, path: str, compression: str = "snappy", partition_by: Sequence[str] = (), sort_by: Sequence[str] = ()
+) -> int:
+    """Replace a whole table, also one that ``df`` reads.
+
+    The new files are complete before the old ones move away. A failed job leaves the old table in place, and what a
+    crash leaves behind is put right before the next read or write (``recover``).
     """
     spark = df.sparkSession
-    run = uuid.uuid4().hex
-    incoming, outgoing = f"{path}__incoming_{run}", f"{path}__outgoing_{run}"
-    counted, observation = _counted(df)
-    counted.write.option("compression", compression).parquet(incoming)
-    replaced = files.exists(spark, path)
-    if replaced:
-        files.rename(spark, path, outgoing)
+    recover(spark, path)
+    files.mkdirs(spark, swap_folder(path))
+    counted, observation = _counted(df.hint("rebalance", *partition_by) if partition_by else df)
+    if sort_by:
+        counted = counted.sortWithinPartitions(*partition_by, *sort_by)
     try:
-        files.rename(spark, incoming, path)
-    except OSError:
-        if replaced:
-            files.rename(spark, outgoing, path)
+        writer = counted.write.option("compression", compression)
+        (writer.partitionBy(*partition_by) if partition_by else writer).parquet(f"{swap_folder(path)}/{INCOMING}")
+        put_in_place(spark, path)
+    except BaseException:
+        recover(spark, path)
         raise
-    if replaced:
-        files.delete(spark, outgoing)
     return observation.get["rows"]
 
 
 def overwrite_single_file(df: DataFrame, path: str, compression: str = "snappy") -> int:
-    """Small static dimension as one file."""
-    return replace_table(df.coalesce(1), path, compression)
+    """Small static dimension as one file; the rows are computed in parallel before they meet."""
+    return replace_table(df.repartition(1), path, compression)
 
 
 def drop_partition(spark: SparkSession, path: str, values: Mapping[str, object]) -> bool:

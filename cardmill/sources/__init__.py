@@ -1,6 +1,6 @@
 """Readers."""
 
-from cardmill.sources.files import read_csv, read_json_labels, read_json_map
+from cardmill.sources.files import read_csv, read_json_entries, read_json_labels, read_json_map
 from cardmill.sources.jdbc import JdbcSource
 from cardmill.sources.lake import read_day, read_days, read_table, read_table_if_present
 
@@ -9,6 +9,7 @@ __all__ = [
     "read_csv",
     "read_day",
     "read_days",
+    "read_json_entries",
     "read_json_labels",
     "read_json_map",
     "read_table",

@@ -6,10 +6,6 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from cardmill import files
-
-# A JSON object is parsed as one text only up to this size.
-MAX_JSON_BYTES = 64 * 1024 * 1024
 
 
 def read_csv(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
@@ -30,45 +26,93 @@ def explode_json_map(df: DataFrame, text: str, key: str, value: str, inner: str
     """One row per entry of the JSON object in column ``text``.
 
     ``inner`` names a member to use instead of the object itself where it is
-    present. Of equal keys in one object the last one counts.
+    present. Of equal keys in one row the last one counts; without other columns, of all rows.
     """
     entries = F.from_json(F.col(text), "map<string,string>")
     if inner:
         entries = F.coalesce(F.from_json(F.get_json_object(F.col(text), f"$.{inner}"), "map<string,string>"), entries)
     others = [c for c in df.columns if c != text]
-    exploded = df.withColumn("_entries", entries).select(*others, F.posexplode("_entries").alias("_pos", key, value))
-    if others:
-        return exploded.drop("_pos")
-    return exploded.groupBy(key).agg(F.max_by(value, "_pos").alias(value))
+    row = "_row"
+    numbered = df.withColumn("_entries", entries).withColumn(row, F.monotonically_increasing_id())
+    exploded = numbered.select(*others, row, F.posexplode("_entries").alias("_pos", key, value))
+    last = Window.partitionBy(key, *([row] if others else [])).orderBy(*[F.col(c).desc() for c in (row, "_pos")])
+    return exploded.withColumn("_rank", F.row_number().over(last)).filter("_rank = 1").select(*others, key, value)
 
 
-def read_json_map(spark: SparkSession, path: str, key: str, value: str, inner: str | None = None) -> DataFrame:
-    """A small file ``{key: value, ...}``; a large one belongs to ``read_json_labels``."""
-    found = files.size(spark, path)
-    if found > MAX_JSON_BYTES:
-        raise ValueError(f"{path} has {found} bytes; read it with read_json_labels")
-    text = spark.read.text(path, wholetext=True).withColumnRenamed("value", "_text")
-    return explode_json_map(text, "_text", key, value, inner)
+_AT = ("_file", "_block", "_line")
 
 
-def read_json_labels(spark: SparkSession, path: str, key: str = "transaction_id", value: str = "is_fraud") -> DataFrame:
-    """A file ``{id: "Yes"/"No", ...}`` of any size, also inside ``{"target": ...}``.
+def _running(pieces: DataFrame, name: str, value) -> DataFrame:
+    """Add the sum of ``value`` over all earlier pieces of the file.
+
+    Splits are summed first, so a task sees one split at a time and one number for each split of a file.
+    """
+    valued = pieces.withColumn("_v", value)
+    splits = valued.groupBy("_file", "_block").agg(F.sum("_v").alias("_s"))
+    earlier = Window.partitionBy("_file").orderBy("_block").rowsBetween(Window.unboundedPreceding, -1)
+    before = splits.select("_file", "_block", F.coalesce(F.sum("_s").over(earlier), F.lit(0)).alias("_before"))
+    within = Window.partitionBy("_file", "_block").orderBy("_line").rowsBetween(Window.unboundedPreceding, -1)
+    local = valued.withColumn("_local", F.coalesce(F.sum("_v").over(within), F.lit(0)))
+    return local.join(before, ["_file", "_block"]).withColumn(name, F.col("_local") + F.col("_before")).drop("_v", "_local", "_before")
+
+
+def _count(text, mark: str):
+    return F.length(text) - F.length(F.replace(text, F.lit(mark), F.lit("")))
+
 
-    The file is cut at commas, so it is read by many tasks even when it is one
-    line. Neither ids nor labels may contain a comma. Of equal ids the last one
-    in the file counts.
+def read_json_entries(
+    spark: SparkSession, path: str, key: str = "key", value: str = "value", inner: str | None = None
+) -> DataFrame:
+    """Entries of files ``{key: value, ...}`` of any size: key, value, rejected.
+
+    Files are cut at commas wherever that is, so one line is read by many tasks. A cut counts if the quotes before it
+    are even and the braces before it leave the depth of the entries; other pieces are put together again. Values come as
+    text (a nested one as its JSON). What is no entry comes as text in ``rejected``. Where ``inner`` opens the file,
+    the entries of that member are taken. Of equal keys the last one counts.
     """
-    entry = r'"([^"\\]*)"\s*:\s*"([^"]*)"'
     pieces = spark.read.option("lineSep", ",").text(path).select(
         "value",
         F.col("_metadata.file_path").alias("_file"),
         F.col("_metadata.file_block_start").alias("_block"),
         F.monotonically_increasing_id().alias("_line"),
     )
-    pairs = pieces.select(
-        F.regexp_extract("value", entry, 1).alias(key),
-        F.regexp_extract("value", entry, 2).alias(value),
-        F.struct("_file", "_block", "_line").alias("_at"),
-    ).filter(F.col(key) != "")
-    last = Window.partitionBy(key).orderBy(F.col("_at").desc())
-    return pairs.withColumn("_rank", F.row_number().over(last)).filter("_rank = 1").select(key, value)
+    bare = F.regexp_replace("value", r"\\.", "")
+    quoted = _running(pieces, "_quotes", _count(bare, '"'))
+    # Outside of strings: a piece that begins inside one gets its opening quote back first.
+    outside = F.regexp_replace(F.concat(F.when(F.col("_quotes") % 2 == 1, '"').otherwise(""), bare), r'"[^"]*("|$)', "")
+    delta = _count(outside, "{") + _count(outside, "[") - _count(outside, "}") - _count(outside, "]")
+    nested = _running(quoted, "_depth", delta).withColumn("_after", F.col("_depth") + delta)
+    wrapper = rf'^\s*\{{\s*"{inner}"\s*:\s*\{{' if inner else r"^\b$"
+    first = nested.groupBy("_file").agg(F.min_by("value", F.struct("_block", "_line")).alias("_first"))
+    base = first.select("_file", F.when(F.col("_first").rlike(wrapper), 2).otherwise(1).alias("_base"))
+    placed = nested.join(base, "_file")
+    opens = (F.col("_quotes") % 2 == 0) & ((F.col("_depth") == F.col("_base")) | (F.col("_depth") == 0))
+    counted = _running(placed, "_entry", opens.cast("int")).withColumn("_entry", F.col("_entry") + opens.cast("int"))
+    entries = counted.groupBy("_file", "_entry", "_base").agg(
+        F.array_join(F.sort_array(F.collect_list(F.struct("_block", "_line", "value")))["value"], ",").alias("_text"),
+        F.min("_depth").alias("_depth"),
+        F.max_by("_after", F.struct("_block", "_line")).alias("_after"),
+    )
+    opened = F.when(F.col("_base") == 2, F.regexp_replace("_text", wrapper, "")).otherwise(F.regexp_replace("_text", r"^\s*\{", ""))
+    body = F.when(F.col("_depth") == 0, opened).otherwise(F.col("_text"))
+    closers = F.col("_base") - F.col("_after")
+    body = F.when(closers >= 2, F.regexp_replace(body, r"\}\s*\}\s*$", "")).when(closers == 1, F.regexp_replace(body, r"\}\s*$", "")).otherwise(body)
+    parsed = entries.select("_file", "_entry", body.alias("_body")).filter(F.trim(F.regexp_replace("_body", r"\s", "")) != "")
+    parsed = parsed.withColumn("_map", F.from_json(F.concat(F.lit("{"), F.col("_body"), F.lit("}")), "map<string,string>"))
+    one = F.coalesce(F.size("_map") == 1, F.lit(False))
+    rows = parsed.select(
+        F.when(one, F.map_keys("_map")[0]).alias(key), F.when(one, F.map_values("_map")[0]).alias(value),
+        F.when(~one, F.col("_body")).alias("rejected"), "_file", "_entry",
+    )
+    last = Window.partitionBy(key, "rejected").orderBy(F.col("_file").desc(), F.col("_entry").desc())
+    return rows.withColumn("_rank", F.row_number().over(last)).filter("_rank = 1").select(key, value, "rejected")
+
+
+def read_json_map(spark: SparkSession, path: str, key: str, value: str, inner: str | None = None) -> DataFrame:
+    """The entries of ``read_json_entries`` that could be read."""
+    return read_json_entries(spark, path, key, value, inner).filter("rejected IS NULL").drop("rejected")
+
+
+def read_json_labels(spark: SparkSession, path: str, key: str = "transaction_id", value: str = "is_fraud") -> DataFrame:
+    """A label file ``{id: "Yes"/"No", ...}``, also inside ``{"target": ...}``."""
+    return read_json_map(spark, path, key, value, "target")

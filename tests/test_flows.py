@@ -95,3 +95,81 @@ def test_catalog_and_views(spark, lakes):
     assert spark.table("flow_warehouse.dim_users").filter("is_current").count() == 2
     warehouse.publish_views(spark, lake)
     assert spark.sql("SELECT count(*) FROM fact_transactions WHERE is_valid").first()[0] == 4
+
+
+def test_marts_and_views_by_name(spark, lakes):
+    lake = lakes[0]
+    catalog.register_tables(spark, lake, "named_")
+    catalog.sync_partitions(spark, lake, "named_")
+    assert "named_warehouse.fraud_features" in catalog.register_marts(spark, lake, "named_")
+    assert spark.table("named_warehouse.fraud_features").count() == 4
+    assert "named_warehouse.fact_transactions" in catalog.create_views(spark, "named_")
+    assert spark.newSession().table("named_warehouse.fact_transactions").count() == 4
+
+
+def _raw(spark, lake, rows):
+    spec = next(s for s in ingest.TABLE_SPECS if s.table == "transactions")
+    stamped = [(*r[:-1], r[-1]) for r in rows]
+    df = spark.createDataFrame([r[:-1] for r in stamped], RAW["transactions"])
+    loaded = spark.createDataFrame([(r[0], r[1], r[-1]) for r in stamped], "id string, date string, at string")
+    df = df.join(loaded, ["id", "date"]).selectExpr(*RAW["transactions"].names, "to_timestamp(at) as _loaded_at")
+    ingest.ingest(lake, spec, df, "batch_2", NOW)
+
+
+ODD = [
+    (*TRANSACTIONS[0], "2024-02-01 00:00:00"),
+    (*TRANSACTIONS[2], "2024-02-01 00:00:00"),
+    ("7", "2024-01-01 09:00:00", "u1", "c1", "$4.00", None, "m1", "Town", "CA", None, "5812", None, "2024-02-01 00:00:00"),
+    ("7", "2024-01-03 09:00:00", "u1", "c1", "$5.00", None, "m1", "Town", "CA", None, "5812", None, "2024-02-02 00:00:00"),
+    ("8", "never", "u1", "c1", "$5.00", None, "m1", "Town", "CA", None, "5812", None, "2024-02-01 00:00:00"),
+]
+
+
+def test_days_one_by_one_equal_the_backfill(spark, tmp_path):
+    at_once, daily = (Lake(str(tmp_path / n)) for n in ("once", "daily"))
+    for lake in (at_once, daily):
+        fill(spark, lake, [("1", "No")])
+        _raw(spark, lake, ODD)
+    flows.run_backfill(spark, at_once, NOW)
+    for day in (date(2024, 1, 3), date(2024, 1, 1), date(2024, 1, 2)):
+        flows.run_day(spark, daily, day, NOW)
+    for layer, table in (("staging", "transactions"), ("warehouse", "feat_fraud_features"), ("warehouse", "user_daily_amounts"), ("warehouse", "fraud_features")):
+        once, by_day = (spark.read.parquet(lake.path(layer, table)) for lake in (at_once, daily))
+        assert sorted(map(str, by_day.select(*once.columns).collect())) == sorted(map(str, once.collect())), table
+    for lake in (at_once, daily):
+        assert [(r["transaction_id"], r["year"]) for r in spark.read.parquet(lake.quarantine("transactions")).filter("year IS NULL").collect()] == [("8", None)]
+    assert flows.needs_review(spark, daily)
+    with pytest.raises(quality.QualityError, match="label_coverage"):
+        flows.check_labels(spark, daily, 2024)
+
+
+def test_a_corrected_row_and_a_renewed_card_leave_nothing_behind(spark, tmp_path):
+    lake = Lake(str(tmp_path))
+    fill(spark, lake, [("1", "No")])
+    flows.run_backfill(spark, lake, NOW)
+    rows = [(*t, "2024-02-01 00:00:00") for t in TRANSACTIONS]
+    rows[0] = (*rows[0][:4], "N/A", *rows[0][5:])
+    rows[1] = (*rows[1][:4], "N/A", *rows[1][5:])
+    _raw(spark, lake, rows)
+    cards = next(s for s in ingest.TABLE_SPECS if s.table == "cards")
+    renewed = [(f"c{i}", f"u{i}", "Visa", "Debit", "4344676511950444", "12/2029", "123", "YES", "1", "$100", "09/2002", "2010", "No") for i in (1, 2)]
+    df = spark.createDataFrame(renewed, RAW["cards"]).selectExpr("*", "timestamp'2024-02-02 00:00:00' as _loaded_at")
+    ingest.ingest(lake, cards, df, "batch_2", datetime(2024, 2, 2))
+    flows.run_day(spark, lake, date(2024, 1, 1), NOW)
+    staged = spark.read.parquet(lake.staging("transactions"))
+    assert staged.count() == staged.select("transaction_id").distinct().count() == 2
+    for table in ("user_daily_amounts", "feat_fraud_features", "fraud_features", "user_daily_stats"):
+        assert spark.read.parquet(lake.warehouse(table)).filter("day = 1").count() == 0, table
+    flows.run_backfill(spark, lake, NOW)
+    assert spark.read.parquet(lake.staging("cards")).count() == 2
+
+
+def test_jobs_from_the_command_line(spark, lakes, capsys):
+    from cardmill.__main__ import main
+
+    root = ["--root", lakes[0].root, "--date", "2024-01-02"]
+    main(["check", *root, "--layer", "raw"], spark)
+    main(["check", *root], spark)
+    assert main(["features", *root], spark) == 2
+    assert main(["vacuum", *root], spark)["removed"] == 0
+    assert "transactions.has_rows" in capsys.readouterr().out
