@@ -14,7 +14,7 @@ from cardmill.queries import inputs, tables
 from cardmill.queries.registry import query
 from cardmill.schemas import RAW, STAGING, conform
 from cardmill.session import scratch_path
-from cardmill.sinks import overwrite_partitions, replace_table
+from cardmill.sinks import overwrite_day, overwrite_partitions, replace_table
 from cardmill.sources import read_csv, read_days, read_json_labels, read_json_map
 from cardmill.sources.files import explode_json_map
 
@@ -66,6 +66,17 @@ def replace_while_reading(spark: SparkSession, folder: str) -> DataFrame:
     return spark.read.parquet(path)
 
 
+@query(f"SELECT {_EVENT_COLUMNS} FROM q_ev WHERE day <> 16 AND (day <> 15 OR is_fraud IS NOT NULL)")
+def rerun_day(spark: SparkSession, folder: str) -> DataFrame:
+    """Two days are written again, one with fewer rows, one with none: their old rows go, other days stay."""
+    path = scratch_path(spark, "rerun")
+    events = tables.event_transactions(spark, folder)
+    overwrite_partitions(events, path, _DAY)
+    overwrite_day(events.filter("day = 15 AND is_fraud IS NOT NULL"), path, TARGET)
+    overwrite_day(events.filter("day = 16 AND false"), path, date(2024, 1, 16))
+    return _events(spark.read.parquet(path))
+
+
 def _stored_events(spark: SparkSession, folder: str) -> str:
     """Event transactions stored by day, each row twice in small files."""
     path = scratch_path(spark, "events")

@@ -7,11 +7,14 @@ from datetime import datetime
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from cardmill import files
 from cardmill.operators import dims, features, marts
 from cardmill.queries import inputs, oracle, tables
 from cardmill.queries.registry import query
 from cardmill.schemas import STAGING
-from cardmill.session import materialize
+from cardmill.session import materialize, scratch_path
+from cardmill.sinks import replace_table, swap
+from cardmill.sources import read_table
 
 _DOUBLE_AMOUNT = "* REPLACE (CAST(amount AS DOUBLE) AS amount)"
 _FACT = f"SELECT {', '.join(marts.FACT_COLUMNS)} FROM (SELECT {_DOUBLE_AMOUNT} FROM q_valid_txn)"
@@ -121,6 +124,18 @@ def scd2_merge_twice(spark: SparkSession, folder: str) -> DataFrame:
     return _merged_users(spark, folder, 3)
 
 
+@query("SELECT * FROM q_dim3")
+def scd2_interrupted(spark: SparkSession, folder: str) -> DataFrame:
+    """The stored merge stops after the old table has moved away; the next run ends it and merges on."""
+    path = scratch_path(spark, "dim")
+    replace_table(dims.first_versions(tables.user_snapshot(spark, folder, 1), "user_id", MERGE_DAYS[0]), path)
+    second = dims.type2_merge(read_table(spark, path), tables.user_snapshot(spark, folder, 2), as_of=MERGE_DAYS[1])
+    second.write.parquet(f"{swap.swap_folder(path)}/{swap.INCOMING}")
+    files.rename(spark, path, f"{swap.swap_folder(path)}/{swap.OUTGOING}")
+    replace_table(dims.type2_merge(read_table(spark, path), tables.user_snapshot(spark, folder, 3), as_of=MERGE_DAYS[2]), path)
+    return read_table(spark, path)
+
+
 @query(
     "SELECT o_orderkey, CAST(o_custkey AS STRING) AS user_id, d.address, d.current_age FROM {orders} o LEFT JOIN q_dim3 d "
     "ON CAST(o.o_custkey AS STRING) = d.user_id AND d.valid_from <= o.o_orderdate AND o.o_orderdate < d.valid_to"
