@@ -31,7 +31,7 @@ from cardmill.llm.tables import read, ready
 from cardmill.session import materialize
 
 SAMPLE = 16_384
-LIST_SIZE = 1024
+LIST_SIZE = 2048  # vectors of the largest label in one list, on average
 MOST_LISTS = 1024
 SUBSPACES = 8
 CODES = 64
@@ -43,10 +43,10 @@ def _unit(x: np.ndarray) -> np.ndarray:
     return x / np.linalg.norm(x, axis=-1, keepdims=True)
 
 
-def _matrix(column, width: int) -> np.ndarray:
-    """Vectors of float64 in bytes, padded with zeros to ``width``."""
-    parts = column.to_pylist()
-    return np.frombuffer(b"".join(p.ljust(8 * width, b"\0") for p in parts), dtype=np.float64).reshape(len(parts), width)
+def _matrix(column, width: int, kind: str) -> np.ndarray:
+    """Vectors kept as bytes of ``kind``, padded with zeros to ``width``, as float64."""
+    parts, size = column.to_pylist(), width * np.dtype(kind).itemsize
+    return np.frombuffer(b"".join(p.ljust(size, b"\0") for p in parts), dtype=kind).reshape(len(parts), width).astype(np.float64)
 
 
 def _lloyd(x: np.ndarray, k: int, rounds: int = 8) -> np.ndarray:
@@ -124,6 +124,7 @@ def link_block(model, list_number, ids, codes, errors, vectors, weights, queries
 def near_vectors(vectors: DataFrame, threshold: float, key="vec_id", vector="embedding", label="label") -> DataFrame:
     """One row per vector: key, n_links (other vectors linked directly), component_id, kept."""
     spark = vectors.sparkSession
+    stored = "float32" if dict(vectors.dtypes)[vector] == "array<float>" else "float64"  # no precision is lost
     rows = vectors.select(F.col(key).cast("long").alias("id"), F.col(vector).cast("array<double>").alias("v"), F.col(label).alias("label"))
     norm = F.sqrt(F.aggregate("v", F.lit(0.0), lambda s, x: s + x * x))
     finite = F.forall("v", lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf")))
@@ -131,27 +132,27 @@ def near_vectors(vectors: DataFrame, threshold: float, key="vec_id", vector="emb
     usable = rows.filter(valid)
     classes = usable.groupBy("label", "v").agg(F.min("id").alias("id"), F.count("*").alias("weight"))
     classes = materialize(classes.filter("id is not null").withColumns({"dim": F.size("v"), "class": F.xxhash64("label", "v")}), "classes")
-    shape = classes.agg(F.count("*"), F.max("dim")).first()
+    shape = classes.groupBy("label", "dim").agg(F.count("*").alias("n")).agg(F.max("n"), F.max("dim")).first()
     if not shape[0]:
         return rows.select(F.col("id").alias(key), F.lit(0).cast("long").alias("n_links"), F.col("id").alias("component_id"), F.lit(True).alias("kept"))
     width = -(-shape[1] // SUBSPACES) * SUBSPACES
 
     def pack(batches):
         for batch in batches:
-            column = pa.array([np.array(v, dtype=np.float64).tobytes() for v in batch.column(1).to_pylist()], pa.binary())
+            column = pa.array([np.array(v, dtype=stored).tobytes() for v in batch.column(1).to_pylist()], pa.binary())
             yield pa.RecordBatch.from_arrays([batch.column(0), column, *[batch.column(i) for i in range(2, 5)]], ["id", "v", "label", "dim", "weight"])
 
     kind = dict(classes.dtypes)["label"]
     packed = materialize(classes.select("id", "v", "label", "dim", "weight").mapInArrow(pack, f"id long, v binary, label {kind}, dim int, weight long"), "packed-vectors")
     drawn = packed.orderBy(F.xxhash64("id"), "id").select("v").limit(SAMPLE).toArrow()
-    model = fit(_matrix(drawn.column("v"), width), max(1, min(MOST_LISTS, shape[0] // LIST_SIZE)))
+    model = fit(_matrix(drawn.column("v"), width, stored), max(1, min(MOST_LISTS, shape[0] // LIST_SIZE)))
     shared = spark.sparkContext.broadcast(model)
     reach = math.sqrt(2 - 2 * threshold)
 
     def index(batches):
         for batch in batches:
             if batch.num_rows:
-                x = _unit(_matrix(batch.column(1), width))
+                x = _unit(_matrix(batch.column(1), width, stored))
                 near, _ = _nearest(shared.value, x)
                 codes, errors = _encode(shared.value, x - shared.value["centroids"][near])
                 more = [pa.array(near.astype(np.int32)), pa.array([c.tobytes() for c in codes], pa.binary()), pa.array(errors)]
@@ -162,7 +163,7 @@ def near_vectors(vectors: DataFrame, threshold: float, key="vec_id", vector="emb
         apart = np.sqrt(np.maximum(((c[:, None, :] - c[None, :, :]) ** 2).sum(axis=2), 0))
         for batch in batches:
             if batch.num_rows:
-                near, squares = _nearest(shared.value, _unit(_matrix(batch.column(1), width)))
+                near, squares = _nearest(shared.value, _unit(_matrix(batch.column(1), width, stored)))
                 margin = squares - squares[np.arange(len(near)), near][:, None]
                 q, lists = np.nonzero(margin <= 2 * (reach + SLACK) * apart[near] + SLACK)
                 at = pa.array(q)
@@ -184,7 +185,7 @@ def near_vectors(vectors: DataFrame, threshold: float, key="vec_id", vector="emb
         none = [np.zeros(0, np.int64)] * 3
         ids, counts, roots = none
         if len(x) and len(y):
-            vectors_, queries = _matrix(x.column("v"), width), _matrix(y.column("v"), width)
+            vectors_, queries = _matrix(x.column("v"), width, stored), _matrix(y.column("v"), width, stored)
             codes = np.frombuffer(b"".join(x.column("codes").to_pylist()), dtype=np.uint8).reshape(len(x), SUBSPACES)
             index_ids, query_ids = x.column("id").to_numpy(), y.column("id").to_numpy()
             number, errors, weights = x.column("list")[0].as_py(), x.column("error").to_numpy(), x.column("weight").to_numpy()
