@@ -145,14 +145,15 @@ def across_components(rest: DataFrame, described: DataFrame, threshold: float) -
     """Pairs of different components in the same bucket that pass the sequential test.
 
     ``rest`` has bucket, id, component, size. A large bucket is cut into blocks, and each pair of blocks is a group of
-    its own, so no task holds more than two blocks of one bucket.
+    its own, so no task holds more than two blocks of one bucket. A pair that shares several buckets leaves from the
+    first of them only.
     """
     needed = least_matches(threshold, VALUES)
     count = F.ceil(F.col("size") / BLOCK).cast("int")
     placed = rest.withColumn("own", F.pmod(F.xxhash64("id"), count).cast("int")).withColumn("other", F.explode(F.sequence(F.lit(0), count - 1)))
     placed = placed.withColumns({"x": F.least("own", "other"), "y": F.greatest("own", "other")})
-    signature = described.filter("n > 0").select("id", "signature").dropDuplicates(["id", "signature"])
-    rows = placed.join(signature, "id").select("bucket", "x", "y", "own", "id", "component", "signature")
+    signature = described.filter("n > 0").select("id", "signature", "bands").dropDuplicates(["id", "signature"])
+    rows = placed.join(signature, "id").select("bucket", "x", "y", "own", "id", "component", "signature", "bands")
     rows = rows.repartition("bucket", "x", "y").sortWithinPartitions("bucket", "x", "y")
 
     def run(batches):
@@ -160,12 +161,15 @@ def across_components(rest: DataFrame, described: DataFrame, threshold: float) -
             own, ids, component = (table.column(i).to_numpy() for i in (3, 4, 5))
             x, y = table.column(1)[0].as_py(), table.column(2)[0].as_py()
             signatures = _signatures(table.column(6))
+            bands = table.column(7).combine_chunks().flatten().to_numpy().reshape(len(ids), -1)
             left, right = np.flatnonzero(own == x), np.flatnonzero(own == y)
             for a in range(0, len(left), 64):
                 p, q = np.repeat(left[a : a + 64], len(right)), np.tile(right, len(left[a : a + 64]))
                 apart = (component[p] != component[q]) & ((ids[p] < ids[q]) | (x != y))
                 p, q = p[apart], q[apart]
                 found = _passing(signatures, signatures, needed, p, q)
+                equal = bands[p[found]] == bands[q[found]]
+                found = found[bands[p[found], equal.argmax(axis=1)] == table.column(0)[0].as_py()]
                 low, high = np.minimum(ids[p[found]], ids[q[found]]), np.maximum(ids[p[found]], ids[q[found]])
                 yield pa.RecordBatch.from_arrays([pa.array(low), pa.array(high)], ["a", "b"])
 
