@@ -5,6 +5,7 @@ import pytest
 from conftest import SMALL
 
 import __spark_entry__ as contract
+from cardmill.operators.enrich import add_mcc_description
 from cardmill.queries.inputs import TEST_TABLES
 from cardmill.session import scratch_root
 from tools.compare import compare
@@ -22,7 +23,7 @@ def duck():
     return con
 
 
-@pytest.mark.parametrize("name", sorted(QUERIES))
+@pytest.mark.parametrize("name", sorted(SQL))
 def test_query_equals_sql(spark, duck, name):
     line = compare(spark, duck, SMALL, name, QUERIES[name], SQL[name])
     assert line.startswith("ok"), line
@@ -40,6 +41,26 @@ def test_plans_have_no_cross_join_and_no_python(spark, name):
         assert bad not in plan
 
 
+@pytest.mark.parametrize("name", ["dedup_latest", "clean_transactions", "dq_report"])
+def test_the_large_source_is_read_once(spark, name):
+    plan = QUERIES[name](spark, SMALL)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("lineitem.parquet") == 1
+    assert "WindowGroupLimit" in plan
+
+
+def test_codes_are_salted_where_they_are_not_broadcast(spark):
+    txns = spark.range(9).selectExpr("string(id) AS transaction_id", "int(id % 2) AS mcc")
+    codes = spark.createDataFrame([(1, "one")], "mcc int, mcc_description string")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        joined = add_mcc_description(txns, codes)
+        plan = joined._jdf.queryExecution().executedPlan().toString()
+        assert "_salt" in plan and joined.count() == 9
+        assert joined.filter("mcc_description = 'one'").count() == 4
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
 class _Cluster:
     """The two things ``scratch_root`` asks a session for."""
 
