@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from cardmill.operators import quality
 from cardmill.plans import staging, warehouse
 from cardmill.plans.layout import Lake
-from cardmill.session import clear_scratch
+from cardmill.session import scratch_run
 from cardmill.sources import read_day, read_table, read_table_if_present
 
 
@@ -24,7 +24,7 @@ def _dimensions(spark: SparkSession, lake: Lake, as_of: datetime) -> dict:
 
 def run_backfill(spark: SparkSession, lake: Lake, as_of: datetime) -> dict:
     """Everything after ingest, for all days at once. Nothing is published that fails the staging checks."""
-    try:
+    with scratch_run(spark):
         result = _dimensions(spark, lake, as_of)
         result["transactions"] = staging.clean_transactions_all(spark, lake)
         _gate_staging(spark, lake)
@@ -34,8 +34,6 @@ def run_backfill(spark: SparkSession, lake: Lake, as_of: datetime) -> dict:
         result["dim_cards"] = warehouse.build_dim_cards(spark, lake)
         result["marts"] = warehouse.build_marts(spark, lake)
         return result
-    finally:
-        clear_scratch(spark)
 
 
 def run_day(spark: SparkSession, lake: Lake, day: date, as_of: datetime) -> dict:
@@ -47,7 +45,7 @@ def run_day(spark: SparkSession, lake: Lake, day: date, as_of: datetime) -> dict
     quality.gate(
         quality.raw_checks(read_day(spark, lake.raw("transactions"), day), read_table(spark, lake.raw("mcc_codes")))
     )
-    try:
+    with scratch_run(spark):
         result = _dimensions(spark, lake, as_of)
         result["transactions"] = staging.clean_transactions_day(spark, lake, day)
         _gate_staging(spark, lake)
@@ -61,8 +59,6 @@ def run_day(spark: SparkSession, lake: Lake, day: date, as_of: datetime) -> dict
             result["features"] += warehouse.build_features_day(spark, lake, d)
             result["marts"] = warehouse.build_marts(spark, lake, d)
         return result
-    finally:
-        clear_scratch(spark)
 
 
 def needs_review(spark: SparkSession, lake: Lake) -> bool:

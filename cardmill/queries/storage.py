@@ -13,7 +13,7 @@ from cardmill.plans.layout import Lake
 from cardmill.queries import inputs, tables
 from cardmill.queries.registry import query
 from cardmill.schemas import RAW, STAGING, conform
-from cardmill.session import scratch_path
+from cardmill.session import materialize, scratch_path
 from cardmill.sinks import overwrite_day, overwrite_partitions, replace_table
 from cardmill.sources import read_csv, read_days, read_json_labels, read_json_map
 from cardmill.sources.files import explode_json_map
@@ -200,7 +200,7 @@ def ingest_template(spark: SparkSession, folder: str) -> DataFrame:
     return spark.read.parquet(lake.raw("cards"))
 
 
-@query("SELECT card_brand_part, expires_year_part, count(*) AS cards, sum(credit_limit) AS credit_limit FROM q_cards GROUP BY ALL")
+@query("SELECT card_id, card_brand, credit_limit, card_brand_part, expires_year_part FROM q_cards")
 def catalog_tables(spark: SparkSession, folder: str) -> DataFrame:
     """A stored table registered in the catalog, its partitions discovered, then read by name."""
     lake = Lake(scratch_path(spark, "lake"))
@@ -209,6 +209,7 @@ def catalog_tables(spark: SparkSession, folder: str) -> DataFrame:
     catalog.register_tables(spark, lake, prefix)
     catalog.sync_partitions(spark, lake, prefix)
     cards = spark.table(f"{prefix}staging.cards")
-    return cards.groupBy("card_brand_part", "expires_year_part").agg(
-        F.count(F.lit(1)).alias("cards"), F.sum("credit_limit").alias("credit_limit")
-    )
+    found = materialize(cards.select("card_id", "card_brand", "credit_limit", "card_brand_part", "expires_year_part"), "by-name")
+    for database in ("staging", "warehouse"):
+        spark.sql(f"DROP DATABASE {prefix}{database} CASCADE")  # the tables are external: files stay
+    return found

@@ -4,6 +4,9 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
+from contextvars import ContextVar
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -23,6 +26,7 @@ SQL_SETTINGS = {
 
 _SCRATCH_ROOTS: dict[str, str] = {}
 _SCRATCH_TABLES: list[str] = []
+_RUN_TABLES: ContextVar[list[str] | None] = ContextVar("run_tables", default=None)
 
 
 def build_session(app_name: str = "cardmill", master: str | None = None, **conf: str) -> SparkSession:
@@ -62,12 +66,26 @@ def scratch_root(spark: SparkSession) -> str:
 def scratch_path(spark: SparkSession, label: str) -> str:
     """A new, unused path below the scratch folder."""
     path = f"{scratch_root(spark)}/{label}-{uuid.uuid4().hex}"
-    _SCRATCH_TABLES.append(path)
+    run = _RUN_TABLES.get()
+    (_SCRATCH_TABLES if run is None else run).append(path)
     return path
 
 
+@contextmanager
+def scratch_run(spark: SparkSession) -> Iterator[None]:
+    """Delete the intermediate tables made inside, however it ends. Tables of other runs stay."""
+    paths: list[str] = []
+    token = _RUN_TABLES.set(paths)
+    try:
+        yield
+    finally:
+        _RUN_TABLES.reset(token)
+        for path in paths:
+            files.delete(spark, path)
+
+
 def clear_scratch(spark: SparkSession) -> int:
-    """Delete the intermediate tables of this process. DataFrames that read them end with it."""
+    """Delete the intermediate tables made outside of any run. DataFrames that read them end with it."""
     removed = 0
     while _SCRATCH_TABLES:
         removed += files.delete(spark, _SCRATCH_TABLES.pop())
@@ -82,9 +100,6 @@ def materialize(df: DataFrame, label: str) -> DataFrame:
 
 
 def drop_table(df: DataFrame) -> None:
-    """Delete the files of a table that ``materialize`` returned."""
-    spark = df.sparkSession
+    """Delete the files of a table that ``materialize`` returned, before its run ends."""
     for file in df.inputFiles()[:1]:
-        path = file.rsplit("/", 1)[0]
-        _SCRATCH_TABLES[:] = [p for p in _SCRATCH_TABLES if not path.endswith(p.rsplit("/", 1)[-1])]
-        files.delete(spark, path)
+        files.delete(df.sparkSession, file.rsplit("/", 1)[0])
