@@ -141,7 +141,7 @@ def _signatures(column) -> np.ndarray:
     return np.frombuffer(b"".join(column.to_pylist()), dtype=np.uint8).reshape(len(column), VALUES)
 
 
-def across_components(rest: DataFrame, described: DataFrame, threshold: float) -> DataFrame:
+def across_components(rest: DataFrame, close: DataFrame, threshold: float) -> DataFrame:
     """Pairs of different components in the same bucket that pass the sequential test.
 
     ``rest`` has bucket, id, component, size. A large bucket is cut into blocks, and each pair of blocks is a group of
@@ -152,8 +152,7 @@ def across_components(rest: DataFrame, described: DataFrame, threshold: float) -
     count = F.ceil(F.col("size") / BLOCK).cast("int")
     placed = rest.withColumn("own", F.pmod(F.xxhash64("id"), count).cast("int")).withColumn("other", F.explode(F.sequence(F.lit(0), count - 1)))
     placed = placed.withColumns({"x": F.least("own", "other"), "y": F.greatest("own", "other")})
-    signature = described.filter("n > 0").select("id", "signature", "bands").dropDuplicates(["id", "signature"])
-    rows = placed.join(signature, "id").select("bucket", "x", "y", "own", "id", "component", "signature", "bands")
+    rows = placed.join(close, "id").select("bucket", "x", "y", "own", "id", "component", "signature", "bands")
     rows = rows.repartition("bucket", "x", "y").sortWithinPartitions("bucket", "x", "y")
 
     def run(batches):
@@ -176,7 +175,7 @@ def across_components(rest: DataFrame, described: DataFrame, threshold: float) -
     return rows.mapInArrow(run, "a long, b long").filter("a < b").distinct()
 
 
-def passing(pairs: DataFrame, described: DataFrame, threshold: float) -> DataFrame:
+def passing(pairs: DataFrame, close: DataFrame, threshold: float) -> DataFrame:
     """The pairs (a, b) that pass the sequential test."""
     needed = least_matches(threshold, VALUES)
 
@@ -187,7 +186,7 @@ def passing(pairs: DataFrame, described: DataFrame, threshold: float) -> DataFra
                 alive = _passing(_signatures(batch.column(2)), _signatures(batch.column(3)), needed, every, every)
                 yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1)], ["a", "b"]).take(pa.array(alive))
 
-    signature = described.filter("n > 0").select("id", "signature")
+    signature = close.select("id", "signature")
     candidates = pairs.join(signature.toDF("a", "x"), "a").join(signature.toDF("b", "y"), "b").select("a", "b", "x", "y")
     return candidates.mapInArrow(prune, "a long, b long").distinct()
 
@@ -217,17 +216,21 @@ def near_duplicates(docs: DataFrame, threshold: float, key="doc_id", text_column
     shared = members.groupBy("bucket").agg(F.count("*").alias("size")).filter("size > 1")
     members = materialize(members.join(shared, "bucket"), "buckets")
 
+    # The signatures of documents that share a bucket, moved once; all later joins are with these few.
+    close = known.select("id", "signature", "bands").join(members.select("id").distinct(), "id", "left_semi")
+    close = materialize(close.dropDuplicates(["id", "signature"]), "close")
+
     company = members.groupBy("id").agg(F.sum("size").alias("company"))
     hubs = members.join(company, "id").groupBy("bucket").agg(F.max(F.struct("company", -F.col("id"))).alias("hub"))
     hubs = hubs.select("bucket", (-F.col("hub.col2")).alias("hub"))
     pair = F.least("id", "hub").alias("a"), F.greatest("id", "hub").alias("b")
     stars = materialize(members.join(hubs, "bucket").filter("id <> hub").select(*pair).distinct(), "stars")
-    links = confirmed(passing(stars, described, threshold), docs, key, text_column, threshold)
+    links = confirmed(passing(stars, close, threshold), docs, key, text_column, threshold)
 
     placed = members.join(stored_components(links).toDF("id", "component"), "id", "left").select("bucket", "size", "id", F.coalesce("component", "id").alias("component"))
     mixed = placed.groupBy("bucket").agg(F.min("component").alias("p"), F.max("component").alias("q")).filter("p < q").select("bucket")
     rest = materialize(placed.join(mixed, "bucket"), "mixed-buckets")
-    across = across_components(rest, described, threshold).join(stars, ["a", "b"], "left_anti")
+    across = across_components(rest, close, threshold).join(stars, ["a", "b"], "left_anti")
     links = links.union(confirmed(across, docs, key, text_column, threshold))
 
     found = stored_components(links).toDF("rep", "component")
