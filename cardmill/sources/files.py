@@ -6,6 +6,8 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
+from cardmill.session import materialize
+
 
 
 def read_csv(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
@@ -77,11 +79,12 @@ def read_json_entries(
         F.monotonically_increasing_id().alias("_line"),
     )
     bare = F.regexp_replace("value", r"\\.", "")
-    quoted = _running(pieces, "_quotes", _count(bare, '"'))
+    # Each running sum reads its input twice, so its result is stored before the next one.
+    quoted = materialize(_running(pieces, "_quotes", _count(bare, '"')), "json-quotes")
     # Outside of strings: a piece that begins inside one gets its opening quote back first.
     outside = F.regexp_replace(F.concat(F.when(F.col("_quotes") % 2 == 1, '"').otherwise(""), bare), r'"[^"]*("|$)', "")
     delta = _count(outside, "{") + _count(outside, "[") - _count(outside, "}") - _count(outside, "]")
-    nested = _running(quoted, "_depth", delta).withColumn("_after", F.col("_depth") + delta)
+    nested = materialize(_running(quoted, "_depth", delta).withColumn("_after", F.col("_depth") + delta), "json-depths")
     wrapper = rf'^\s*\{{\s*"{inner}"\s*:\s*\{{' if inner else r"^\b$"
     first = nested.groupBy("_file").agg(F.min_by("value", F.struct("_block", "_line")).alias("_first"))
     base = first.select("_file", F.when(F.col("_first").rlike(wrapper), 2).otherwise(1).alias("_base"))
