@@ -3,7 +3,8 @@
 Words are runs of letters and digits, in lower case. Every shingle of ``MIN_MATCH`` words of a benchmark item is a seed
 (an item of fewer words is one seed as a whole). A document is compared with the items it shares seeds with: the
 longest run of words equal in both is marked in both, again and again, until no unmarked run of ``MIN_MATCH`` words is
-left. Runs are found with the rolling (Karp-Rabin) hashes of the seeds and grown along diagonals, and each run is
+left. Only words inside shared seeds can be marked, so an item whose shared seeds hold less than ``COVERAGE`` of its
+words is not tiled at all; short seeds meet often by chance, and nearly all such meetings end there. Runs are found with the rolling (Karp-Rabin) hashes of the seeds and grown along diagonals, and each run is
 compared word by word hash. An item counts as leaked if its marked words reach ``COVERAGE`` of it, wherever in the
 document and in whatever order they stand.
 
@@ -28,10 +29,11 @@ from pyspark.sql import functions as F
 from cardmill.llm import text as tx
 from cardmill.llm.tables import read, ready
 
-MIN_MATCH = 8
+MIN_MATCH = 4
 COVERAGE = 0.5
 SLICE_WORDS = 2_000_000
 FILTER_BITS = 22
+MEETINGS = 1_000_000  # seeds that documents share with items, looked at together; one document may have more
 FOUND = "id long, item long, tiles int, covered int, item_words int, coverage double"
 
 
@@ -88,13 +90,13 @@ def _index(items: list[tuple[int, np.ndarray]], least: int) -> dict[int, tuple]:
         hashes = np.concatenate([w for _, w in chosen])
         owner = np.repeat([k for k, _ in chosen], [len(w) for _, w in chosen])
         seeds, place = _rolled(hashes, owner, length)
-        first = np.cumsum([0] + [len(w) for _, w in chosen])[:-1]
-        start = dict(zip((k for k, _ in chosen), first))
+        start = np.zeros(len(items), dtype=np.int64)
+        start[[k for k, _ in chosen]] = np.cumsum([0] + [len(w) for _, w in chosen])[:-1]
         owner = owner[place]
         order = np.argsort(seeds, kind="stable")
         bits = np.zeros(1 << FILTER_BITS, dtype=bool)
         bits[(seeds & np.uint64((1 << FILTER_BITS) - 1)).astype(np.int64)] = True
-        index[length] = (seeds[order], owner[order], np.array([p - start[o] for p, o in zip(place, owner)])[order], bits)
+        index[length] = (seeds[order], owner[order], (place - start[owner])[order], bits)
     return index
 
 
@@ -109,19 +111,54 @@ def _rolled(hashes: np.ndarray, rows: np.ndarray, k: int):
     return tx.mix(acc[at] + np.uint64(k)), at
 
 
+def _promising(row: np.ndarray, low: np.ndarray, high: np.ndarray, owners: np.ndarray, places: np.ndarray, length: int, needed: np.ndarray):
+    """Pairs (row, owner) whose distinct shared seeds hold at least ``needed[owner]`` words, from seeds low..high met in each row."""
+    fresh = np.ones(len(row), dtype=bool)
+    order = np.lexsort((low, row))
+    row, low, high = row[order], low[order], high[order]
+    fresh[1:] = (row[1:] != row[:-1]) | (low[1:] != low[:-1])
+    row, low, count = row[fresh], low[fresh], (high - low)[fresh]
+    ends = np.cumsum(count)
+    first = np.flatnonzero(np.concatenate([[True], row[1:] != row[:-1]]))  # of each row
+    chunk = (ends - count)[first] // MEETINGS
+    cuts = np.concatenate([first[np.flatnonzero(np.concatenate([[True], chunk[1:] != chunk[:-1]]))], [len(row)]])
+    for a, b in zip(cuts[:-1], cuts[1:]):
+        n = count[a:b]
+        seed = np.repeat(low[a:b] - (np.cumsum(n) - n), n) + np.arange(n.sum())
+        its_row, owner, place = np.repeat(row[a:b], n), owners[seed], places[seed]
+        order = np.lexsort((place, owner, its_row))
+        its_row, owner, place = its_row[order], owner[order], place[order]
+        begins = np.concatenate([[True], (its_row[1:] != its_row[:-1]) | (owner[1:] != owner[:-1])])
+        held = np.full(len(place), length)
+        inner = np.flatnonzero(~begins)
+        held[inner - 1] = np.minimum(length, place[inner] - place[inner - 1])
+        at = np.flatnonzero(begins)
+        enough = np.add.reduceat(held, at) >= needed[owner[at]]
+        yield from zip(its_row[at[enough]].tolist(), owner[at[enough]].tolist())
+
+
 def compare(items: list[tuple[int, np.ndarray]], index: dict, data: np.ndarray, offsets: np.ndarray, least: int, coverage: float):
     """(row, item id, tiles, covered, words of the item) of every leaked item of each text."""
     hashes, rows = plain_words(data, offsets)
     first = np.searchsorted(rows, np.arange(len(offsets)))
+    needed = np.array([coverage * len(w) for _, w in items])
     met: dict[tuple[int, int], list] = {}
     for length, (seeds, owners, places, bits) in index.items():
         rolled, at = _rolled(hashes, rows, length)
         maybe = np.flatnonzero(bits[(rolled & np.uint64(len(bits) - 1)).astype(np.int64)])
         low, high = np.searchsorted(seeds, rolled[maybe], "left"), np.searchsorted(seeds, rolled[maybe], "right")
-        for m, a, b in zip(maybe[low < high], low[low < high], high[low < high]):
-            row = int(rows[at[m]])
-            for s in range(a, b):
-                met.setdefault((row, int(owners[s])), []).append((int(places[s]), int(at[m] - first[row])))
+        hit = low < high
+        at, low, high = at[maybe[hit]], low[hit], high[hit]
+        if not len(at):
+            continue
+        row = rows[at]
+        for r, k in _promising(row, low, high, owners, places, length, needed):
+            its_seeds, its_places = _rolled(items[k][1], np.zeros(len(items[k][1]), np.int64), length)
+            where: dict[int, list[int]] = {}
+            for seed, j in zip(np.searchsorted(seeds, its_seeds).tolist(), its_places.tolist()):
+                where.setdefault(seed, []).append(j)
+            a, b = np.searchsorted(row, r, "left"), np.searchsorted(row, r, "right")
+            met[r, k] = [(j, i) for seed, i in zip(low[a:b].tolist(), (at[a:b] - first[r]).tolist()) for j in where.get(seed, ())]
     for (row, k), seeds_met in sorted(met.items()):
         item, its_words = items[k]
         own = hashes[first[row] : first[row + 1]]

@@ -356,6 +356,60 @@ def test_leaks_in_any_order_are_found(spark):
     assert decontaminate.leaks(frame, empty).count() == 0 and decontaminate.leaks(frame.filter("false"), empty).count() == 0
 
 
+def plain_tiling(item, words, least):
+    """Tiles and marked words: the longest common unmarked run is marked until none of ``least`` words is left."""
+    least, in_item, in_doc, count = min(least, len(item)), set(), set(), 0
+    while True:
+        best = (0, 0, 0)
+        for j in range(len(item)):
+            for i in range(len(words)):
+                n = 0
+                while j + n < len(item) and i + n < len(words) and item[j + n] == words[i + n] and j + n not in in_item and i + n not in in_doc:
+                    n += 1
+                if n > best[0]:
+                    best = (n, j, i)
+        n, j, i = best
+        if n < least or n == 0:
+            return count, len(in_item)
+        in_item.update(range(j, j + n))
+        in_doc.update(range(i, i + n))
+        count += 1
+
+
+def test_leaks_with_short_runs_like_brute_force(spark, monkeypatch):
+    monkeypatch.setattr(decontaminate, "MEETINGS", 40)  # many chunks
+    rng = random.Random(90)
+    items, docs, whole = [], [], set()
+    for k in range(12):
+        sentences = [[f"w{rng.randint(0, 60)}" for _ in range(rng.randint(4, 7))] for _ in range(rng.randint(3, 6))]
+        words = [w for s in sentences for w in s]
+        items.append((k, words))
+        around = [f"n{rng.randint(0, 30)}" for _ in range(15)]
+        shuffled = rng.sample(sentences, len(sentences))
+        docs.append((100 + k, around + [w for s in shuffled for w in s] + around))
+        whole.add((100 + k, k))
+        for step in (6, 7, 8):
+            changed = [f"new{i}" if i % step == step - 1 else w for i, w in enumerate(words)]
+            docs.append((1000 * step + k, around + changed + around))
+            whole.add((1000 * step + k, k))
+        docs.append((200 + k, around + words[:4] + around + words[len(words) // 2 :][:4]))
+        docs.append((300 + k, [f"w{rng.randint(0, 60)}" for _ in range(80)]))
+    items += [(50, ["again"] * 10), (51, ["only", "three", "words"])]
+    docs += [(400, ["again"] * 25), (401, ["again"] * 3), (402, ["x", "only", "three", "words", "y"])]
+    bench = spark.createDataFrame([(k, " ".join(w)) for k, w in items], "item_id long, text string")
+    frame = documents(spark, [(k, " ".join(w)) for k, w in docs])
+    want = {}
+    for d, words in docs:
+        for k, item in items:
+            count, covered = plain_tiling(item, words, 4)
+            if covered >= 0.5 * len(item):
+                want[d, k] = (count, covered)
+    found = {(r.doc_id, r.item_id): (r.tiles, r.covered) for r in decontaminate.leaks(frame, bench).collect()}
+    assert found == want and whole <= found.keys()
+    sliced = decontaminate.leaks(frame, bench, slice_words=60)
+    assert {(r.doc_id, r.item_id): (r.tiles, r.covered) for r in sliced.collect()} == want
+
+
 # --- 10 quality
 
 
