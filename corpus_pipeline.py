@@ -15,9 +15,14 @@ from cardmill.llm.tables import fresh, read, ready
 from cardmill.session import materialize
 
 
-def _without(docs: DataFrame, found: DataFrame) -> DataFrame:
-    name = fresh(docs, "__id")
-    return docs.join(found.select(F.col("doc_id").alias(name)).distinct(), F.col("doc_id") == F.col(name), "left_anti")
+def _keyed(docs: DataFrame) -> tuple[DataFrame, str]:
+    """``docs`` with a stored key of its own for every row, as ``doc_id`` may be null or repeated; and the name of that key."""
+    row = fresh(docs, "__row")
+    return materialize(docs.withColumn(row, F.monotonically_increasing_id()), "rows"), row
+
+
+def _without(rows: DataFrame, found: DataFrame, row: str) -> DataFrame:
+    return rows.join(found.select(row).distinct(), row, "left_anti").drop(row)
 
 
 def keep_good(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -38,15 +43,28 @@ def drop_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Da
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near copies (similarity 0.8 or more), the one with the smallest id."""
+    """One row of each group of near copies (similarity 0.8 or more), the one with the smallest id; null ids come last.
+
+    Rows are compared whatever their ids are. Texts without words are near to nothing, but of rows that agree in id and
+    such a text one stays.
+    """
     ready(spark)
-    return _without(docs, minhash.near_duplicates(docs, 0.8).filter("not kept"))
+    rows, row = _keyed(docs)
+    found = minhash.near_duplicates(rows, 0.8, key=row)
+    order = F.struct(F.col("doc_id").isNull(), "doc_id", F.xxhash64(*[F.col(f"`{c}`") for c in docs.columns]), row)
+    members = found.join(rows.select(row, "doc_id", F.md5("text").alias("text_md5"), order.alias("order")), row)
+    wordless = F.col("n_shingles") == 0
+    same = F.when(wordless, F.struct("doc_id", "text_md5"))
+    alone = F.when(~wordless | F.col("doc_id").isNull(), F.col("component_id"))  # its own key, if it has no words
+    kept = members.groupBy(alone.alias("group"), same.alias("same")).agg(F.min("order").alias("first")).select(F.col(f"first.{row}").alias(row))
+    return _without(rows, rows.select(row).join(kept, row, "left_anti"), row)
 
 
 def drop_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that hold no benchmark item."""
     ready(spark)
-    return _without(docs, decontaminate.leaks(docs, read(spark, sf_dir, "benchmark")))
+    rows, row = _keyed(docs)
+    return _without(rows, decontaminate.leaks(rows, read(spark, sf_dir, "benchmark"), key=row), row)
 
 
 def to_pieces(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

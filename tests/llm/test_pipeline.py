@@ -55,6 +55,40 @@ def test_pipeline_on_planted_cases(spark, tmp_path):
     assert docs.filter("not lossless").count() == 0 and docs.filter(F.col("pieces").isNull() & (F.col("doc_id") != 305)).count() == 0
 
 
+def test_rows_with_null_or_repeated_ids_are_judged_on_their_own(spark, tmp_path):
+    rng = random.Random(2)
+    folder = f"file://{tmp_path}"
+    item = " ".join(f"question{i}" for i in range(30))
+    write(spark.createDataFrame([(1, item)], "item_id long, text string"), folder, "benchmark")
+    texts = [prose(rng, 60) for _ in range(9)]
+    near = " ".join([*texts[0].split(" ")[:58], "other"])
+    groups = [
+        [(5, texts[0]), (None, texts[0]), (None, near), (9, texts[0])],  # copies with and without an id
+        [(None, texts[1])] * 40,
+        [(20, texts[2])] * 40,
+        [(30, texts[3]), (31, texts[3]), (31, texts[4])],  # 31 is a copy once, and a text of its own
+        [(32, texts[5]), (32, texts[6])],
+        [(40, "")] * 3, [(40, None)] * 3, [(41, "")],
+        [(None, "")], [(None, "")], [(None, None)],
+        [(50, texts[7])], [(None, texts[8])],
+    ]
+    leaking = [(50, prose(rng, 20) + " " + item), (None, prose(rng, 20) + " " + item)]
+    rows = [r for g in groups for r in g] + leaking
+    rng.shuffle(rows)
+    rows = [(k, t, "en", "s", len(t or ""), k) for k, t in rows]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long, __row long").repartition(5)
+    stages = dict(corpus_pipeline.STAGES)
+    apart = stages["minhash_near_dedup"](spark, docs, folder)
+    assert apart.columns == docs.columns and apart.filter("not doc_id <=> __row").count() == 0
+    left = sorted(((r.doc_id or 0, r.text or "") for r in apart.collect()))
+    want = [(5, texts[0]), (0, texts[1]), (20, texts[2]), (30, texts[3]), (31, texts[4]), (32, texts[5]), (32, texts[6])]
+    want += [(40, ""), (40, ""), (41, ""), (0, ""), (0, ""), (0, ""), (50, texts[7]), (0, texts[8])]
+    assert left == sorted(want + [(k or 0, t) for k, t in leaking])
+    clean = stages["benchmark_decontamination"](spark, apart, folder)
+    assert clean.columns == docs.columns
+    assert sorted(((r.doc_id or 0, r.text or "") for r in clean.collect())) == sorted(want)
+
+
 def test_run_gives_the_rows_of_the_stages(spark):
     found = corpus_pipeline.run(spark, "/root/testdata/sf0.001")
     assert found.filter("lossless").count() == found.count() > 0
