@@ -5,7 +5,8 @@ what one shard should hold; it goes to the shard where the dot product with the
 groups first.
 
 * Heavy groups, those of more than ``HEAVY`` of a shard in any dimension, are at most ``3 * shards / HEAVY`` and are
-  packed in one place. A group of more than ``SPLIT`` of a shard is cut into pieces, which are packed like groups.
+  packed in one place. A group that fits into one shard stays whole; a larger one is cut into pieces, which are packed
+  like groups.
 * All other groups are dealt into blocks by hash, and each block is packed on its own, in proportion to what the heavy
   groups left free. A block holds about ``BLOCK_GROUPS`` groups, however much data there is.
 
@@ -27,8 +28,8 @@ from cardmill.llm.tables import numbered, read, ready
 from cardmill.session import materialize
 
 HEAVY = 0.005
-SPLIT = 0.5
-PIECES = 8  # pieces of a cut group for each shard it could fill
+SPLIT = 1.0
+PIECES = 8  # pieces of a cut group for each shard it could fill; with fewer, sizes and rows can't both be balanced
 BLOCK_GROUPS = 20_000
 OVERHEAD = 8
 
@@ -88,13 +89,15 @@ def assign(docs: DataFrame, shards: int, key="doc_id", text_column="text") -> Da
 
     light = groups.filter(largest <= HEAVY).withColumn("block", F.pmod(F.xxhash64("group"), F.lit(blocks)))
     light = light.groupBy("block").applyInPandas(one_block, "group string, shard int")
-    whole = materialize(light.union(placed.filter("not cut").select("group", "shard")), "group-shards")
-    cut = placed.filter("cut")
+    light = materialize(light, "group-shards")
+    whole, cut = placed.filter("not cut").select("group", "shard"), placed.filter("cut")
     cut_groups = cut.select("group").distinct()
     members = numbered(rows.join(F.broadcast(cut_groups), "group", "left_semi"), ["group"], ["id"], "member")
     inside = (members["group"] == cut["group"]) & (F.col("member") >= F.col("low")) & (F.col("member") < F.col("high"))
     members = members.join(F.broadcast(cut), inside).select("id", "size", "crc", "shard")  # both sides of few groups
-    placed_rows = rows.join(whole, "group").select("id", "size", "crc", "shard").union(members)
+    of_light = rows.join(F.broadcast(placed.select("group").distinct()), "group", "left_anti").join(light, "group")
+    of_whole = rows.join(F.broadcast(whole), "group")  # a shard's worth of rows may share one key
+    placed_rows = of_light.select("id", "size", "crc", "shard").union(of_whole.select("id", "size", "crc", "shard")).union(members)
     out = numbered(placed_rows, ["shard"], ["id", "crc"], "slot")
     return out.select(F.col("id").alias(key), "size", F.col("crc").alias("text_crc32"), "shard", "slot")
 

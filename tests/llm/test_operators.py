@@ -243,6 +243,20 @@ def test_sharding_laws(spark):
     assert sharding.assign(documents(spark, []), 5).count() == 0
 
 
+def test_group_of_up_to_one_shard_stays_whole(spark):
+    rng = random.Random(61)
+    rows = [(i, prose(rng, 40)) for i in range(800)]
+    same = {1000: (90, prose(rng, 40)), 2000: (120, prose(rng, 40)), 3000: (330, prose(rng, 40))}  # shares of a shard below
+    rows += [(start + i, text) for start, (n, text) in same.items() for i in range(n)]
+    found = by_key(sharding.assign(documents(spark, rows).repartition(4), 8))
+    sizes = [sum(r.size for r in found.values() if r.shard == s) for s in range(8)]
+    parts = {start: max(n * found[start].size / (sum(sizes) / 8), n / (len(rows) / 8)) for start, (n, _) in same.items()}
+    assert 0.5 < parts[1000] < 0.65 < parts[2000] < 0.9 and parts[3000] > 1.5
+    held = {start: {found[start + i].shard for i in range(n)} for start, (n, _) in same.items()}
+    assert len(held[1000]) == len(held[2000]) == 1 and len(held[3000]) > 1
+    assert len(found) == len(rows) and max(sizes) < 1.03 * min(sizes)
+
+
 # --- 7 near duplicates
 
 
