@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from cardmill.llm import chat, decontaminate, lines, minhash, pieces, quality, sharding, substrings, toxicity, vectors
+from cardmill.llm import chat, decontaminate, divergence, lines, minhash, negatives, packing, pieces, quality, sharding, substrings, toxicity, vectors
 
 QUERIES = {
     "op1_lines": lines.op1_lines,
@@ -15,6 +15,9 @@ QUERIES = {
     "op8_chat": chat.op8_chat,
     "op9_decontaminate": decontaminate.op9_decontaminate,
     "op10_quality": quality.op10_quality,
+    "op11_negatives": negatives.op11_negatives,
+    "op12_divergence": divergence.op12_divergence,
+    "op13_packing": packing.op13_packing,
 }
 
 ORACLES = {
@@ -22,4 +25,6 @@ ORACLES = {
     "op2_vectors": vectors.SQL,
     "op4_substrings": substrings.SQL,
     "op7_minhash": minhash.SQL,
+    "op11_negatives": negatives.SQL,
+    "op12_divergence": divergence.SQL,
 }
