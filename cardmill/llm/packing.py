@@ -20,7 +20,9 @@ are documents of their own. Other columns are left out. An empty table gives no
 
 from __future__ import annotations
 
+import os
 import re
+from array import array
 from collections import Counter
 from itertools import chain
 
@@ -36,8 +38,9 @@ from cardmill.session import materialize
 
 CAPACITY = 1024
 END = 2
-STRETCH = 4 << 20  # bytes of text encoded at once
-CACHED = 1 << 19  # encoded stretches of text a worker remembers
+STRETCH = 1 << 20  # bytes of text encoded at once
+CACHED = 3 << 17  # encoded stretches of text a worker remembers
+ENCODED = 4096  # stretches the tokenizer holds at once
 
 
 def dominating(counts: Counter, size: int, capacity: int) -> tuple[int, ...] | None:
@@ -204,6 +207,7 @@ class Encoder:
     """Ids of byte-level pairs. Stretches between cuts are encoded once and remembered."""
 
     def __init__(self, model: str):
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"  # a task is one of many threads already
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_str(model)
@@ -215,8 +219,10 @@ class Encoder:
         self.flat, self.first = np.zeros(1 << 16, dtype=np.uint32), np.zeros(CACHED * 2, dtype=np.int64)
 
     def _learn(self, stretches: list[str]) -> None:
-        known, at = self.known, len(self.known)
-        lists = [found.ids for found in self.tokenizer.encode_batch_fast(stretches, add_special_tokens=False)]
+        known, at, lists = self.known, len(self.known), []
+        for i in range(0, len(stretches), ENCODED):
+            batch = self.tokenizer.encode_batch_fast(stretches[i : i + ENCODED], add_special_tokens=False)
+            lists += [array("I", found.ids) for found in batch]
         ends = np.cumsum([len(ids) for ids in lists]) + self.first[at]
         self.first = _room(self.first, at + len(lists) + 1)
         self.first[at + 1 : at + 1 + len(lists)] = ends
