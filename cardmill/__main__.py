@@ -6,7 +6,7 @@ import argparse
 from datetime import date, datetime, time
 
 from cardmill.operators import quality
-from cardmill.plans import catalog, flows, ingest, maintenance, staging, warehouse
+from cardmill.plans import catalog, flows, incremental, ingest, labels, maintenance, repack, staging, warehouse
 from cardmill.plans.layout import Lake
 from cardmill.session import build_session
 from cardmill.sources import JdbcSource, read_day, read_table
@@ -39,6 +39,14 @@ def _compact(spark, lake, options):
     ]
 
 
+def _repack(spark, lake, options):
+    return [repack.repack_day(spark, lake.staging(table), options.date, key) for table, key in COMPACTED.items()]
+
+
+def _load(spark, lake, options):
+    return {"users": incremental.load_users(spark, lake), "cards": incremental.load_cards(spark, lake)}
+
+
 def _publish(spark, lake, options):
     catalog.register_tables(spark, lake)
     catalog.sync_partitions(spark, lake)
@@ -53,6 +61,9 @@ JOBS = {
     "enrich": lambda spark, lake, o: staging.enrich_transactions_day(spark, lake, o.date),
     "features": lambda spark, lake, o: warehouse.build_features_day(spark, lake, o.date),
     "marts": lambda spark, lake, o: warehouse.build_marts(spark, lake, o.date),
+    "load": _load,
+    "late-labels": lambda spark, lake, o: labels.run_labels(spark, lake, read_table(spark, lake.raw("fraud_labels"))),
+    "repack": _repack,
     "labels": lambda spark, lake, o: flows.check_labels(spark, lake, o.date.year),
     "check": _check,
     "compact": _compact,

@@ -48,3 +48,12 @@ def children(spark: SparkSession, path: str) -> list[str]:
 def mkdirs(spark: SparkSession, path: str) -> None:
     target, fs = _path(spark, path)
     fs.mkdirs(target)
+
+
+def data_files(spark: SparkSession, path: str) -> list[tuple[str, int]]:
+    """Names and sizes of the data files of one folder, by name; marker files are left out."""
+    target, fs = _path(spark, path)
+    if not fs.exists(target):
+        return []
+    found = [(s.getPath().getName(), s.getLen()) for s in fs.listStatus(target) if s.isFile()]
+    return sorted((name, size) for name, size in found if not name.startswith(("_", ".")))

@@ -11,6 +11,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from cardmill import functions as fn
+from cardmill.operators.asof import as_of
 from cardmill.operators.dedup import latest_per_key
 
 # End of a version that is still open.
@@ -29,7 +30,7 @@ TRACKED_USER_COLUMNS = (
     "num_credit_cards",
 )
 
-VERSION_COLUMNS = ("valid_from", "valid_to", "is_current")
+VERSION_COLUMNS = ("valid_from", "valid_to", "is_current", "closed_at")
 
 
 def type1(snapshot: DataFrame, key: str, newest: Sequence[str], tiebreak: Sequence[Column] | None = None) -> DataFrame:
@@ -94,14 +95,7 @@ def _or_null(df: DataFrame, other: DataFrame, name: str) -> Column:
 
 def version_at(facts: DataFrame, dim: DataFrame, key: str, ts: str, attributes: Sequence[str]) -> DataFrame:
     """Attributes of the version that was valid when the fact happened."""
-    versions = dim.select(key, "valid_from", "valid_to", *attributes).alias("d")
-    f = facts.alias("f")
-    valid = (
-        (F.col(f"f.{key}") == F.col(f"d.{key}"))
-        & (F.col("d.valid_from") <= F.col(f"f.{ts}"))
-        & (F.col(f"f.{ts}") < F.col("d.valid_to"))
-    )
-    return f.join(versions, valid, "left").select("f.*", *[f"d.{c}" for c in attributes])
+    return as_of(facts, dim, key, ts, attributes)
 
 
 def upsert(target: DataFrame, updates: DataFrame, key: str) -> DataFrame:

@@ -12,7 +12,10 @@ ranges (see ``skew``). Both ways give the same result.
 
 from __future__ import annotations
 
+from collections.abc import Iterable, Sequence
 from datetime import date, timedelta
+from functools import reduce
+from operator import or_
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -115,7 +118,8 @@ def velocity(
     ``txns`` needs ``user_id`` (not NULL), a unique ``transaction_id``,
     ``transaction_date`` and decimal ``amount``. ``opening`` holds each user's
     earlier totals (``user_id, amount_sum, amount_count``) when ``txns`` does
-    not reach back to the user's first transaction.
+    not reach back to the user's first transaction; further columns of it say
+    for which rows of the user.
     """
     timed = txns.withColumn("_second", fn.event_second(F.col("transaction_date")))
     hot, rows = hot_keys(timed, "user_id", hot_rows)
@@ -128,7 +132,7 @@ def velocity(
 
     total, count = F.col("running_sum"), F.col("running_count")
     if opening is not None:
-        featured = featured.join(opening.select("user_id", "amount_sum", "amount_count"), "user_id", "left")
+        featured = featured.join(opening, [c for c in opening.columns if c not in ("amount_sum", "amount_count")], "left")
         total = F.coalesce(total + F.col("amount_sum"), total, F.col("amount_sum"))
         count = count + F.coalesce("amount_count", F.lit(0))
     average = F.try_divide(total.cast("double"), count.cast("double"))
@@ -156,12 +160,38 @@ def fraud_features(txns: DataFrame, opening: DataFrame | None = None, hot_rows:
     return conform(add_time_and_place_flags(velocity(txns, opening, hot_rows)), STAGING["features"])
 
 
-def between_days(df: DataFrame, first: date, last: date) -> DataFrame:
-    """Rows of the days from ``first`` to ``last``: whole years between them, months at the ends, days in those months."""
+def in_days(first: date, last: date) -> Column:
+    """Days from ``first`` to ``last``: whole years between them, months at the ends, days in those months."""
     year, month, day = F.col("year"), F.col("month"), F.col("day")
     after = (year > first.year) | (year == first.year) & ((month > first.month) | (month == first.month) & (day >= first.day))
     before = (year < last.year) | (year == last.year) & ((month < last.month) | (month == last.month) & (day <= last.day))
-    return df.filter(after & before)
+    return after & before
+
+
+def between_days(df: DataFrame, first: date, last: date) -> DataFrame:
+    """Rows of the days from ``first`` to ``last``."""
+    return df.filter(in_days(first, last))
+
+
+def spans(days: Iterable[date], back: int = 0) -> list[tuple[date, date]]:
+    """The days, each with ``back`` days before it, as runs of days that neither touch nor overlap, in order."""
+    runs: list[tuple[date, date]] = []
+    for day in sorted(set(days)):
+        first = day - timedelta(days=back)
+        if runs and first <= runs[-1][1] + timedelta(days=1):
+            runs[-1] = (runs[-1][0], day)
+        else:
+            runs.append((first, day))
+    return runs
+
+
+def in_spans(runs: Sequence[tuple[date, date]]) -> Column:
+    """Rows of the runs, by conditions on the partition columns alone."""
+    return reduce(or_, (in_days(first, last) for first, last in runs), F.lit(False))
+
+
+def on_days(df: DataFrame, days: Iterable[date]) -> DataFrame:
+    return df.filter(in_spans(spans(days)))
 
 
 def daily_features(
@@ -190,3 +220,45 @@ def amounts_before(daily: DataFrame, target: date) -> DataFrame:
     return earlier.groupBy("user_id").agg(
         F.sum("amount_sum").alias("amount_sum"), F.sum("amount_count").alias("amount_count")
     )
+
+
+def amounts_between(daily: DataFrame, runs: Sequence[tuple[date, date]]) -> DataFrame:
+    """For each user and run of days: amount total and count of all earlier days that lie in no run.
+
+    Days of one user are summed by the run they come before; a running sum over the runs, of which there are at most as
+    many as a user has, then counts every day once. A sum holds up to the user's next one.
+    """
+    day, starts = F.make_date("year", "month", "day"), F.array(*(F.lit(first) for first, _ in runs))
+    outside = daily.filter(~in_spans(runs) & (day < F.lit(runs[-1][0])))
+    before = outside.withColumn("_run", F.size(F.filter(starts, lambda s: s <= day)))
+    steps = before.groupBy("user_id", "_run").agg(F.sum("amount_sum").alias("amount_sum"), F.sum("amount_count").alias("amount_count"))
+    order = Window.partitionBy("user_id").orderBy("_run")
+    so_far = order.rowsBetween(Window.unboundedPreceding, 0)
+    totals = steps.select(
+        "user_id",
+        F.col("_run").alias("_from"),
+        (F.lead("_run", 1, len(runs)).over(order) - 1).alias("_to"),
+        *(F.sum(c).over(so_far).alias(c) for c in ("amount_sum", "amount_count")),
+    )
+    return totals.select("user_id", F.explode(F.sequence("_from", "_to")).alias("_run"), "amount_sum", "amount_count")
+
+
+def features_on_days(txns: DataFrame, days: Sequence[date], daily: DataFrame | None = None, hot_rows: int = HOT_ROWS) -> DataFrame:
+    """Features of any number of days in one pass over them and their lookbacks.
+
+    Lookbacks that overlap are read once. With the totals of ``daily_amounts`` the running average covers each user's
+    whole history: rows between two runs of days are not read but added from those totals.
+    """
+    runs = spans(days, LOOKBACK_DAYS)
+    if not runs:
+        return fraud_features(txns.filter(F.lit(False)))
+    calendar = txns.sparkSession.createDataFrame(
+        [(d.year, d.month, d.day, i) for i, run in enumerate(runs) for d in _each_day(*run)], "year int, month int, day int, _run int"
+    )
+    window = txns.filter(in_spans(runs)).join(calendar, ["year", "month", "day"])
+    opening = None if daily is None else amounts_between(daily, runs)
+    return on_days(fraud_features(window, opening, hot_rows), days)
+
+
+def _each_day(first: date, last: date) -> list[date]:
+    return [first + timedelta(days=i) for i in range((last - first).days + 1)]

@@ -11,6 +11,10 @@ from pyspark.sql import functions as F
 # Smallest accepted share of labelled transactions.
 MIN_LABEL_COVERAGE = 0.80
 
+# Columns of staged transactions that are never NULL, and the values a column may have.
+NEVER_NULL = ("transaction_id", "user_id", "amount_format", "is_valid")
+ACCEPTED = {"amount_format": ("US", "EU", "CLEAN", "VN", "AMBIGUOUS", "INVALID")}
+
 
 class QualityError(RuntimeError):
     """At least one check failed."""
@@ -81,6 +85,46 @@ def table_checks(
     return report.withColumn("passed", F.col("failures") == 0)
 
 
+def _failing(not_null: Sequence[str], accepted: Mapping[str, Sequence[str]] | None) -> dict[str, Column]:
+    failing: dict[str, Column] = {f"not_null.{c}": F.col(c).isNull() for c in not_null}
+    return failing | {f"accepted_values.{c}": ~F.col(c).isin(*v) for c, v in (accepted or {}).items()}
+
+
+def day_counts(
+    df: DataFrame, key: str, not_null: Sequence[str] = (), accepted: Mapping[str, Sequence[str]] | None = None
+) -> DataFrame:
+    """Rows, keyed rows and failures of every column check for each day: counts that add up over days."""
+    failing = _failing(not_null, accepted)
+    return df.groupBy("year", "month", "day").agg(
+        F.count(F.lit(1)).alias("total"),
+        F.count(key).alias("keyed"),
+        F.map_from_arrays(
+            F.array(*map(F.lit, failing)), F.array(*(F.count(F.when(condition, 1)) for condition in failing.values()))
+        ).alias("failures"),
+    )
+
+
+def repeated_keys(df: DataFrame, key: str, candidates: DataFrame) -> DataFrame:
+    """The candidates that occur on more than one row; of ``df`` only the key column is read, and only candidates are grouped."""
+    wanted = candidates.select(key).filter(F.col(key).isNotNull()).distinct()
+    counted = df.select(key).join(wanted, key, "left_semi").groupBy(key).agg(F.count(F.lit(1)).alias("n"))
+    return counted.filter("n > 1").select(key)
+
+
+def checks_of_days(counts: DataFrame, repeated: DataFrame, key: str, checks: Sequence[str], prefix: str = "") -> DataFrame:
+    """The report of ``table_checks`` from the counts of all days and the keys that are repeated."""
+    total = counts.agg(
+        F.coalesce(F.sum("total"), F.lit(0)).alias("total"),
+        F.coalesce(F.sum("keyed"), F.lit(0)).alias("keyed"),
+        *(F.coalesce(F.sum(F.col("failures")[name]), F.lit(0)).alias(f"f{i}") for i, name in enumerate(checks)),
+    )
+    rows = [("has_rows", F.when(F.col("total") > 0, 0).otherwise(1).cast("bigint"), "total")]
+    rows += [(name, F.col(f"f{i}"), "total") for i, name in enumerate(checks)]
+    rows += [(f"unique.{key}", F.lit(repeated.select(F.count(F.lit(1))).scalar()), "keyed")]
+    structs = [F.struct(F.lit(prefix + n).alias("check"), f.alias("failures"), F.col(t).alias("total")) for n, f, t in rows]
+    return total.select(F.inline(F.array(*structs))).withColumn("passed", F.col("failures") == 0)
+
+
 def null_rows(df: DataFrame, key: str) -> DataFrame:
     """The offending rows themselves: none means the check passes."""
     return df.filter(F.col(key).isNull()).select(key)
@@ -103,17 +147,14 @@ def raw_checks(transactions: DataFrame, mcc_codes: DataFrame) -> DataFrame:
 
 
 def staging_checks(transactions: DataFrame, users: DataFrame, cards: DataFrame) -> DataFrame:
-    formats = ("US", "EU", "CLEAN", "VN", "AMBIGUOUS", "INVALID")
     return union_reports(
-        table_checks(
-            transactions,
-            "transaction_id",
-            ["transaction_id", "user_id", "amount_format", "is_valid"],
-            {"amount_format": formats},
-            "transactions.",
-        ),
-        table_checks(users, "user_id", ["user_id"], prefix="users."),
-        table_checks(cards, "card_id", ["card_id"], prefix="cards."),
+        table_checks(transactions, "transaction_id", NEVER_NULL, ACCEPTED, "transactions."), dimension_checks(users, cards)
+    )
+
+
+def dimension_checks(users: DataFrame, cards: DataFrame) -> DataFrame:
+    return union_reports(
+        table_checks(users, "user_id", ["user_id"], prefix="users."), table_checks(cards, "card_id", ["card_id"], prefix="cards.")
     )
 
 

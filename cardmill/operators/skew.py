@@ -64,3 +64,30 @@ def running_totals(
 def _plus(a, b):
     """Sum in which a missing side counts as nothing; NULL only when both are missing."""
     return F.coalesce(a + b, a, b)
+
+
+def carried_forward(
+    df: DataFrame, key: str, order: list[str], value: str, name: str, rows: int, range_rows: int = RANGE_ROWS
+) -> DataFrame:
+    """Add the last known ``value`` at or before each row of its key in ``order`` as ``name``.
+
+    As in ``running_totals`` one key spreads over ranges of the full order; a range takes over the last value of the
+    ranges before it. What is kept of a range and key is one row.
+    """
+    ranges = max(1, ceil(rows / range_rows))
+    cut = df.repartitionByRange(ranges, key, *order).withColumn("_range", F.spark_partition_id())
+    cut = materialize(cut, "ranges")
+
+    known = F.when(F.col(value).isNotNull(), F.struct(*order, F.col(value).alias("_known")))
+    ends = cut.groupBy(key, "_range").agg(F.max(known).alias("_end_of_range"))
+    earlier = Window.partitionBy(key).orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
+    carried = ends.select(
+        key, "_range", F.last("_end_of_range", ignorenulls=True).over(earlier)["_known"].alias("_before")
+    )
+    within = Window.partitionBy(key, "_range").orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
+    local = cut.withColumn("_here", F.last(value, ignorenulls=True).over(within))
+    return (
+        local.join(carried, [key, "_range"], "left")
+        .withColumn(name, F.coalesce("_here", "_before"))
+        .drop("_range", "_here", "_before")
+    )

@@ -24,6 +24,8 @@ TABLES = (
 # Stored marts, which bring their own columns, and their partitions.
 MARTS = {
     "dim_merchants": (),
+    "merchant_days": ("year", "month", "day"),
+    "merchant_months": ("year", "month"),
     "user_daily_amounts": ("year", "month", "day"),
     "fraud_features": ("year", "month", "day"),
     "user_daily_stats": ("year", "month", "day"),

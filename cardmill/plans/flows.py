@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from datetime import date, datetime
 
 from pyspark.sql import SparkSession
 from pyspark.sql import functions as F
 
 from cardmill.operators import quality
-from cardmill.plans import staging, warehouse
+from cardmill.plans import checks, staging, warehouse
 from cardmill.plans.layout import Lake
 from cardmill.session import scratch_run
 from cardmill.sources import read_day, read_table, read_table_if_present
@@ -37,27 +38,32 @@ def run_backfill(spark: SparkSession, lake: Lake, as_of: datetime) -> dict:
 
 
 def run_day(spark: SparkSession, lake: Lake, day: date, as_of: datetime) -> dict:
-    """One day after ingest; the raw day is checked before anything is overwritten.
+    """One day after ingest; see ``run_days``."""
+    return run_days(spark, lake, [day], as_of)
 
-    Days after ``day`` whose lookback holds it, and days that lost an id to it, get new features and marts too. Running
-    averages of later days count every earlier day, so with ``day`` in the past all later days are rebuilt.
+
+def run_days(spark: SparkSession, lake: Lake, days: Sequence[date], as_of: datetime) -> dict:
+    """Some days after ingest; the raw days are checked before anything is overwritten.
+
+    Days after the first of them whose lookback holds it, and days that lost an id to them, get new features and marts
+    too. Running averages of later days count every earlier day, so with a day in the past all later days are rebuilt:
+    by one feature job and one mart job, however many they are. Merchant totals are read from stored parts.
     """
-    quality.gate(
-        quality.raw_checks(read_day(spark, lake.raw("transactions"), day), read_table(spark, lake.raw("mcc_codes")))
-    )
+    codes = read_table(spark, lake.raw("mcc_codes"))
+    for day in days:
+        quality.gate(quality.raw_checks(read_day(spark, lake.raw("transactions"), day), codes))
     with scratch_run(spark):
         result = _dimensions(spark, lake, as_of)
-        result["transactions"] = staging.clean_transactions_day(spark, lake, day)
-        _gate_staging(spark, lake)
-        changed = [day, *map(date.fromisoformat, result["transactions"]["other_days"])]
-        result["amounts"] = sum(warehouse.build_amounts(spark, lake, d) for d in changed)
+        cleaned = [staging.clean_transactions_day(spark, lake, day) for day in days]
+        result["transactions"] = cleaned[0] if len(cleaned) == 1 else cleaned
+        changed = sorted({*days, *(date.fromisoformat(d) for c in cleaned for d in c["other_days"])})
+        _gate_staging(spark, lake, changed)
+        result["amounts"] = warehouse.build_amounts(spark, lake, changed)
         result["dim_users"] = warehouse.build_dim_users(spark, lake, as_of)
         result["dim_cards"] = warehouse.build_dim_cards(spark, lake)
-        later = warehouse.stored_days(spark, lake, min(changed))
-        result["features"], result["marts"] = 0, {}
-        for d in sorted({*changed, *later}):
-            result["features"] += warehouse.build_features_day(spark, lake, d)
-            result["marts"] = warehouse.build_marts(spark, lake, d)
+        targets = sorted({*changed, *warehouse.stored_days(spark, lake, changed[0])})
+        result["features"] = warehouse.build_features_days(spark, lake, targets)
+        result["marts"] = warehouse.build_marts_days(spark, lake, targets, changed)
         return result
 
 
@@ -73,9 +79,12 @@ def check_labels(spark: SparkSession, lake: Lake, year: int) -> None:
     quality.gate(report.withColumn("check", F.lit(f"label_coverage.{year}")))
 
 
-def _gate_staging(spark: SparkSession, lake: Lake) -> None:
-    quality.gate(
-        quality.staging_checks(
-            *(read_table(spark, lake.staging(table)) for table in ("transactions", "users", "cards"))
-        )
-    )
+def _gate_staging(spark: SparkSession, lake: Lake, days: Sequence[date] | None = None) -> None:
+    """The checks of all staged rows: transactions from the counts of their days, of which the changed ones are counted anew."""
+    stored = checks.transactions(lake)
+    if days is None:
+        stored.build(spark)
+    else:
+        stored.refresh(spark, days)
+    users, cards = (read_table(spark, lake.staging(table)) for table in ("users", "cards"))
+    quality.gate(quality.union_reports(stored.report(spark), quality.dimension_checks(users, cards)))

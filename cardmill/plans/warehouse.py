@@ -2,17 +2,19 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from datetime import date, datetime
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
+from cardmill import files
 from cardmill.operators import dims, features, marts
 from cardmill.operators.dedup import latest_per_key
+from cardmill.plans import history, rollup
 from cardmill.plans.layout import Lake
 from cardmill.schemas import PARTITIONING, STAGING
-from cardmill.sinks import drop_partition, overwrite_day, overwrite_partitions, replace_table
-from cardmill.sources import read_table, read_table_if_present
+from cardmill.sinks import overwrite_days, replace_table
+from cardmill.sources import read_table
 
 _DAY = PARTITIONING["features"]
 
@@ -21,32 +23,40 @@ def _valid(spark: SparkSession, lake: Lake) -> DataFrame:
     return read_table(spark, lake.staging("transactions")).filter("is_valid")
 
 
-def build_amounts(spark: SparkSession, lake: Lake, day: date | None = None) -> int:
-    """Amount totals per user and day, for one day or for all."""
+def build_amounts(spark: SparkSession, lake: Lake, days: Sequence[date] | None = None) -> int:
+    """Amount totals per user and day, for some days or for all."""
     path = lake.warehouse("user_daily_amounts")
-    if day is None:
+    if days is None:
         return replace_table(features.daily_amounts(_valid(spark, lake)), path, partition_by=_DAY)
-    return overwrite_day(features.daily_amounts(features.between_days(_valid(spark, lake), day, day)), path, day)
+    return overwrite_days(features.daily_amounts(features.on_days(_valid(spark, lake), days)), path, days)
 
 
 def build_features_day(spark: SparkSession, lake: Lake, day: date, lifetime: bool = True) -> int:
-    """Features of one day.
+    """Features of one day."""
+    return build_features_days(spark, lake, [day], lifetime)
+
+
+def build_features_days(spark: SparkSession, lake: Lake, days: Sequence[date], lifetime: bool = True) -> int:
+    """Features of any number of days in one job.
 
     ``lifetime`` averages over the user's whole history, read from the stored
     daily totals, instead of over the lookback.
     """
-    opening = None
-    if lifetime:
-        opening = features.amounts_before(read_table(spark, lake.warehouse("user_daily_amounts")), day)
-    daily = features.daily_features(_valid(spark, lake), day, opening)
-    return overwrite_day(daily, lake.warehouse("feat_fraud_features"), day)
+    totals = read_table(spark, lake.warehouse("user_daily_amounts")) if lifetime else None
+    built = features.features_on_days(_valid(spark, lake), days, totals)
+    return overwrite_days(built, lake.warehouse("feat_fraud_features"), days)
 
 
 def stored_days(spark: SparkSession, lake: Lake, after: date) -> list[date]:
-    """Days of the staging table after ``after``: one row for each, from the partition columns alone."""
-    days = read_table(spark, lake.staging("transactions")).select(*_DAY).filter("year IS NOT NULL").distinct()
-    found = days.filter(F.make_date("year", "month", "day") > F.lit(after)).collect()
-    return sorted(date(r["year"], r["month"], r["day"]) for r in found)
+    """Days of the staging table after ``after``, from its folders."""
+    path = lake.staging("transactions")
+    found = [date(y, m, d) for y in _values(spark, path, "year") for m in _values(spark, f"{path}/year={y}", "month") for d in _values(spark, f"{path}/year={y}/month={m}", "day")]
+    return sorted(day for day in found if day > after)
+
+
+def _values(spark: SparkSession, path: str, column: str) -> list[int]:
+    values = [n.removeprefix(f"{column}=") for n in files.children(spark, path) if n.startswith(f"{column}=")]
+    return [int(v) for v in values if v.isdigit()]
 
 
 def build_features_all(spark: SparkSession, lake: Lake) -> int:
@@ -61,12 +71,8 @@ def _user_snapshot(spark: SparkSession, lake: Lake) -> DataFrame:
 
 
 def build_dim_users(spark: SparkSession, lake: Lake, as_of: datetime) -> int:
-    path = lake.warehouse("dim_users")
-    snapshot = _user_snapshot(spark, lake)
-    dim = read_table_if_present(spark, path)
-    if dim is None:
-        return replace_table(dims.first_versions(snapshot, "user_id", as_of), path)
-    return replace_table(dims.type2_merge(dim, snapshot, as_of=as_of), path)
+    """Merge the users into the stored history; returns the versions that are open."""
+    return history.merge(spark, lake.warehouse("dim_users"), _user_snapshot(spark, lake), as_of=as_of)["open"]
 
 
 def build_dim_cards(spark: SparkSession, lake: Lake) -> int:
@@ -75,38 +81,30 @@ def build_dim_cards(spark: SparkSession, lake: Lake) -> int:
 
 
 def build_marts(spark: SparkSession, lake: Lake, day: date | None = None) -> dict:
-    """All marts, or what one day changes: its day of the daily ones, its month of the monthly one.
+    """All marts, or what one day changes."""
+    return build_marts_days(spark, lake, None if day is None else [day])
+
+
+def build_marts_days(spark: SparkSession, lake: Lake, days: Sequence[date] | None, changed: Sequence[date] | None = None) -> dict:
+    """All marts, or what some days change: their days of the daily ones, their months of the monthly one, in one job each.
 
-    The merchant dimension is a lifetime total and is rebuilt each time. It comes first: as a stored table its size is
-    known when the mart joins it.
+    ``changed`` names the days whose transactions have changed, where the others only got new features. The merchant
+    tables come first, from stored parts: as a stored table the dimension's size is known when the mart joins it.
     """
-    every = _valid(spark, lake)
-    merchants = replace_table(dims.merchant_dimension(every), lake.warehouse("dim_merchants"))
-    feature_rows = read_table(spark, lake.warehouse("feat_fraud_features"))
-    txns = every
-    if day is not None:
-        txns, feature_rows = features.between_days(every, day, day), features.between_days(feature_rows, day, day)
+    counts = rollup.build_all(spark, lake) if days is None else rollup.refresh(spark, lake, days if changed is None else changed)
+    txns, feature_rows = _valid(spark, lake), read_table(spark, lake.warehouse("feat_fraud_features"))
+    if days is not None:
+        txns, feature_rows = features.on_days(txns, days), features.on_days(feature_rows, days)
     mart = marts.fraud_mart(
         marts.fact_transactions(txns),
-        read_table(spark, lake.warehouse("dim_users")),
+        history.read_open(spark, lake.warehouse("dim_users")),
         feature_rows,
         read_table(spark, lake.warehouse("dim_merchants")),
     )
-    daily = {"fraud_features": mart, "user_daily_stats": marts.user_daily_stats(txns)}
-    if day is None:
-        counts = {name: replace_table(df, lake.warehouse(name), partition_by=_DAY) for name, df in daily.items()}
-    else:
-        counts = {name: overwrite_day(df, lake.warehouse(name), day) for name, df in daily.items()}
-    month = ("year", "month")
-    path = lake.warehouse("merchant_risk_score")
-    if day is None:
-        counts["merchant_risk_score"] = replace_table(marts.merchant_risk_score(every), path, partition_by=month)
-    else:
-        this = every.filter(f"year = {day.year} AND month = {day.month}")
-        counts["merchant_risk_score"] = overwrite_partitions(marts.merchant_risk_score(this), path, month)
-        if not counts["merchant_risk_score"]:
-            drop_partition(spark, path, {"year": day.year, "month": day.month})
-    return {"dim_merchants": merchants, **counts}
+    for name, df in {"fraud_features": mart, "user_daily_stats": marts.user_daily_stats(txns)}.items():
+        path = lake.warehouse(name)
+        counts[name] = replace_table(df, path, partition_by=_DAY) if days is None else overwrite_days(df, path, days)
+    return counts
 
 
 def publish_views(spark: SparkSession, lake: Lake) -> None:

@@ -76,6 +76,24 @@ def daily_features_lifetime(spark: SparkSession, folder: str) -> DataFrame:
     return ops.daily_features(txns, TARGET, ops.amounts_before(ops.daily_amounts(txns), TARGET))
 
 
+# Three runs of days: before the second and the third there are days that no lookback holds.
+SEVERAL = (date(2024, 1, 5), date(2024, 1, 15), date(2024, 1, 16), date(2024, 1, 28))
+
+
+@query(f"SELECT * FROM ({oracle.features_sql('q_ev')}) WHERE day IN (5, 15, 16, 28)")
+def features_on_days(spark: SparkSession, folder: str) -> DataFrame:
+    """Several target days in one pass, averages over the whole history."""
+    txns = tables.event_transactions(spark, folder)
+    return ops.features_on_days(txns, SEVERAL, ops.daily_amounts(txns))
+
+
+@query(f"SELECT * FROM ({oracle.features_sql('q_ev')}) WHERE day IN (5, 15, 16, 28)")
+def features_on_days_split(spark: SparkSession, folder: str) -> DataFrame:
+    """The same with every busy user split over tasks."""
+    txns = tables.event_transactions(spark, folder)
+    return ops.features_on_days(txns, SEVERAL, ops.daily_amounts(txns), hot_rows=SPLIT_ROWS)
+
+
 @query(
     "SELECT transaction_id, hour(transaction_date) BETWEEN 0 AND 5 AS is_night_txn, "
     "dayofweek(transaction_date) IN (0, 6) AS is_weekend FROM q_ev"

@@ -173,6 +173,28 @@ SELECT CAST(event_id AS STRING) AS transaction_id, CAST(user_id AS STRING) AS us
 FROM {events}
 """
 
+# The event transactions with merchants and codes, some without a merchant, some invalid.
+EVENT_PAYMENTS = f"""
+SELECT e.*, CASE WHEN CAST(user_id AS BIGINT) % 41 = 5 THEN NULL ELSE 'm' || CAST(CAST(user_id AS BIGINT) % 60 AS STRING) END AS merchant_id,
+  'City ' || CAST(CAST(transaction_id AS BIGINT) % 7 AS STRING) AS merchant_city,
+  CAST(CAST(transaction_id AS BIGINT) % 5 AS INT) AS mcc,
+  CASE CAST(transaction_id AS BIGINT) % 5 WHEN 3 THEN NULL ELSE 'code ' || CAST(CAST(transaction_id AS BIGINT) % 5 AS STRING) END AS mcc_description,
+  CAST(transaction_id AS BIGINT) % 11 <> 2 AS is_valid
+FROM ({EVENT_TRANSACTIONS}) e
+"""
+
+# Versions of three keys, many to a key, with bounds that touch, overlap and are empty; and rows that look them up.
+OVERLAPPING_VERSIONS = """
+SELECT CAST(o_custkey % 3 AS STRING) AS key, o_orderkey AS version, CAST(o_orderdate AS TIMESTAMP) AS valid_from,
+  CAST(CAST(o_orderdate AS DATE) + CAST(o_orderkey % 40 AS INT) AS TIMESTAMP) AS valid_to
+FROM {orders}
+"""
+LOOKUPS = """
+SELECT l_orderkey, l_linenumber, CASE WHEN l_suppkey % 7 <> 0 THEN CAST(l_suppkey % 4 AS STRING) END AS key,
+  CAST(l_shipdate AS TIMESTAMP) AS shipped_at
+FROM {lineitem}
+"""
+
 # Three states of the customer table: new customers appear, others change or drop out.
 USER_SNAPSHOT = """
 SELECT CAST(c_custkey AS STRING) AS user_id, CAST(20 + c_custkey % 60 + {age_step} AS INT) AS current_age,

@@ -132,6 +132,9 @@ PARTS = {
     "q_raw_mcc": inputs.RAW_MCC_CODES,
     "q_raw_label": inputs.RAW_LABELS,
     "q_ev": inputs.EVENT_TRANSACTIONS,
+    "q_evm": inputs.EVENT_PAYMENTS,
+    "q_versions": inputs.OVERLAPPING_VERSIONS,
+    "q_lookups": inputs.LOOKUPS,
     "q_evs": "SELECT *, epoch_us(transaction_date) // 1000000 AS sec FROM q_ev",
     "q_snap1": inputs.user_snapshot_sql(1),
     "q_snap2": inputs.user_snapshot_sql(2),

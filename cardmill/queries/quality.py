@@ -2,13 +2,18 @@
 
 from __future__ import annotations
 
+from datetime import date
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from cardmill.operators import quality as ops
 from cardmill.operators.cleaning import quarantine_rows
+from cardmill.plans import checks
 from cardmill.queries import inputs, tables
 from cardmill.queries.registry import query
+from cardmill.session import scratch_path
+from cardmill.sinks import overwrite_day, overwrite_partitions
 
 
 def _check_sql(source: str, name: str, failing: str) -> str:
@@ -60,6 +65,37 @@ def dq_report(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+# Day 16 gets the ids of day 15 besides its own, day 17 goes.
+_CHANGED_DAYS = (
+    "(SELECT * FROM q_evm WHERE day <> 17 UNION ALL SELECT * REPLACE (CAST(16 AS INT) AS day) FROM q_evm WHERE day = 15)"
+)
+
+
+@query(
+    " UNION ALL ".join(
+        [
+            _rows_sql(_CHANGED_DAYS, "events.has_rows"),
+            *(_check_sql(_CHANGED_DAYS, f"events.not_null.{c}", f"{c} IS NULL") for c in ("user_id", "merchant_id")),
+            _check_sql(_CHANGED_DAYS, "events.accepted_values.merchant_state", "merchant_state NOT IN ('CA', 'NY', 'DC')"),
+            _unique_sql(_CHANGED_DAYS, "events.unique.transaction_id", "transaction_id"),
+        ]
+    )
+)
+def dq_report_by_days(spark: SparkSession, folder: str) -> DataFrame:
+    """The report from stored counts of days, after a day got repeated ids and another went."""
+    root = scratch_path(spark, "checked")
+    stored = checks.DayChecks(f"{root}/table", f"{root}/state", "transaction_id", ("user_id", "merchant_id"), {"merchant_state": ("CA", "NY", "DC")}, "events.")
+    events = inputs.derive(spark, folder, inputs.EVENT_PAYMENTS)
+    overwrite_partitions(events, stored.table, checks.DAY)
+    stored.build(spark)
+    more = events.filter("day = 15").withColumn("day", F.lit(16)).unionByName(events.filter("day = 16"))
+    overwrite_day(more, stored.table, date(2024, 1, 16))
+    stored.refresh(spark, [date(2024, 1, 16)])
+    overwrite_day(events.filter("false"), stored.table, date(2024, 1, 17))
+    stored.refresh(spark, [date(2024, 1, 17)])
+    return stored.report(spark)
+
+
 @query(
     " UNION ALL ".join(
         [

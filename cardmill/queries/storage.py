@@ -8,7 +8,7 @@ from datetime import date, datetime
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cardmill.plans import catalog, ingest, maintenance
+from cardmill.plans import catalog, ingest, maintenance, repack
 from cardmill.plans.layout import Lake
 from cardmill.queries import inputs, tables
 from cardmill.queries.registry import query
@@ -101,6 +101,23 @@ def compact_month(spark: SparkSession, folder: str) -> DataFrame:
     return _events(months.withColumns({"year": F.year("transaction_date"), "month": F.month("transaction_date"), "day": F.dayofmonth("transaction_date")}))
 
 
+@query(f"SELECT {_EVENT_COLUMNS} FROM q_ev UNION ALL SELECT {_EVENT_COLUMNS} FROM q_ev WHERE day <> 15")
+def repack_days(spark: SparkSession, folder: str) -> DataFrame:
+    """Small files of two days are gathered; the copies of one of them go, the other is packed as it is."""
+    path = _stored_events(spark, folder)
+    repack.repack_day(spark, path, TARGET, "transaction_id")
+    repack.repack_day(spark, path, date(2024, 1, 16))
+    return _events(spark.read.parquet(path))
+
+
+@query(f"SELECT {_EVENT_COLUMNS} FROM q_ev")
+def repack_month(spark: SparkSession, folder: str) -> DataFrame:
+    path, warm = _stored_events(spark, folder), scratch_path(spark, "warm")
+    repack.repack_month(spark, path, warm, 2024, 1, "transaction_id")
+    months = spark.read.parquet(warm)
+    return _events(months.withColumns({"year": F.year("transaction_date"), "month": F.month("transaction_date"), "day": F.dayofmonth("transaction_date")}))
+
+
 @query(f"SELECT {_EVENT_COLUMNS} FROM q_ev WHERE day BETWEEN 8 AND 15")
 def lookback_scan(spark: SparkSession, folder: str) -> DataFrame:
     path = scratch_path(spark, "days")

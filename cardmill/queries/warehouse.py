@@ -2,18 +2,21 @@
 
 from __future__ import annotations
 
-from datetime import datetime
+import uuid
+from datetime import date, datetime
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from cardmill import files
-from cardmill.operators import dims, features, marts
+from cardmill.operators import asof, dims, features, marts
+from cardmill.plans import bucketed, history, incremental, labels, rollup
+from cardmill.plans.layout import Lake
 from cardmill.queries import inputs, oracle, tables
 from cardmill.queries.registry import query
 from cardmill.schemas import STAGING
 from cardmill.session import materialize, scratch_path
-from cardmill.sinks import replace_table, swap
+from cardmill.sinks import overwrite_day, overwrite_partitions, replace_table, swap
 from cardmill.sources import read_table
 
 _DOUBLE_AMOUNT = "* REPLACE (CAST(amount AS DOUBLE) AS amount)"
@@ -58,12 +61,15 @@ def user_daily_stats(spark: SparkSession, folder: str) -> DataFrame:
     return marts.user_daily_stats(tables.enriched_transactions(spark, folder))
 
 
-@query(
+_RISK = (
     f"SELECT *, {oracle.TIER.format(r='fraud_rate')} AS risk_tier FROM (SELECT merchant_id, year, month, mcc_description, "
     "count(*) AS total_txn_count, count(*) FILTER (WHERE is_fraud) AS fraud_txn_count, "
     "round(CAST(count(*) FILTER (WHERE is_fraud) AS DOUBLE) / count(*), 4) AS fraud_rate, "
     "CAST(sum(amount) AS DOUBLE) / count(amount) AS avg_amount FROM q_valid_txn GROUP BY 1, 2, 3, 4)"
 )
+
+
+@query(_RISK)
 def merchant_risk_score(spark: SparkSession, folder: str) -> DataFrame:
     return marts.merchant_risk_score(tables.enriched_transactions(spark, folder))
 
@@ -92,6 +98,20 @@ def fraud_mart(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+@query(_MART)
+def fraud_mart_bucketed(spark: SparkSession, folder: str) -> DataFrame:
+    """The mart over transactions and features that are stored in the same buckets."""
+    path, database = scratch_path(spark, "bucketed"), f"cardmill_{uuid.uuid4().hex}"
+    valid = tables.enriched_transactions(spark, folder).filter("is_valid")
+    try:
+        txns, built = bucketed.store_pair(valid, database, path, buckets=16)
+        merchants = materialize(dims.merchant_dimension(txns), "merchants")
+        joined = marts.fraud_mart(marts.fact_transactions(txns), _merged_users(spark, folder), built, merchants)
+        return materialize(joined, "mart")
+    finally:
+        spark.sql(f"DROP DATABASE IF EXISTS {database} CASCADE")  # the tables are external: files stay
+
+
 def _merged_users(spark: SparkSession, folder: str, versions: int = 3) -> DataFrame:
     dim = dims.first_versions(tables.user_snapshot(spark, folder, 1), "user_id", MERGE_DAYS[0])
     for version in range(2, versions + 1):
@@ -150,6 +170,71 @@ def scd2_as_of(spark: SparkSession, folder: str) -> DataFrame:
     return dims.version_at(orders, dim, "user_id", "ordered_at", ["address", "current_age"]).drop("ordered_at")
 
 
+_AS_OF = """
+SELECT l_orderkey, l_linenumber, CASE WHEN shipped_at < valid_to THEN version END AS version
+FROM q_lookups ASOF LEFT JOIN (
+  SELECT * FROM q_versions WHERE valid_to > valid_from
+  QUALIFY row_number() OVER (PARTITION BY key, valid_from ORDER BY valid_to DESC, version DESC) = 1
+) v ON q_lookups.key = v.key AND shipped_at >= v.valid_from"""
+
+
+def _looked_up(spark: SparkSession, folder: str, **limits: int) -> DataFrame:
+    lookups, versions = (inputs.derive(spark, folder, text) for text in (inputs.LOOKUPS, inputs.OVERLAPPING_VERSIONS))
+    return asof.as_of(lookups, versions, "key", "shipped_at", ["version"], **limits).select("l_orderkey", "l_linenumber", "version")
+
+
+@query(_AS_OF)
+def as_of_overlapping(spark: SparkSession, folder: str) -> DataFrame:
+    """Three keys with thousands of versions each, whose bounds overlap: the later start counts."""
+    return _looked_up(spark, folder)
+
+
+@query(_AS_OF)
+def as_of_overlapping_split(spark: SparkSession, folder: str) -> DataFrame:
+    """The same with every key cut into ranges of time."""
+    return _looked_up(spark, folder, hot_rows=1000, range_rows=5000)
+
+
+@query("SELECT * FROM q_dim3")
+def scd2_stored(spark: SparkSession, folder: str) -> DataFrame:
+    """Three merges into the stored history: one stopped before its commit, one made twice."""
+    path = scratch_path(spark, "history")
+    for version in (1, 2):
+        history.merge(spark, path, tables.user_snapshot(spark, folder, version), as_of=MERGE_DAYS[version - 1])
+    stopped = dims.type2_merge(history.read_open(spark, path), tables.user_snapshot(spark, folder, 3), as_of=MERGE_DAYS[2])
+    stopped.filter("NOT is_current").write.parquet(f"{path}/closed_at={MERGE_DAYS[2].strftime('%Y%m%dT%H%M%S%f')}")
+    for _ in range(2):
+        history.merge(spark, path, tables.user_snapshot(spark, folder, 3), as_of=MERGE_DAYS[2])
+    return history.read_history(spark, path)
+
+
+_CHANGED = "(SELECT * FROM q_evm WHERE is_valid AND day <> 16 AND (day <> 15 OR is_fraud IS NOT NULL))"
+
+
+def _rolled_up(spark: SparkSession, folder: str) -> Lake:
+    """A lake whose merchant totals have followed two changes: a day written again with fewer rows, a day gone."""
+    lake, day, gone = Lake(scratch_path(spark, "lake")), date(2024, 1, 15), date(2024, 1, 16)
+    events = inputs.derive(spark, folder, inputs.EVENT_PAYMENTS)
+    overwrite_partitions(events, lake.staging("transactions"), rollup.DAY)
+    rollup.build_all(spark, lake)
+    overwrite_day(events.filter("day = 15 AND is_fraud IS NOT NULL"), lake.staging("transactions"), day)
+    rollup.refresh(spark, lake, [day])
+    overwrite_day(events.filter("false"), lake.staging("transactions"), gone)
+    rollup.refresh(spark, lake, [gone])
+    return lake
+
+
+@query(oracle.PARTS["q_merchants"].replace("q_valid_txn", _CHANGED))
+def merchant_rollup(spark: SparkSession, folder: str) -> DataFrame:
+    """The merchant dimension from stored parts equals one from all rows that are left."""
+    return read_table(spark, _rolled_up(spark, folder).warehouse("dim_merchants"))
+
+
+@query(_RISK.replace("q_valid_txn", _CHANGED))
+def merchant_rollup_months(spark: SparkSession, folder: str) -> DataFrame:
+    return read_table(spark, _rolled_up(spark, folder).warehouse("merchant_risk_score"))
+
+
 _BATCHES = "SELECT o_orderkey, o_custkey, 'batch_' || substr(CAST(o_orderdate AS STRING), 1, 7) AS _batch_id FROM {orders}"
 
 
@@ -168,3 +253,47 @@ def keyed_upsert(spark: SparkSession, folder: str) -> DataFrame:
     target = tables.user_snapshot(spark, folder, 1).select(*columns)
     updates = tables.user_snapshot(spark, folder, 2).select(*columns).withColumn("note", F.lit("updated"))
     return dims.upsert(target, updates, "user_id")
+
+
+@query(
+    "SELECT user_id, address, NULL AS credit_score, _batch_id, 'third' AS note FROM q_snap3 UNION ALL "
+    "SELECT user_id, address, credit_score, _batch_id, 'second' AS note FROM q_snap2 WHERE user_id NOT IN (SELECT user_id FROM q_snap3) UNION ALL "
+    "SELECT user_id, address, credit_score, _batch_id, NULL AS note FROM q_snap1 "
+    "WHERE user_id NOT IN (SELECT user_id FROM q_snap2) AND user_id NOT IN (SELECT user_id FROM q_snap3)"
+)
+def incremental_batches(spark: SparkSession, folder: str) -> DataFrame:
+    """Three batches: the second brings a column, the third lacks one and is sent twice; then the first comes again."""
+    path = scratch_path(spark, "batches")
+    first, second, third = (tables.user_snapshot(spark, folder, v).select("user_id", "address", "credit_score", "_batch_id") for v in (1, 2, 3))
+    second = second.withColumn("note", F.lit("second"))
+    third = third.withColumn("note", F.lit("third")).drop("credit_score")
+    for batch in (first, second, third, third, first):
+        incremental.load_batches(spark, path, batch, "user_id")
+    return incremental.read_batches(spark, path)
+
+
+_NEW_LABEL = "CAST(transaction_id AS BIGINT) % 9 = 4 AND day BETWEEN 10 AND 12"
+_LABELLED = f"CASE WHEN {_NEW_LABEL} THEN CAST(transaction_id AS BIGINT) % 2 = 0 ELSE is_fraud END"
+
+
+@query(
+    f"SELECT transaction_id, {_LABELLED} AS is_fraud, year, month, day, count(*) FILTER (WHERE {_LABELLED} IS DISTINCT FROM is_fraud) "
+    "OVER (PARTITION BY year, month, day) > 0 AS rewritten FROM q_evm"
+)
+def late_labels(spark: SparkSession, folder: str) -> DataFrame:
+    """Labels of three days arrive late, with some of another day that say nothing new: three days are written again."""
+    lake = Lake(scratch_path(spark, "lake"))
+    events = inputs.derive(spark, folder, inputs.EVENT_PAYMENTS)
+    path = lake.staging("transactions")
+    overwrite_partitions(events, path, rollup.DAY)
+    before = materialize(_files_by_day(spark, path), "before")
+    known = events.filter("day = 20").select("transaction_id", F.when(F.col("is_fraud"), "Yes").when(~F.col("is_fraud"), "No").alias("is_fraud"))
+    new = events.filter(_NEW_LABEL).selectExpr("transaction_id", "CASE WHEN CAST(transaction_id AS BIGINT) % 2 = 0 THEN 'Yes' ELSE 'No' END AS is_fraud")
+    labels.stage_labels(spark, lake, new.unionByName(known))
+    written = _files_by_day(spark, path).join(before, [*rollup.DAY, "file"], "left_anti").select(*rollup.DAY).distinct().withColumn("rewritten", F.lit(True))
+    stored = read_table(spark, path).select("transaction_id", "is_fraud", *rollup.DAY)
+    return stored.join(written, [*rollup.DAY], "left").withColumn("rewritten", F.coalesce("rewritten", F.lit(False)))
+
+
+def _files_by_day(spark: SparkSession, path: str) -> DataFrame:
+    return read_table(spark, path).select(*rollup.DAY, F.col("_metadata.file_name").alias("file")).distinct()

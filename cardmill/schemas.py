@@ -78,7 +78,7 @@ _STAGING_COLUMNS = {
         user_id string, current_age int, retirement_age int, gender string, address string,
         latitude double, longitude double, per_capita_income double, yearly_income double,
         total_debt double, credit_score int, num_credit_cards int, _batch_id string,
-        valid_from timestamp, valid_to timestamp, is_current boolean""",
+        valid_from timestamp, valid_to timestamp, is_current boolean, closed_at string""",
     "dim_cards": """
         card_id string, user_id string, card_brand string, card_type string, card_number_masked string,
         expires_month int, expires_year int, has_chip boolean, num_cards_issued int, credit_limit double,
@@ -100,7 +100,7 @@ PARTITIONING = {
     "cards": ("card_brand_part", "expires_year_part"),
     "mcc_codes": (),
     "fraud_labels": (),
-    "dim_users": (),
+    "dim_users": ("closed_at",),
     "dim_cards": (),
 }
 

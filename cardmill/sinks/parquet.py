@@ -54,6 +54,29 @@ def overwrite_day(df: DataFrame, path: str, day: date, sort_by: Sequence[str] =
     return rows
 
 
+def replace_partitions(
+    df: DataFrame, path: str, partition_by: Sequence[str], wanted: Sequence[tuple], sort_by: Sequence[str] = ()
+) -> int:
+    """Replace the partitions ``wanted`` (values of ``partition_by``) by ``df``, which holds rows of those only, in one job.
+
+    A partition of them that gets no rows goes. Which ones got rows is seen from their files: a written partition has
+    new ones. A run that stops in between is repeated as a whole.
+    """
+    spark = df.sparkSession
+    folders = ["/".join(f"{c}={v}" for c, v in zip(partition_by, values)) for values in wanted]
+    before = {folder: set(files.children(spark, f"{path}/{folder}")) for folder in folders}
+    rows = overwrite_partitions(df, path, partition_by, sort_by=sort_by)
+    for folder, old in before.items():
+        if old and old <= set(files.children(spark, f"{path}/{folder}")):
+            files.delete(spark, f"{path}/{folder}")
+    return rows
+
+
+def overwrite_days(df: DataFrame, path: str, days: Sequence[date], sort_by: Sequence[str] = ()) -> int:
+    """Replace several days by ``df``, which holds rows of those days only; days without rows go."""
+    return replace_partitions(df, path, DAY, [(d.year, d.month, d.day) for d in days], sort_by)
+
+
 def replace_table(
     df: DataFrame, path: str, compression: str = "snappy", partition_by: Sequence[str] = (), sort_by: Sequence[str] = ()
 ) -> int:

@@ -11,7 +11,7 @@ from pyspark.sql import SparkSession
 
 from cardmill import files
 
-INCOMING, OUTGOING = "incoming", "outgoing"
+INCOMING, OUTGOING, READY = "incoming", "outgoing", "ready"
 
 
 def swap_folder(path: str) -> str:
@@ -46,16 +46,50 @@ def put_in_place(spark: SparkSession, path: str) -> None:
     files.delete(spark, swap)
 
 
+def pack_folder(path: str) -> str:
+    parent, _, name = path.rstrip("/").rpartition("/")
+    return f"{parent}/.pack-{name.replace('=', '-')}"
+
+
+def exchange_files(spark: SparkSession, path: str, old: list[str]) -> None:
+    """Replace some files of a folder by the complete files in the ``incoming`` folder of its pack folder.
+
+    The names of the old files are noted as empty folders; the ``ready`` folder is the commit. What a stop leaves undone
+    after it is done by ``finish_exchange``: every step can be repeated.
+    """
+    pack = pack_folder(path)
+    for name in old:
+        files.mkdirs(spark, f"{pack}/{OUTGOING}/{name}")
+    files.mkdirs(spark, f"{pack}/{READY}")
+    finish_exchange(spark, path)
+
+
+def finish_exchange(spark: SparkSession, path: str) -> bool:
+    """End an exchange of files that was committed, undo one that was not; True if there was one."""
+    pack = pack_folder(path)
+    if not files.exists(spark, pack):
+        return False
+    if files.exists(spark, f"{pack}/{READY}"):
+        for name in files.children(spark, f"{pack}/{OUTGOING}"):
+            files.delete(spark, f"{path}/{name}")
+        for name, _ in files.data_files(spark, f"{pack}/{INCOMING}"):
+            files.rename(spark, f"{pack}/{INCOMING}/{name}", f"{path}/{name}")
+    files.delete(spark, pack)
+    return True
+
+
 def recover_partitions(spark: SparkSession, path: str) -> int:
-    """``recover`` for the partition folders below a table; lists folders, not files."""
+    """``recover`` and ``finish_exchange`` for the partition folders below a table; lists folders, not files."""
     done = 0
     for name in files.children(spark, path):
         if name.startswith(".swap-"):
             done += recover(spark, f"{path}/{_folder(name)}")
+        elif name.startswith(".pack-"):
+            done += finish_exchange(spark, f"{path}/{_folder(name)}")
         elif "=" in name:
             done += recover_partitions(spark, f"{path}/{name}")
     return done
 
 
-def _folder(swap: str) -> str:
-    return swap.removeprefix(".swap-").replace("-", "=", 1)
+def _folder(hidden: str) -> str:
+    return hidden.removeprefix(".swap-").removeprefix(".pack-").replace("-", "=", 1)
