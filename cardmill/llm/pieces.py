@@ -76,9 +76,9 @@ class Vocabulary:
         for length in range(1, self.longest + 1):
             reach = starts[ends - starts >= length]
             whole = ends - starts == length
-            hashes = tx.span_hashes(joined, starts[whole], ends[whole], lower=False)
+            hashes = tx.short_hashes(joined, starts[whole], ends[whole])
             order = np.argsort(hashes)
-            prefixes = _filter(tx.span_hashes(joined, reach, reach + length, lower=False))
+            prefixes = _filter(tx.short_hashes(joined, reach, reach + length))
             self.tables.append((prefixes, _filter(hashes), hashes[order], ids[whole][order]))
 
 
@@ -165,12 +165,26 @@ def _forward(begin, end, weight, starts, ends, size):
     return total
 
 
+def _kinds(data, starts, ends):
+    """One of each of the distinct segments, and the kind of every segment; equal hashes are checked byte by byte."""
+    hashes = tx.span_hashes(data, starts, ends, lower=False)
+    while True:
+        _, one, kind = np.unique(hashes, return_index=True, return_inverse=True)
+        size, shift = ends - starts, starts[one][kind] - starts
+        odd = size != size[one][kind]
+        alike = data == data[np.minimum(np.repeat(shift, size) + np.arange(starts[0], ends[-1]) - starts[0], len(data) - 1)]
+        odd |= ~np.logical_and.reduceat(alike, starts - starts[0])
+        if not odd.any():
+            return one, kind
+        hashes[odd] = tx.mix(hashes[odd] + _U(1))
+
+
 def segment(v: Vocabulary, data: np.ndarray, offsets: np.ndarray, keys: np.ndarray, seed: int):
     """Start in the text and piece (-1: bytes) of each sampled arc, in order of the text."""
     starts, ends, rows = _segments(data, offsets, v.by_word)
     if not len(starts):
         return np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, np.int64)
-    _, one, kind = np.unique(tx.span_hashes(data, starts, ends, lower=False), return_index=True, return_inverse=True)
+    one, kind = _kinds(data, starts, ends)
     size = ends[one] - starts[one]
     local_end = np.cumsum(size)
     local = local_end - size

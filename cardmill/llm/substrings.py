@@ -79,9 +79,7 @@ def picked(data: np.ndarray, offsets: np.ndarray, length: int = LENGTH, size: in
 
 
 def _context_hashes(data, first, last, length):
-    one = tx.span_hashes(data, first, last + length, lower=False)
-    swapped = data ^ np.uint8(0x5A)
-    return one, tx.mix(tx.span_hashes(swapped, first, last + length, lower=False) ^ _U(0x5851F42D4C957F2D))
+    return tuple(tx.span_hashes(data, first, last + length, lower=False, kind=kind) for kind in (0, 1))
 
 
 def _seed_counts(rows: DataFrame, length: int) -> DataFrame:

@@ -86,14 +86,59 @@ def bounds(data: np.ndarray, offsets: np.ndarray, inside: np.ndarray):
     return starts, np.flatnonzero(last) + 1, np.searchsorted(offsets, starts, side="right") - 1
 
 
-def span_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray, lower: bool = True) -> np.ndarray:
-    """64-bit hashes of byte ranges, equal for equal bytes (A-Z lowered if asked)."""
+def short_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """64-bit hashes of short byte ranges, from a polynomial modulo 2^64.
+
+    Some pairs of ranges of a thousand bytes and more collide here, whatever the base: not for whole words or texts.
+    """
     up, down = _powers(len(data) + 1)
     sums = np.zeros(len(data) + 1, dtype=_U)
-    np.cumsum(_byte_values(lower)[data] * up[: len(data)], out=sums[1:])
+    np.cumsum(_byte_values(False)[data] * up[: len(data)], out=sums[1:])
     return mix((sums[ends] - sums[starts]) * down[starts] + (ends - starts).astype(_U))
 
 
+# Primes below 2^31 with a base each. Two of them make a hash; the other two make one that is independent of it.
+_FIELDS = (
+    ((2147483647, 1198754321), (2147483629, 730284619)),
+    ((2147483587, 1610612741), (2147483579, 402653189)),
+)
+
+
+def _field_powers(prime: int, base: int, n: int, cache={}) -> tuple[np.ndarray, np.ndarray]:  # noqa: B006  (a cache per worker)
+    """Powers of the base and of its inverse modulo the prime."""
+    if n > len(cache.get(prime, ((),))[0]):
+        size, tables = max(n, SLICE_BYTES + 1), []
+        for factor in (base, pow(base, -1, prime)):
+            powers = np.ones(1, dtype=_U)
+            while len(powers) < size:
+                step = pow(factor, len(powers), prime)
+                powers = np.concatenate([powers, powers[: size - len(powers)] * _U(step) % _U(prime)])
+            tables.append(powers)
+        cache[prime] = tables
+    return cache[prime]
+
+
+def span_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray, lower: bool = True, kind: int = 0) -> np.ndarray:
+    """62-bit hashes of byte ranges of any length, equal for equal bytes (A-Z lowered if asked); ``kind`` 0 and 1 are independent.
+
+    Polynomials modulo two primes: two ranges of n bytes collide only if the base is a root of their difference in both
+    fields, one case in (2^31 / n)^2.
+    """
+    values = np.arange(1, 257, dtype=_U)
+    if lower:
+        values[65:91] = values[97:123]
+    values, found = values[data], mix((ends - starts).astype(_U))
+    sums, hashes = np.zeros(len(data) + 1, dtype=_U), []
+    for prime, base in _FIELDS[kind]:
+        up, down = _field_powers(prime, base, len(data) + 1)
+        terms = values * up[: len(data)]
+        if len(data) >= 1 << 24:
+            terms %= _U(prime)
+        np.cumsum(terms, out=sums[1:])
+        hashes.append((sums[ends] - sums[starts]) % _U(prime) * down[starts] % _U(prime) * _U(base) % _U(prime))
+    return mix(((hashes[0] << _U(31)) | hashes[1]) ^ found)
+
+
 def words(data: np.ndarray, offsets: np.ndarray):
     """Hash and row of every word: runs of bytes other than space, tab and line ends, A-Z lowered."""
     separator = np.zeros(256, dtype=bool)
