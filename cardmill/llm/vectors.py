@@ -13,8 +13,10 @@ Vectors are compared only within one label and one length. Copies form a class a
 * A list is cut into blocks of about ``BLOCK`` vectors and its queries into blocks too, so a hot label or cluster is
   spread over many groups. A group returns counts and a spanning forest of its links, never the pairs.
 
-Null, zero or non-finite vectors, and vectors with a null label, link with nothing. A null key has a null component and
-is kept. Rows with equal keys are vectors of their own that share a node. Empty tables give empty results.
+Null, zero or non-finite vectors, and vectors with a null label, link with nothing. Rows with equal or null keys are
+vectors of their own: they count as links of one another and of their neighbours, and links lead through them. The
+component is named by the smallest key in it; a row with a null key has a null component and is kept. Finite vectors of
+any size are compared: in double precision they are first scaled by a power of two. Empty tables give empty results.
 """
 
 from __future__ import annotations
@@ -43,6 +45,12 @@ def _unit(x: np.ndarray) -> np.ndarray:
     return x / np.linalg.norm(x, axis=-1, keepdims=True)
 
 
+def _scaled(v: list, kind: str) -> np.ndarray:
+    """The vector as ``kind``; in double precision with its largest component between 1/2 and 1, so that squares are finite."""
+    x = np.array(v, dtype=np.float64)
+    return (x if kind == "float32" else np.ldexp(x, -np.frexp(np.abs(x).max())[1])).astype(kind)
+
+
 def _matrix(column, width: int, kind: str) -> np.ndarray:
     """Vectors kept as bytes of ``kind``, padded with zeros to ``width``, as float64."""
     parts, size = column.to_pylist(), width * np.dtype(kind).itemsize
@@ -126,12 +134,12 @@ def near_vectors(vectors: DataFrame, threshold: float, key="vec_id", vector="emb
     spark = vectors.sparkSession
     stored = "float32" if dict(vectors.dtypes)[vector] == "array<float>" else "float64"  # no precision is lost
     rows = vectors.select(F.col(key).cast("long").alias("id"), F.col(vector).cast("array<double>").alias("v"), F.col(label).alias("label"))
-    norm = F.sqrt(F.aggregate("v", F.lit(0.0), lambda s, x: s + x * x))
     finite = F.forall("v", lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf")))
-    valid = F.coalesce(F.col("label").isNotNull() & finite & (norm > 0) & (norm < float("inf")), F.lit(False))
+    valid = F.coalesce(F.col("label").isNotNull() & finite & F.exists("v", lambda x: x != 0), F.lit(False))
     usable = rows.filter(valid)
-    classes = usable.groupBy("label", "v").agg(F.min("id").alias("id"), F.count("*").alias("weight"))
-    classes = materialize(classes.filter("id is not null").withColumns({"dim": F.size("v"), "class": F.xxhash64("label", "v")}), "classes")
+    classes = usable.groupBy("label", "v").agg(F.min("id").alias("least"), F.count("*").alias("weight"))
+    numbered = {"id": F.monotonically_increasing_id(), "dim": F.size("v"), "class": F.xxhash64("label", "v")}
+    classes = materialize(classes.withColumns(numbered), "classes")
     shape = classes.groupBy("label", "dim").agg(F.count("*").alias("n")).agg(F.max("n"), F.max("dim")).first()
     if not shape[0]:
         return rows.select(F.col("id").alias(key), F.lit(0).cast("long").alias("n_links"), F.col("id").alias("component_id"), F.lit(True).alias("kept"))
@@ -139,7 +147,7 @@ def near_vectors(vectors: DataFrame, threshold: float, key="vec_id", vector="emb
 
     def pack(batches):
         for batch in batches:
-            column = pa.array([np.array(v, dtype=stored).tobytes() for v in batch.column(1).to_pylist()], pa.binary())
+            column = pa.array([_scaled(v, stored).tobytes() for v in batch.column(1).to_pylist()], pa.binary())
             yield pa.RecordBatch.from_arrays([batch.column(0), column, *[batch.column(i) for i in range(2, 5)]], ["id", "v", "label", "dim", "weight"])
 
     kind = dict(classes.dtypes)["label"]
@@ -208,13 +216,14 @@ def near_vectors(vectors: DataFrame, threshold: float, key="vec_id", vector="emb
     counts = found.groupBy("a").agg(F.sum("n").alias("n")).toDF("rep", "n")
     component = stored_components(found.filter("a <> b").select("a", "b")).toDF("rep", "component")
 
-    class_of = classes.select("class", "label", "v", F.col("id").alias("rep"), "weight")
+    class_of = classes.select("class", "label", "v", F.col("id").alias("rep"), "least", "weight")
+    smallest = class_of.select("rep", "least").join(component, "rep").groupBy("component").agg(F.min("least").alias("smallest"))
     named = rows.withColumn("class", F.when(valid, F.xxhash64("label", "v"))).alias("r").join(
         class_of.alias("c"), (F.col("r.class") == F.col("c.class")) & (F.col("r.label") == F.col("c.label")) & (F.col("r.v") == F.col("c.v")), "left"
     )
-    named = named.select("r.id", "rep", "weight").join(counts, "rep", "left").join(component, "rep", "left")
+    named = named.select("r.id", "rep", "least", "weight").join(counts, "rep", "left").join(component.join(smallest, "component"), "rep", "left")
     links = F.coalesce(F.col("weight") - 1, F.lit(0)) + F.coalesce("n", F.lit(0))
-    place = F.when(F.col("id").isNotNull(), F.coalesce("component", "rep", "id"))
+    place = F.when(F.col("id").isNotNull(), F.coalesce("smallest", "least", "id"))
     return named.select(
         F.col("id").alias(key), links.cast("long").alias("n_links"), place.alias("component_id"), F.coalesce(F.col("id") == place, F.lit(True)).alias("kept")
     )
