@@ -22,6 +22,8 @@ from __future__ import annotations
 
 import os
 import re
+import sys
+import types
 from array import array
 from collections import Counter
 from itertools import chain
@@ -267,6 +269,18 @@ class Encoder:
         return np.concatenate(parts), counts
 
 
+def _of_this_worker(model: str) -> Encoder:
+    """The encoder of this process. It stays for later tasks, with what it remembers; only one model is kept.
+
+    Functions are shipped by value and with them the variables of this module, so the place is a module of its own.
+    """
+    kept = sys.modules.setdefault("cardmill_worker", types.ModuleType("cardmill_worker")).__dict__.setdefault("encoders", {})
+    if model not in kept:
+        kept.clear()
+        kept[model] = Encoder(model)
+    return kept[model]
+
+
 def _room(array: np.ndarray, size: int) -> np.ndarray:
     """The array, or a copy at least twice as long if ``size`` does not fit."""
     if size <= len(array):
@@ -295,14 +309,12 @@ def pieces(docs: DataFrame, model: str, key: str = "doc_id", text: str = "text",
     schema = StructType([source.schema[0]])
     for name, kind in (("piece", IntegerType()), ("start", LongType()), ("length", LongType()), ("ids", BinaryType())):
         schema = schema.add(name, kind)
-    loaded: dict[str, Encoder] = {}
 
     def cut(batches):
-        if not loaded:
-            loaded["encoder"] = Encoder(shared.value)
+        encoder = _of_this_worker(shared.value)
         for batch in batches:
             for a, b, data, offsets in tx.text_slices(batch, "__text", STRETCH):
-                ids, counts = loaded["encoder"].encode(data, offsets)
+                ids, counts = encoder.encode(data, offsets)
                 totals = counts + 1
                 closed = np.full(totals.sum(), end, dtype="<u4")
                 inside = np.ones(len(closed), dtype=bool)
