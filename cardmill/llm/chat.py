@@ -17,10 +17,14 @@ Only the four named columns are read.
 
 from __future__ import annotations
 
+import hashlib
+
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_schema
+from pyspark.sql.types import ArrayType, LongType, StringType, StructType
 
 from cardmill.llm.tables import numbered, read, ready
 
@@ -30,6 +34,8 @@ SEGMENT = 512
 # Fixed: strings that end or open a turn in this template or in common ones.
 CONTROL = r"<\||</?s>|\[/?INST\]|<</?SYS>>"
 TURN, TEXT, END = "<|turn|>", "<|text|>", "<|end|>"
+COLUMNS = ("id", "place", "target", "head", "body", "tokens", "system", "segment", "lead")
+ID, PLACE, TARGET, HEAD, BODY, TOKENS, SYSTEM, SEGMENT_AT, LEAD = range(len(COLUMNS))
 
 
 def escaped(column) -> F.Column:
@@ -76,54 +82,97 @@ def windows(
     system = later.join(opening, F.col("id").eqNullSafe(F.col("__id")))
     rows = own.union(tail).unionByName(system.select("id", "place", "target", "head", "body", "tokens", "system", "segment", "lead"))
 
-    def run(frame: pd.DataFrame) -> pd.DataFrame:
-        opening = frame[frame["lead"] == 2]
-        frame = frame[frame["lead"] < 2].sort_values("place")
-        if not (frame["lead"] == 0).any():
-            return pd.DataFrame({c: [] for c in ("id", "window", "formatted", "n_turns", "n_repeated", "mask")})
-        heads, bodies, targets = (frame[c].to_numpy() for c in ("head", "body", "target"))
-        places, tokens, lead = frame["place"].to_numpy(), frame["tokens"].to_numpy(), int((frame["lead"] == 1).sum())
-        opens = bool(frame["system"].iloc[0]) and places[0] == 0
-        if opens:
-            system, cost = heads[0] + bodies[0] + END, int(tokens[0])
-        elif len(opening):
-            system, cost = opening["head"].iloc[0] + opening["body"].iloc[0] + END, int(opening["tokens"].iloc[0])
-        else:
-            system, cost = "", 0
-        out = []
-        for start, end, again in spans(tokens, cost, lead, budget, history):
+    def one_segment(lines: list[tuple]):
+        """Windows of the lines of one segment: those of the opening system turn first, the others by place."""
+        opening = [x for x in lines if x[LEAD] == 2][:1]
+        lines = [x for x in lines if x[LEAD] < 2]
+        lead = sum(x[LEAD] for x in lines)
+        if lead == len(lines):
+            return
+        opens = lines[0][SYSTEM] and lines[0][PLACE] == 0
+        first = lines[:1] if opens else opening
+        system, cost = ("".join((first[0][HEAD], first[0][BODY], END)), first[0][TOKENS]) if first else ("", 0)
+        for start, end, again in spans(np.array([x[TOKENS] for x in lines]), cost, lead, budget, history):
             if opens and start:
                 again = max(again, 1)  # the system turn is put in front, not repeated as history
             parts = [system] if system and not (opens and start == 0) else []
             repeated, mask, at = len(parts) + start - again, [], sum(map(len, parts))
-            for i in range(again, end):
-                body_at = at + len(heads[i])
-                at = body_at + len(bodies[i]) + len(END)
-                if i >= start and targets[i]:
-                    mask.append((body_at, body_at + len(bodies[i])))
-                parts += [heads[i], bodies[i], END]
-            out.append((frame["id"].iloc[0], int(places[start]), "".join(parts), end - start, repeated, mask))
-        return pd.DataFrame(out, columns=["id", "window", "formatted", "n_turns", "n_repeated", "mask"])
-
-    kind = dict(plain.dtypes)["id"]
-    schema = f"id {kind}, window long, formatted string, n_turns long, n_repeated long, mask array<struct<low:long,high:long>>"
-    return rows.groupBy("id", "segment").applyInPandas(run, schema).withColumnRenamed("id", key)
+            for i, x in enumerate(lines[again:end], again):
+                body_at = at + len(x[HEAD])
+                at = body_at + len(x[BODY]) + len(END)
+                if i >= start and x[TARGET]:
+                    mask.append({"low": body_at, "high": body_at + len(x[BODY])})
+                parts += [x[HEAD], x[BODY], END]
+            yield lines[start][ID], lines[start][PLACE], "".join(parts), end - start, repeated, mask
+
+    def run(batches):
+        for lines in _grouped(batches, (ID, SEGMENT_AT)):
+            made = list(one_segment(lines))
+            if made:
+                yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*made), arrow)], schema=arrow)
+
+    kind = plain.schema["id"].dataType
+    schema = StructType().add("id", kind)
+    for name, of in (("window", LongType()), ("formatted", StringType()), ("n_turns", LongType()), ("n_repeated", LongType())):
+        schema = schema.add(name, of)
+    schema = schema.add("mask", ArrayType(StructType().add("low", LongType()).add("high", LongType())))
+    arrow = to_arrow_schema(schema)
+    # A segment is bounded, and a task sees one at a time.
+    dealt = rows.select(*COLUMNS).repartition("id", "segment").sortWithinPartitions("id", "segment", (F.col("lead") < 2), "place")
+    return dealt.mapInArrow(run, schema).withColumnRenamed("id", key)
+
+
+def _grouped(batches, keys: tuple[int, ...]):
+    """Rows of each run of equal keys as tuples; a run may span batches."""
+    now, held = None, []
+    for batch in batches:
+        for line in zip(*(column.to_pylist() for column in batch.columns)):
+            if held and now != tuple(line[k] for k in keys):
+                yield held
+                held = []
+            now = tuple(line[k] for k in keys)
+            held.append(line)
+    if held:
+        yield held
 
 
 def digests(formatted: DataFrame, key="conv_id") -> DataFrame:
-    """What can be read back from the windows of each conversation."""
+    """What can be read back from the windows of each conversation.
+
+    Windows are sorted by conversation and place and fed to running digests, so a task holds a batch of windows and no
+    conversation as a whole.
+    """
     turns = F.slice(F.split("formatted", r"<\|turn\|>"), F.col("n_repeated").cast("int") + 2, F.col("n_turns").cast("int"))
     halves = F.transform(turns, lambda t: F.split(F.regexp_replace(t, r"<\|end\|>$", ""), r"<\|text\|>"))
     read_back = F.array_join(F.transform(halves, lambda h: F.concat(unescaped(h[0]), F.lit("\n"), unescaped(h[1]), F.lit("\n"))), "")
     target = F.array_join(F.transform("mask", lambda m: unescaped(F.substr("formatted", (m["low"] + 1).cast("int"), (m["high"] - m["low"]).cast("int")))), "")
-    rows = formatted.select(key, "window", "n_turns", F.length("formatted").cast("long").alias("chars"), read_back.alias("turns"), target.alias("loss"))
-    ordered = F.sort_array(F.collect_list(F.struct("window", "turns", "loss")))
-    whole = rows.groupBy(key).agg(F.sum("n_turns").alias("n_turns"), F.sum("chars").alias("formatted_chars"), ordered.alias("w"))
-    loss = F.array_join(F.col("w.loss"), "")
-    return whole.select(
-        key, "n_turns", F.sha2(F.array_join(F.col("w.turns"), ""), 256).alias("turns_sha256"), F.length(loss).cast("long").alias("loss_chars"),
-        F.sha2(loss, 256).alias("loss_sha256"), "formatted_chars",
-    )
+    rows = formatted.select(F.col(key).alias("id"), "window", "n_turns", F.length("formatted").cast("long").alias("chars"), read_back.alias("turns"), target.alias("loss"))
+    schema = StructType().add("id", rows.schema["id"].dataType)
+    for name, of in (("n_turns", LongType()), ("turns_sha256", StringType()), ("loss_chars", LongType()), ("loss_sha256", StringType()), ("formatted_chars", LongType())):
+        schema = schema.add(name, of)
+    arrow = to_arrow_schema(schema)
+
+    def fold(batches):
+        now, state = None, None
+        for batch in batches:
+            done = []
+            for id_, _, n, chars, text, loss in zip(*(column.to_pylist() for column in batch.columns)):
+                if state is None or now != id_:
+                    if state is not None:
+                        done.append((now, state[0], state[1].hexdigest(), state[2], state[3].hexdigest(), state[4]))
+                    now, state = id_, [0, hashlib.sha256(), 0, hashlib.sha256(), 0]
+                state[0] += n
+                state[1].update(text.encode())
+                state[2] += len(loss)
+                state[3].update(loss.encode())
+                state[4] += chars
+            if done:
+                yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*done), arrow)], schema=arrow)
+        if state is not None:
+            last = (now, state[0], state[1].hexdigest(), state[2], state[3].hexdigest(), state[4])
+            yield pa.RecordBatch.from_arrays([pa.array([c], f.type) for c, f in zip(last, arrow)], schema=arrow)
+
+    return rows.repartition("id").sortWithinPartitions("id", "window").mapInArrow(fold, schema).withColumnRenamed("id", key)
 
 
 def op8_chat(spark, folder: str) -> DataFrame:

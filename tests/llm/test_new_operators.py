@@ -13,11 +13,12 @@ import pytest
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from cardmill.llm import divergence, negatives, packing
+from cardmill.llm import chat, divergence, negatives, packing
 from cardmill.llm import text as tx
 from cardmill.llm.queries import QUERIES
 
 from .helpers import write
+from .test_operators import plain_digests
 
 VECTORS = "vec_id long, label int, embedding array<float>, anchor_id string"
 
@@ -296,3 +297,12 @@ def test_clashing_names(spark, tmp_path):
     names = "vec_id long, label int, embedding array<float>, row int, score int, slot int"
     write(spark.createDataFrame(rows, names), tmp_path, "embeddings")
     assert QUERIES["op11_negatives"](spark, str(tmp_path)).count() > 0
+
+
+def test_a_conversation_with_most_turns_is_formatted_in_a_stream(spark):
+    rng = random.Random(12)
+    rows = [(7, i, rng.choice(["user", "assistant"]), rng.choice([None, "", "<|end|> é\\n", "word " * rng.randint(1, 30)])) for i in range(2500)]
+    rows += [(100 + i // 3, i % 3, rng.choice(["system", "assistant"]), f"t{i}") for i in range(900)]
+    made = chat.windows(spark.createDataFrame(rows, "conv_id long, turn long, role string, text string"), budget=200)
+    found = {r.conv_id: (r.n_turns, r.turns_sha256, r.loss_chars, r.loss_sha256) for r in chat.digests(made).collect()}
+    assert found == plain_digests(rows)
