@@ -10,9 +10,10 @@ ONLINE = "ONLINE"
 # Two-letter codes of the 50 US states. The federal district is
 # not one of them, so DC counts as foreign.
 US_STATES = (
-    "AL AK AZ AR CA CO CT DE FL GA HI ID IL IN IA KS KY LA ME MD MA MI MN MS MO "
-    "MT NE NV NH NJ NM NY NC ND OH OK OR PA RI SC SD TN TX UT VT VA WA WV WI WY"
-).split()
+    "AL", "AK", "AZ", "AR", "CA", "CO", "CT", "DE", "FL", "GA", "HI", "ID", "IL", "IN", "IA", "KS", "KY",
+    "LA", "ME", "MD", "MA", "MI", "MN", "MS", "MO", "MT", "NE", "NV", "NH", "NJ", "NM", "NY", "NC", "ND",
+    "OH", "OK", "OR", "PA", "RI", "SC", "SD", "TN", "TX", "UT", "VT", "VA", "WA", "WV", "WI", "WY",
+)
 
 
 def is_online(state: Column, city: Column) -> Column:
@@ -36,4 +37,4 @@ def zip5(c: Column) -> Column:
 
 
 def foreign_state(state: Column) -> Column:
-    return ~state.isin(US_STATES)
+    return ~state.isin(*US_STATES)

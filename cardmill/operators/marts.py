@@ -9,19 +9,21 @@ from cardmill import functions as fn
 
 # Columns of the fact projection, in order.
 FACT_COLUMNS = (
-    "transaction_id transaction_date user_id card_id merchant_id merchant_city merchant_state amount "
-    "amount_currency is_refund is_online_transaction mcc mcc_description card_brand card_type use_chip "
-    "error_bad_pin error_bad_cvv error_bad_card_number error_bad_expiration error_bad_zipcode "
-    "error_insufficient_balance error_technical_glitch has_error is_fraud is_valid _batch_id year month day"
-).split()
+    "transaction_id", "transaction_date", "user_id", "card_id", "merchant_id", "merchant_city", "merchant_state",
+    "amount", "amount_currency", "is_refund", "is_online_transaction", "mcc", "mcc_description", "card_brand",
+    "card_type", "use_chip", "error_bad_pin", "error_bad_cvv", "error_bad_card_number", "error_bad_expiration",
+    "error_bad_zipcode", "error_insufficient_balance", "error_technical_glitch", "has_error", "is_fraud", "is_valid",
+    "_batch_id", "year", "month", "day",
+)
 
 # Columns of the fraud mart, in order.
 MART_COLUMNS = (
-    "transaction_id transaction_date user_id amount amount_currency mcc_description card_brand card_type "
-    "merchant_city merchant_state is_fraud current_age gender credit_score yearly_income txn_count_last_1h "
-    "txn_count_last_24h txn_count_last_7d amount_sum_last_24h amount_vs_user_avg_ratio is_night_txn is_weekend "
-    "is_foreign_merchant card_on_dark_web risk_score merchant_fraud_rate merchant_risk_tier year month day"
-).split()
+    "transaction_id", "transaction_date", "user_id", "amount", "amount_currency", "mcc_description", "card_brand",
+    "card_type", "merchant_city", "merchant_state", "is_fraud", "current_age", "gender", "credit_score",
+    "yearly_income", "txn_count_last_1h", "txn_count_last_24h", "txn_count_last_7d", "amount_sum_last_24h",
+    "amount_vs_user_avg_ratio", "is_night_txn", "is_weekend", "is_foreign_merchant", "card_on_dark_web", "risk_score",
+    "merchant_fraud_rate", "merchant_risk_tier", "year", "month", "day",
+)
 
 # Columns of the staging views that are not passed to consumers.
 _TRANSACTION_VIEW_DROPS = ("card_on_dark_web", "_source_file")

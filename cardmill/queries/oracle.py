@@ -9,6 +9,7 @@ import re
 
 from cardmill.queries import inputs
 
+# Fixed values in this text: placeholders, currency marks and words, format names, notes.
 PARSE_MONEY = r"""
 SELECT * EXCLUDE (t, cur, body, neg, d, nd, nc, numtext, ok, vnd, three, unclear),
   CASE WHEN ok AND NOT unclear THEN CASE WHEN neg THEN -TRY_CAST(numtext AS DECIMAL(18,2)) ELSE TRY_CAST(numtext AS DECIMAL(18,2)) END END AS amount,
@@ -79,6 +80,7 @@ _ERRORS = {
 _FOUND = {flag: f"coalesce(contains(errors, '{text}'), false)" for flag, text in _ERRORS.items()}
 ERROR_FLAGS = ", ".join([*(f"{found} AS {flag}" for flag, found in _FOUND.items()), f"({' OR '.join(_FOUND.values())}) AS has_error"])
 
+# Two-letter codes of the 50 US states.
 US_STATES = (
     "'AL','AK','AZ','AR','CA','CO','CT','DE','FL','GA','HI','ID','IL','IN','IA','KS','KY','LA','ME','MD','MA','MI','MN',"
     "'MS','MO','MT','NE','NV','NH','NJ','NM','NY','NC','ND','OH','OK','OR','PA','RI','SC','SD','TN','TX','UT','VT','VA',"

@@ -96,15 +96,27 @@ def dq_report_by_days(spark: SparkSession, folder: str) -> DataFrame:
     return stored.report(spark)
 
 
-@query(
-    " UNION ALL ".join(
-        [
-            _rows_sql("q_raw_txn", "transactions.has_rows"),
-            _check_sql("q_raw_txn", "transactions.not_null.id", "id IS NULL"),
-            _rows_sql("q_raw_mcc", "mcc_codes.has_rows"),
-        ]
-    )
+_RAW_GATE = " UNION ALL ".join(
+    [
+        _rows_sql("q_raw_txn", "transactions.has_rows"),
+        _check_sql("q_raw_txn", "transactions.not_null.id", "id IS NULL"),
+        _rows_sql("q_raw_mcc", "mcc_codes.has_rows"),
+    ]
 )
+
+
+@query(f"""SELECT 'failed checks: ' || string_agg("check", ', ' ORDER BY "check") AS message FROM ({_RAW_GATE}) WHERE NOT passed""")
+def gate(spark: SparkSession, folder: str) -> DataFrame:
+    """What the gate says of a table with rows that lack an id."""
+    report = ops.raw_checks(tables.raw_transactions(spark, folder), tables.raw_mcc_codes(spark, folder))
+    try:
+        ops.gate(report)
+    except ops.QualityError as error:
+        return spark.createDataFrame([(str(error),)], "message string")
+    return spark.createDataFrame([], "message string")
+
+
+@query(_RAW_GATE)
 def raw_gate(spark: SparkSession, folder: str) -> DataFrame:
     return ops.raw_checks(tables.raw_transactions(spark, folder), tables.raw_mcc_codes(spark, folder))
 

@@ -8,14 +8,16 @@ from datetime import date, datetime
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from cardmill.operators import cleaning
+from cardmill.operators import quality as ops
 from cardmill.plans import catalog, ingest, maintenance, repack
 from cardmill.plans.layout import Lake
 from cardmill.queries import inputs, tables
 from cardmill.queries.registry import query
-from cardmill.schemas import RAW, STAGING, conform
+from cardmill.schemas import PARTITIONING, RAW, STAGING, conform
 from cardmill.session import materialize, scratch_path
-from cardmill.sinks import overwrite_day, overwrite_partitions, replace_table
-from cardmill.sources import read_csv, read_days, read_json_labels, read_json_map
+from cardmill.sinks import overwrite_day, overwrite_partitions, overwrite_single_file, replace_table
+from cardmill.sources import read_csv, read_days, read_json_labels, read_json_map, read_table, read_table_if_present
 from cardmill.sources.files import explode_json_map
 
 _DAY = ("year", "month", "day")
@@ -101,6 +103,81 @@ def compact_month(spark: SparkSession, folder: str) -> DataFrame:
     return _events(months.withColumns({"year": F.year("transaction_date"), "month": F.month("transaction_date"), "day": F.dayofmonth("transaction_date")}))
 
 
+@query(f"SELECT {_EVENT_COLUMNS} FROM q_ev UNION ALL SELECT {_EVENT_COLUMNS} FROM q_ev WHERE day <> 15")
+def compact_yesterday(spark: SparkSession, folder: str) -> DataFrame:
+    """The day before a given one."""
+    path = _stored_events(spark, folder)
+    maintenance.compact_yesterday(spark, path, "transaction_id", date(2024, 1, 16))
+    return _events(spark.read.parquet(path))
+
+
+@query("SELECT mcc, mcc_code, mcc_description, CAST(1 AS BIGINT) AS files FROM q_mcc")
+def single_file(spark: SparkSession, folder: str) -> DataFrame:
+    """A dimension as one file, twice; every row says how many files there are."""
+    path = scratch_path(spark, "single")
+    for _ in range(2):
+        overwrite_single_file(tables.mcc_codes(spark, folder).select("mcc", "mcc_code", "mcc_description"), path)
+    stored = spark.read.parquet(path).withColumn("file", F.col("_metadata.file_name"))
+    return stored.select("mcc", "mcc_code", "mcc_description", F.lit(stored.select(F.count_distinct("file")).scalar()).alias("files"))
+
+
+@query("SELECT 'orders' AS name, count(*) AS rows FROM {orders} UNION ALL SELECT 'missing', CAST(0 AS BIGINT)")
+def optional_scan(spark: SparkSession, folder: str) -> DataFrame:
+    """A stored table and one that was never written."""
+    root = scratch_path(spark, "optional")
+    replace_table(inputs.table(spark, folder, "orders"), f"{root}/orders")
+    found = {name: read_table_if_present(spark, f"{root}/{name}") for name in ("orders", "missing")}
+    empty = inputs.table(spark, folder, "orders").limit(0)
+    return ops.row_counts({name: empty if df is None else df for name, df in found.items()}).toDF("name", "rows")
+
+
+@query("SELECT CAST(year(o_orderdate) AS INT) AS year, count(*) AS rows, sum(count(*)) OVER () = (SELECT count(*) FROM {orders}) AS complete FROM {orders} GROUP BY 1")
+def observed_rows(spark: SparkSession, folder: str) -> DataFrame:
+    """Rows of each partition, and whether they add up to the count that the writing stage observed."""
+    path = scratch_path(spark, "observed")
+    observed = overwrite_partitions(inputs.table(spark, folder, "orders").withColumn("year", F.year("o_orderdate")), path, ["year"])
+    counts = spark.read.parquet(path).groupBy("year").agg(F.count(F.lit(1)).alias("rows"))
+    return counts.withColumn("complete", F.lit(counts.select(F.sum("rows")).scalar()) == observed)
+
+
+@query("SELECT transaction_id, amount_raw, amount_format, quarantine_reason, is_resolved, year, month FROM q_quarantine")
+def quarantine_sink(spark: SparkSession, folder: str) -> DataFrame:
+    """Rejected rows stored by month, those without a date in a partition of their own."""
+    path = scratch_path(spark, "quarantine")
+    rejected = conform(cleaning.quarantine_rows(tables.cleaned_transactions(spark, folder)), STAGING["quarantine"])
+    replace_table(rejected, path, partition_by=("year", "month"))
+    stored = spark.read.parquet(path)
+    return stored.select("transaction_id", "amount_raw", "amount_format", "quarantine_reason", "is_resolved", "year", "month")
+
+
+@query("SELECT user_id, age_group, credit_score_band, created_year, created_month FROM q_users")
+def cohort_partitions(spark: SparkSession, folder: str) -> DataFrame:
+    """Users stored by the year and month of their cohort."""
+    path = scratch_path(spark, "cohorts")
+    replace_table(conform(tables.users(spark, folder), STAGING["users"]), path, partition_by=PARTITIONING["users"])
+    return spark.read.parquet(path).select("user_id", "age_group", "credit_score_band", *PARTITIONING["users"])
+
+
+_FACTS = ("transaction_id", "user_id", "merchant_id", "merchant_city", "merchant_state", "mcc", "mcc_description", "is_fraud", "year", "month", "day")
+
+
+@query(f"SELECT {', '.join(_FACTS)}, CAST(amount AS DOUBLE) AS amount FROM q_evm WHERE is_valid")
+def view_by_name(spark: SparkSession, folder: str) -> DataFrame:
+    """The fact view over registered staging tables, read by name and stored as a table."""
+    lake, prefix = Lake(scratch_path(spark, "lake")), f"cardmill_{uuid.uuid4().hex}_"
+    events = inputs.derive(spark, folder, inputs.EVENT_PAYMENTS)
+    overwrite_partitions(conform(events, STAGING["transactions"]), lake.staging("transactions"), _DAY)
+    catalog.register_tables(spark, lake, prefix)
+    catalog.sync_partitions(spark, lake, prefix)
+    try:
+        catalog.create_views(spark, prefix)
+        replace_table(spark.table(f"{prefix}warehouse.fact_transactions"), lake.warehouse("facts"))
+    finally:
+        for database in ("staging", "warehouse"):
+            spark.sql(f"DROP DATABASE {prefix}{database} CASCADE")
+    return read_table(spark, lake.warehouse("facts")).select(*_FACTS, "amount")
+
+
 @query(f"SELECT {_EVENT_COLUMNS} FROM q_ev UNION ALL SELECT {_EVENT_COLUMNS} FROM q_ev WHERE day <> 15")
 def repack_days(spark: SparkSession, folder: str) -> DataFrame:
     """Small files of two days are gathered; the copies of one of them go, the other is packed as it is."""

@@ -2,14 +2,13 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from cardmill.session import materialize
 
 
-
 def read_csv(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
     """CSV with a header; an empty field is NULL, also when it is quoted."""
     return (
@@ -41,25 +40,66 @@ def explode_json_map(df: DataFrame, text: str, key: str, value: str, inner: str
     return exploded.withColumn("_rank", F.row_number().over(last)).filter("_rank = 1").select(*others, key, value)
 
 
-_AT = ("_file", "_block", "_line")
+_SPLIT = ("_file", "_block")
 
 
-def _running(pieces: DataFrame, name: str, value) -> DataFrame:
-    """Add the sum of ``value`` over all earlier pieces of the file.
+def _count(text: Column, mark: str) -> Column:
+    return F.length(text) - F.length(F.replace(text, F.lit(mark), F.lit("")))
 
-    Splits are summed first, so a task sees one split at a time and one number for each split of a file.
-    """
-    valued = pieces.withColumn("_v", value)
-    splits = valued.groupBy("_file", "_block").agg(F.sum("_v").alias("_s"))
-    earlier = Window.partitionBy("_file").orderBy("_block").rowsBetween(Window.unboundedPreceding, -1)
-    before = splits.select("_file", "_block", F.coalesce(F.sum("_s").over(earlier), F.lit(0)).alias("_before"))
-    within = Window.partitionBy("_file", "_block").orderBy("_line").rowsBetween(Window.unboundedPreceding, -1)
-    local = valued.withColumn("_local", F.coalesce(F.sum("_v").over(within), F.lit(0)))
-    return local.join(before, ["_file", "_block"]).withColumn(name, F.col("_local") + F.col("_before")).drop("_v", "_local", "_before")
 
+def _opened(bare: Column, inside: bool) -> Column:
+    """Braces that a piece leaves open; a piece that begins inside a string gets its opening quote back first."""
+    outside = F.regexp_replace(F.concat(F.lit('"' if inside else ""), bare), r'"[^"]*("|$)', "")
+    return _count(outside, "{") + _count(outside, "[") - _count(outside, "}") - _count(outside, "]")
 
-def _count(text, mark: str):
-    return F.length(text) - F.length(F.replace(text, F.lit(mark), F.lit("")))
+
+def _measured(pieces: DataFrame) -> DataFrame:
+    """Quotes and open braces before each piece within its split, for either case: the split begins outside of a string, or inside."""
+    bare = F.regexp_replace("value", r"\\.", "")
+    before = Window.partitionBy(*_SPLIT).orderBy("_line").rowsBetween(Window.unboundedPreceding, -1)
+    measured = pieces.withColumns({"_quotes": _count(bare, '"') % 2, "_apart": _opened(bare, False), "_within": _opened(bare, True)})
+    odd = F.coalesce(F.sum("_quotes").over(before), F.lit(0)) % 2
+    chosen = measured.withColumn("_odd", odd).withColumns(
+        {
+            "_opens0": F.when(F.col("_odd") == 1, F.col("_within")).otherwise(F.col("_apart")),
+            "_opens1": F.when(F.col("_odd") == 1, F.col("_apart")).otherwise(F.col("_within")),
+        }
+    )
+    depth = {f"_depth{i}": F.coalesce(F.sum(f"_opens{i}").over(before), F.lit(0)) for i in (0, 1)}
+    return chosen.withColumns(depth).drop("_apart", "_within")
+
+
+def _split_starts(measured: DataFrame, wrapper: str) -> DataFrame:
+    """For each split: whether it begins inside a string, the depth it begins at, and the depth of its file's entries."""
+    splits = measured.groupBy(*_SPLIT).agg(
+        *(F.sum(c).alias(c) for c in ("_quotes", "_opens0", "_opens1")), F.min_by("value", "_line").alias("_first")
+    )
+    in_file = Window.partitionBy("_file").orderBy("_block")
+    earlier = in_file.rowsBetween(Window.unboundedPreceding, -1)
+    begun = splits.withColumn("_inside", F.coalesce(F.sum("_quotes").over(earlier), F.lit(0)) % 2)
+    opened = F.when(F.col("_inside") == 1, F.col("_opens1")).otherwise(F.col("_opens0"))
+    return begun.withColumn("_open", opened).select(
+        *_SPLIT,
+        "_inside",
+        F.coalesce(F.sum("_open").over(earlier), F.lit(0)).alias("_start"),
+        F.when(F.first("_first").over(in_file).rlike(wrapper), 2).otherwise(1).alias("_base"),
+    )
+
+
+def _put_together(pieces: DataFrame) -> DataFrame:
+    """Entries of several pieces: each piece goes to the last one before it, in its split or an earlier one, that opens an entry."""
+    opening = F.when(F.col("_opens"), F.struct("_block", "_line"))
+    so_far = Window.partitionBy(*_SPLIT).orderBy("_line").rowsBetween(Window.unboundedPreceding, 0)
+    earlier = Window.partitionBy("_file").orderBy("_block").rowsBetween(Window.unboundedPreceding, -1)
+    last = pieces.groupBy(*_SPLIT).agg(F.max(opening).alias("_last"))
+    carried = last.select(*_SPLIT, F.last("_last", ignorenulls=True).over(earlier).alias("_carried"))
+    local = pieces.withColumn("_own", F.last(opening, ignorenulls=True).over(so_far))
+    owned = local.join(carried, [*_SPLIT], "left").withColumn("_entry", F.coalesce("_own", "_carried"))
+    return owned.groupBy("_file", "_base", "_entry").agg(
+        F.array_join(F.sort_array(F.collect_list(F.struct("_block", "_line", "value")))["value"], ",").alias("value"),
+        F.min("_depth").alias("_depth"),
+        F.max_by("_after", F.struct("_block", "_line")).alias("_after"),
+    )
 
 
 def read_json_entries(
@@ -68,9 +108,10 @@ def read_json_entries(
     """Entries of files ``{key: value, ...}`` of any size: key, value, rejected.
 
     Files are cut at commas wherever that is, so one line is read by many tasks. A cut counts if the quotes before it
-    are even and the braces before it leave the depth of the entries; other pieces are put together again. Values come as
-    text (a nested one as its JSON). What is no entry comes as text in ``rejected``. Where ``inner`` opens the file,
-    the entries of that member are taken. Of equal keys the last one counts.
+    are even and the braces before it leave the depth of the entries; other pieces are put together again. Each split is
+    measured for both ways it can begin and stored; a scan over one row for each split then says which one holds. Values
+    come as text (a nested one as its JSON). What is no entry comes as text in ``rejected``. Where ``inner`` opens the
+    file, the entries of that member are taken. Of equal keys the last one counts.
     """
     pieces = spark.read.option("lineSep", ",").text(path).select(
         "value",
@@ -78,26 +119,32 @@ def read_json_entries(
         F.col("_metadata.file_block_start").alias("_block"),
         F.monotonically_increasing_id().alias("_line"),
     )
-    bare = F.regexp_replace("value", r"\\.", "")
-    # Each running sum reads its input twice, so its result is stored before the next one.
-    quoted = materialize(_running(pieces, "_quotes", _count(bare, '"')), "json-quotes")
-    # Outside of strings: a piece that begins inside one gets its opening quote back first.
-    outside = F.regexp_replace(F.concat(F.when(F.col("_quotes") % 2 == 1, '"').otherwise(""), bare), r'"[^"]*("|$)', "")
-    delta = _count(outside, "{") + _count(outside, "[") - _count(outside, "}") - _count(outside, "]")
-    nested = materialize(_running(quoted, "_depth", delta).withColumn("_after", F.col("_depth") + delta), "json-depths")
+    measured = materialize(_measured(pieces), "json-pieces")
     wrapper = rf'^\s*\{{\s*"{inner}"\s*:\s*\{{' if inner else r"^\b$"
-    first = nested.groupBy("_file").agg(F.min_by("value", F.struct("_block", "_line")).alias("_first"))
-    base = first.select("_file", F.when(F.col("_first").rlike(wrapper), 2).otherwise(1).alias("_base"))
-    placed = nested.join(base, "_file")
-    opens = (F.col("_quotes") % 2 == 0) & ((F.col("_depth") == F.col("_base")) | (F.col("_depth") == 0))
-    counted = _running(placed, "_entry", opens.cast("int")).withColumn("_entry", F.col("_entry") + opens.cast("int"))
-    entries = counted.groupBy("_file", "_entry", "_base").agg(
-        F.array_join(F.sort_array(F.collect_list(F.struct("_block", "_line", "value")))["value"], ",").alias("_text"),
-        F.min("_depth").alias("_depth"),
-        F.max_by("_after", F.struct("_block", "_line")).alias("_after"),
+    inside = F.col("_inside") == 1
+    placed = measured.join(_split_starts(measured, wrapper), [*_SPLIT]).withColumns(
+        {
+            "_odd": (F.col("_inside") + F.col("_odd")) % 2,
+            "_depth": F.col("_start") + F.when(inside, F.col("_depth1")).otherwise(F.col("_depth0")),
+            "_open": F.when(inside, F.col("_opens1")).otherwise(F.col("_opens0")),
+        }
+    )
+    placed = placed.withColumn("_after", F.col("_depth") + F.col("_open")).select(
+        "value",
+        *_SPLIT,
+        "_line",
+        "_base",
+        "_depth",
+        "_after",
+        ((F.col("_odd") == 0) & F.col("_depth").isin(0, F.col("_base"))).alias("_opens"),
+        (((F.col("_odd") + F.col("_quotes")) % 2 == 0) & F.col("_after").isin(0, F.col("_base"))).alias("_ends"),
     )
-    opened = F.when(F.col("_base") == 2, F.regexp_replace("_text", wrapper, "")).otherwise(F.regexp_replace("_text", r"^\s*\{", ""))
-    body = F.when(F.col("_depth") == 0, opened).otherwise(F.col("_text"))
+    whole = F.col("_opens") & F.col("_ends")
+    columns = ("value", "_file", "_entry", "_base", "_depth", "_after")
+    single = placed.filter(whole).withColumn("_entry", F.struct("_block", "_line")).select(*columns)
+    entries = single.unionByName(_put_together(placed.filter(~whole)).select(*columns))
+    opened = F.when(F.col("_base") == 2, F.regexp_replace("value", wrapper, "")).otherwise(F.regexp_replace("value", r"^\s*\{", ""))
+    body = F.when(F.col("_depth") == 0, opened).otherwise(F.col("value"))
     closers = F.col("_base") - F.col("_after")
     body = F.when(closers >= 2, F.regexp_replace(body, r"\}\s*\}\s*$", "")).when(closers == 1, F.regexp_replace(body, r"\}\s*$", "")).otherwise(body)
     parsed = entries.select("_file", "_entry", body.alias("_body")).filter(F.trim(F.regexp_replace("_body", r"\s", "")) != "")

@@ -1,11 +1,12 @@
 """A small lake taken through all jobs, in one go and day by day."""
 
+import re
 from datetime import date, datetime
 
 import pytest
 
 from cardmill.operators import quality
-from cardmill.plans import catalog, flows, ingest, warehouse
+from cardmill.plans import catalog, flows, incremental, ingest, labels, warehouse
 from cardmill.plans.layout import Lake
 from cardmill.schemas import RAW
 
@@ -173,3 +174,72 @@ def test_jobs_from_the_command_line(spark, lakes, capsys):
     assert main(["features", *root], spark) == 2
     assert main(["vacuum", *root], spark)["removed"] == 0
     assert "transactions.has_rows" in capsys.readouterr().out
+
+
+def _scans(spark, after):
+    """(folder, whether days are selected, columns read) of every Parquet scan of the executions after one."""
+    listed = spark._jsparkSession.sharedState().statusStore().executionsList()
+    runs = [listed.apply(i) for i in range(listed.size())]
+    texts = [r.physicalPlanDescription() for r in runs if r.executionId() > after]
+    scans = [block for text in texts for block in text.split("\n\n") if re.match(r"\(\d+\) Scan parquet", block)]
+    for block in scans:
+        folder = re.search(r"Location: \w+ \[(?:file:)?([^],]*)", block)[1]
+        yield folder, "PartitionFilters: [" in block, re.search(r"ReadSchema: struct<(.*)>", block)[1]
+
+
+def _last(spark):
+    listed = spark._jsparkSession.sharedState().statusStore().executionsList()
+    return max((listed.apply(i).executionId() for i in range(listed.size())), default=-1)
+
+
+def test_a_day_reads_no_other_days_in_full(spark, tmp_path):
+    """Of the staged transactions a day reads days it names; of all days only the key column, to find repeated keys."""
+    lake = Lake(str(tmp_path))
+    fill(spark, lake, [("1", "No")])
+    flows.run_backfill(spark, lake, NOW)
+    spark.conf.set("spark.sql.maxMetadataStringLength", "4000")
+    try:
+        before = _last(spark)
+        flows.run_day(spark, lake, date(2024, 1, 2), NOW)
+        seen = list(_scans(spark, before))
+    finally:
+        spark.conf.unset("spark.sql.maxMetadataStringLength")
+    staged = [(days, columns) for folder, days, columns in seen if folder.rstrip("/").endswith("staging/transactions")]
+    assert any(days for days, _ in staged)
+    assert {columns for days, columns in staged if not days} <= {"transaction_id:string"}
+    marts_read = {folder.rsplit("/", 1)[-1] for folder, _, _ in seen}
+    assert {"merchant_days", "merchant_months"} <= marts_read
+
+
+def test_one_feature_job_and_one_mart_job_for_all_later_days(spark, tmp_path, monkeypatch):
+    lake, calls = Lake(str(tmp_path)), []
+    fill(spark, lake, [("1", "No")])
+    flows.run_backfill(spark, lake, NOW)
+    for name in ("build_features_days", "build_marts_days"):
+        real = getattr(warehouse, name)
+        monkeypatch.setattr(warehouse, name, lambda *a, real=real, name=name: calls.append((name, a[2])) or real(*a))
+    flows.run_day(spark, lake, date(2024, 1, 1), NOW)
+    days = [date(2024, 1, 1), date(2024, 1, 2)]
+    assert calls == [("build_features_days", days), ("build_marts_days", days)]
+
+
+def test_late_labels_reach_the_marts(spark, tmp_path):
+    once, later = (Lake(str(tmp_path / n)) for n in ("once", "later"))
+    all_labels = [("1", "No"), ("2", "Yes"), ("5", "Yes")]
+    for lake, given in ((once, all_labels), (later, all_labels[:1])):
+        fill(spark, lake, given)
+        flows.run_backfill(spark, lake, NOW)
+    late = spark.createDataFrame(all_labels[1:], RAW["fraud_labels"])
+    assert labels.run_labels(spark, later, late)["days"] == ["2024-01-01", "2024-01-02"]
+    assert labels.run_labels(spark, later, late) == {"days": []}
+    for table in ("feat_fraud_features", "fraud_features", "user_daily_stats", "dim_merchants", "merchant_risk_score"):
+        left, right = (spark.read.parquet(lake.warehouse(table)) for lake in (once, later))
+        assert sorted(map(str, right.select(*left.columns).collect())) == sorted(map(str, left.collect())), table
+
+
+def test_users_and_cards_by_batch(spark, lakes):
+    lake = lakes[0]
+    for _ in range(2):
+        assert incremental.load_users(spark, lake) == {"loaded": 2, "rows": 2}
+        assert incremental.load_cards(spark, lake) == {"loaded": 2, "rows": 2}
+    assert "is_valid" not in incremental.read_batches(spark, lake.warehouse("users_by_batch")).columns
