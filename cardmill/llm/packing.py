@@ -22,8 +22,6 @@ from __future__ import annotations
 
 import os
 import re
-import sys
-import types
 from array import array
 from collections import Counter
 from itertools import chain
@@ -270,11 +268,8 @@ class Encoder:
 
 
 def _of_this_worker(model: str) -> Encoder:
-    """The encoder of this process. It stays for later tasks, with what it remembers; only one model is kept.
-
-    Functions are shipped by value and with them the variables of this module, so the place is a module of its own.
-    """
-    kept = sys.modules.setdefault("cardmill_worker", types.ModuleType("cardmill_worker")).__dict__.setdefault("encoders", {})
+    """The encoder of this process. It stays for later tasks, with what it remembers; only one model is kept."""
+    kept = tx.of_this_worker("encoders")
     if model not in kept:
         kept.clear()
         kept[model] = Encoder(model)

@@ -6,6 +6,9 @@ derived from them (8 bytes for each byte of text) stay small; a longer single te
 
 from __future__ import annotations
 
+import sys
+import types
+
 import numpy as np
 import pyarrow as pa
 
@@ -54,8 +57,17 @@ def text_slices(batch, column: str = "text", limit: int = SLICE_BYTES):
         yield a, b, data[offsets[a] : offsets[b]], offsets[a : b + 1] - offsets[a]
 
 
-def _powers(n: int, cache={}) -> tuple[np.ndarray, np.ndarray]:  # noqa: B006  (a cache per worker)
-    base = 0x9E3779B97F4A7C15
+def of_this_worker(name: str) -> dict:
+    """A dictionary of this process that stays for later tasks.
+
+    Functions are shipped by value, and with them a new copy of this module's variables for each task, which Python frees
+    late; so the place is a module of its own.
+    """
+    return sys.modules.setdefault("cardmill_worker", types.ModuleType("cardmill_worker")).__dict__.setdefault(name, {})
+
+
+def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
+    base, cache = 0x9E3779B97F4A7C15, of_this_worker("powers")
     if n > len(cache.get("up", ())):
         size = max(n, SLICE_BYTES + 1)
         for name, factor in (("up", base), ("down", pow(base, -1, 1 << 64))):
@@ -104,8 +116,9 @@ _FIELDS = (
 )
 
 
-def _field_powers(prime: int, base: int, n: int, cache={}) -> tuple[np.ndarray, np.ndarray]:  # noqa: B006  (a cache per worker)
+def _field_powers(prime: int, base: int, n: int) -> tuple[np.ndarray, np.ndarray]:
     """Powers of the base and of its inverse modulo the prime."""
+    cache = of_this_worker("field-powers")
     if n > len(cache.get(prime, ((),))[0]):
         size, tables = max(n, SLICE_BYTES + 1), []
         for factor in (base, pow(base, -1, prime)):
