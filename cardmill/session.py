@@ -22,6 +22,12 @@ SQL_SETTINGS = {
     # Splitting a hot key is worth one more shuffle further up.
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
     "spark.sql.adaptive.optimizeSkewsInRebalancePartitions.enabled": "true",
+    # Rows are kept packed in a shuffle and take about ten times that in a sort or hash table: tasks get 24 MB, not 64.
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes": "24m",
+    # A side whose partitions are all small is hashed, so that the other, larger one needs no sort.
+    "spark.sql.adaptive.maxShuffledHashJoinLocalMapThreshold": "24m",
+    # The JVM compiles no method above 8000 bytes: a stage that has one is faster as separate, smaller projections.
+    "spark.sql.codegen.hugeMethodLimit": "8000",
 }
 
 _SCRATCH_ROOTS: dict[str, str] = {}
