@@ -81,7 +81,11 @@ def clean_transactions(df: DataFrame, tiebreak: Sequence[Column] | None = None)
     Copies are removed before the money text is parsed: the choice needs only
     the key and the load time, so no copy is parsed in vain.
     """
-    latest = latest_where_keyed(df, "id", ["_loaded_at"], tiebreak)
+    return clean_latest(latest_where_keyed(df, "id", ["_loaded_at"], tiebreak))
+
+
+def clean_latest(latest: DataFrame) -> DataFrame:
+    """The typed and flagged columns of raw transactions, row by row."""
     parsed = fn.parse_money(type_transactions(latest).transform(mark_errors))
     cleaned = (
         parsed.transform(mark_refund)

@@ -34,3 +34,20 @@ def latest_where_keyed(df: DataFrame, key: str, newest: Sequence[str], tiebreak=
     order = tiebreak if tiebreak is not None else [F.xxhash64(*df.columns).asc()]
     lone = df.withColumn("_lone", F.when(F.col(key).isNull(), F.monotonically_increasing_id()))
     return latest_per_key(lone, [key, "_lone"], newest, order).drop("_lone")
+
+
+def latest_with_row_key(df: DataFrame, key: str, newest: Sequence[str], tiebreak=None) -> DataFrame:
+    """As ``latest_where_keyed`` for a text key, but ``key`` becomes ``_key`` and ``_keyed``.
+
+    ``_key`` is the key, or a random text of its own for a row that has none (``_keyed`` false). Rows are dealt by this
+    one column, so a join by it that follows needs no shuffle of them. ``restore_key`` brings the key back.
+    """
+    order = tiebreak if tiebreak is not None else [F.xxhash64(*df.columns).asc()]
+    dealt = df.withColumns({"_key": F.coalesce(F.col(key), F.uuid()), "_keyed": F.col(key).isNotNull()})
+    if tiebreak is not None:
+        dealt = dealt.drop(key)
+    return latest_per_key(dealt, ["_key"], newest, order).drop(key)
+
+
+def restore_key(df: DataFrame, key: str) -> DataFrame:
+    return df.withColumn(key, F.when(F.col("_keyed"), F.col("_key"))).drop("_key", "_keyed")

@@ -7,9 +7,14 @@ Every added side has one row per key, so the row count never changes.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from collections.abc import Sequence
+
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from cardmill.operators.cleaning import clean_latest
+from cardmill.operators.dedup import latest_with_row_key, restore_key
+
 UNKNOWN = "UNKNOWN"
 
 CODE_SALTS = 64
@@ -39,3 +44,18 @@ def add_labels(txns: DataFrame, labels: DataFrame) -> DataFrame:
 def enrich_transactions(txns: DataFrame, mcc: DataFrame, cards: DataFrame, labels: DataFrame | None) -> DataFrame:
     enriched = add_card_attributes(add_mcc_description(txns, mcc), cards)
     return enriched if labels is None else add_labels(enriched, labels)
+
+
+def clean_and_enrich(
+    raw: DataFrame, mcc: DataFrame, cards: DataFrame, labels: DataFrame | None, tiebreak: Sequence[Column] | None = None
+) -> DataFrame:
+    """``enrich_transactions`` of ``clean_transactions``, with the large rows moved twice in their raw, narrow form.
+
+    De-duplication and labels share one shuffle by id, cards take the other. Cleaning makes rows half as wide again and
+    comes after both.
+    """
+    latest = latest_with_row_key(raw.drop("card_number", "is_fraud", *CARD_ATTRIBUTES), "id", ["_loaded_at"], tiebreak)
+    if labels is not None:
+        latest = latest.join(labels.select(F.col("transaction_id").alias("_key"), "is_fraud"), "_key", "left")
+    carded = add_card_attributes(restore_key(latest, "id"), cards)
+    return add_mcc_description(clean_latest(carded), mcc)

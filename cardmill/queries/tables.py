@@ -63,6 +63,7 @@ def labels(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def enriched_transactions(spark: SparkSession, folder: str) -> DataFrame:
-    return enrich.enrich_transactions(
-        cleaned_transactions(spark, folder), mcc_codes(spark, folder), cards(spark, folder), labels(spark, folder)
+    order = [F.col("_source_file").asc_nulls_last()]
+    return enrich.clean_and_enrich(
+        raw_transactions(spark, folder), mcc_codes(spark, folder), cards(spark, folder), labels(spark, folder), order
     )

@@ -1,7 +1,45 @@
 """How often the rows of the large tables are moved, and that moving them less changes no row."""
 
+import pytest
+from conftest import SMALL
+from pyspark.sql import functions as F
+
+from cardmill.operators import cleaning, enrich
+from cardmill.queries import tables
 from cardmill.session import SQL_SETTINGS
 
 
+@pytest.fixture
+def no_broadcast(spark):
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    yield spark
+    spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+def _plan(df):
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+def _added(spark):
+    return tables.mcc_codes(spark, SMALL), tables.cards(spark, SMALL), tables.labels(spark, SMALL)
+
+
+def test_labels_need_no_shuffle_of_transactions(no_broadcast):
+    plan = _plan(tables.enriched_transactions(no_broadcast, SMALL))
+    assert plan.count("Exchange hashpartitioning(_key") == 1
+    assert plan.count("Exchange hashpartitioning(transaction_id") == 1  # the labels' own
+
+
+def test_cleaning_and_enriching_in_one_equals_one_after_the_other(spark):
+    order = [F.col("_source_file").asc_nulls_last()]
+    raw = tables.raw_transactions(spark, SMALL)
+    steps = enrich.enrich_transactions(cleaning.clean_transactions(raw, order), *_added(spark))
+    both = enrich.clean_and_enrich(raw, *_added(spark), order).select(*steps.columns)
+    assert steps.exceptAll(both).isEmpty() and both.exceptAll(steps).isEmpty()
+    unordered = enrich.clean_and_enrich(raw, *_added(spark))
+    assert unordered.count() == steps.count()
+    assert unordered.filter("transaction_id IS NULL").count() == raw.filter("id IS NULL").count()
+
+
 def test_methods_too_large_for_the_jvm_are_not_generated():
     assert int(SQL_SETTINGS["spark.sql.codegen.hugeMethodLimit"]) <= 8000
