@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from cardmill import functions as fn
+from cardmill.operators import features as feature_ops
 
 # Columns of the fact projection, in order.
 FACT_COLUMNS = (
@@ -25,6 +26,12 @@ MART_COLUMNS = (
     "merchant_fraud_rate", "merchant_risk_tier", "year", "month", "day",
 )
 
+# Columns of valid transactions from which the mart, its features and its merchants are made.
+MART_SOURCE_COLUMNS = (
+    "transaction_id", "transaction_date", "user_id", "merchant_id", "amount", "amount_currency", "mcc", "mcc_description",
+    "card_brand", "card_type", "merchant_city", "merchant_state", "is_fraud", "card_on_dark_web", "year", "month", "day",
+)
+
 # Columns of the staging views that are not passed to consumers.
 _TRANSACTION_VIEW_DROPS = ("card_on_dark_web", "_source_file")
 _USER_VIEW_DROPS = ("is_valid", "_source_file")
@@ -85,50 +92,52 @@ def merchant_risk_score(txns: DataFrame) -> DataFrame:
     return rated.withColumn("risk_tier", fn.risk_tier(F.col("fraud_rate"))).drop("_sum", "_n")
 
 
+# Feature columns of the mart, with the type they get there.
+_MEASURES = {
+    "txn_count_last_1h": "int", "txn_count_last_24h": "int", "txn_count_last_7d": "int", "amount_sum_last_24h": "double",
+    "amount_vs_user_avg_ratio": "double", "risk_score": "double",
+}
+
+
 def fraud_mart(facts: DataFrame, users: DataFrame, features: DataFrame, merchants: DataFrame) -> DataFrame:
     """Facts with the current user version, the features and the merchant's risk.
 
     The widest join, on the transaction id, comes first; the others add few
     narrow columns. ``users`` may hold closed versions.
     """
-    current = users.filter("is_current").select(
-        "user_id", "current_age", "gender", "credit_score", F.col("yearly_income").cast("double").alias("yearly_income")
-    )
-    counts = ("txn_count_last_1h", "txn_count_last_24h", "txn_count_last_7d")
     measured = features.select(
         "transaction_id",
-        *(F.col(c).cast("int").alias(c) for c in counts),
-        *(F.col(c).cast("double").alias(c) for c in ("amount_sum_last_24h", "amount_vs_user_avg_ratio", "risk_score")),
+        *(F.col(c).cast(kind).alias(c) for c, kind in _MEASURES.items()),
         "is_night_txn",
         "is_weekend",
         "is_foreign_merchant",
         "card_on_dark_web",
     )
+    own = [c for c in MART_SOURCE_COLUMNS if c not in ("mcc", "card_on_dark_web")]
+    slim = facts.select(*own).withColumn("amount", F.col("amount").cast("double"))
+    return _with_user_and_merchant(slim.join(measured, "transaction_id", "left"), users, merchants)
+
+
+def fraud_mart_of(valid: DataFrame, users: DataFrame, merchants: DataFrame) -> DataFrame:
+    """The mart of valid transactions whose features are not stored.
+
+    Features are added to the mart's own rows, which are dealt by user for that: neither they nor the user's columns need
+    another shuffle.
+    """
+    rows = feature_ops.add_time_and_place_flags(feature_ops.velocity(valid.select(*MART_SOURCE_COLUMNS)))
+    typed = rows.withColumns(
+        {c: F.col(c).cast(kind) if c in rows.columns else F.lit(None).cast(kind) for c, kind in _MEASURES.items()}
+    )
+    return _with_user_and_merchant(typed.withColumn("amount", F.col("amount").cast("double")), users, merchants)
+
+
+def _with_user_and_merchant(rows: DataFrame, users: DataFrame, merchants: DataFrame) -> DataFrame:
+    current = users.filter("is_current").select(
+        "user_id", "current_age", "gender", "credit_score", F.col("yearly_income").cast("double").alias("yearly_income")
+    )
     risk = merchants.select(
         "merchant_id",
         F.col("fraud_rate").cast("double").alias("merchant_fraud_rate"),
         F.col("risk_tier").alias("merchant_risk_tier"),
     )
-    slim = facts.select(
-        "transaction_id",
-        "transaction_date",
-        "user_id",
-        "merchant_id",
-        F.col("amount").cast("double").alias("amount"),
-        "amount_currency",
-        "mcc_description",
-        "card_brand",
-        "card_type",
-        "merchant_city",
-        "merchant_state",
-        "is_fraud",
-        "year",
-        "month",
-        "day",
-    )
-    return (
-        slim.join(measured, "transaction_id", "left")
-        .join(current, "user_id", "left")
-        .join(risk, "merchant_id", "left")
-        .select(*MART_COLUMNS)
-    )
+    return rows.join(current, "user_id", "left").join(risk, "merchant_id", "left").select(*MART_COLUMNS)

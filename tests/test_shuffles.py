@@ -1,10 +1,12 @@
 """How often the rows of the large tables are moved, and that moving them less changes no row."""
 
+from datetime import datetime
+
 import pytest
 from conftest import SMALL
 from pyspark.sql import functions as F
 
-from cardmill.operators import cleaning, enrich
+from cardmill.operators import cleaning, dims, enrich, features, marts
 from cardmill.queries import tables
 from cardmill.session import SQL_SETTINGS
 
@@ -41,5 +43,24 @@ def test_cleaning_and_enriching_in_one_equals_one_after_the_other(spark):
     assert unordered.filter("transaction_id IS NULL").count() == raw.filter("id IS NULL").count()
 
 
+def test_the_mart_of_rows_equals_the_mart_of_stored_features(spark):
+    valid = tables.enriched_transactions(spark, SMALL).filter("is_valid").cache()
+    users = dims.first_versions(tables.user_snapshot(spark, SMALL, 1), "user_id", datetime(2024, 1, 1))
+    merchants = dims.merchant_dimension(valid)
+    stored = marts.fraud_mart(marts.fact_transactions(valid), users, features.fraud_features(valid), merchants)
+    direct = marts.fraud_mart_of(valid, users, merchants)
+    assert stored.schema.simpleString() == direct.schema.simpleString()
+    assert stored.exceptAll(direct).isEmpty() and direct.exceptAll(stored).isEmpty()
+    valid.unpersist()
+
+
+def test_the_mart_of_rows_moves_them_by_user_only(no_broadcast):
+    valid = tables.enriched_transactions(no_broadcast, SMALL).filter("is_valid")
+    users = dims.first_versions(tables.user_snapshot(no_broadcast, SMALL, 1), "user_id", datetime(2024, 1, 1))
+    plan = _plan(marts.fraud_mart_of(valid, users, dims.merchant_dimension(valid).limit(10)))
+    assert "transaction_id" not in " ".join(line for line in plan.splitlines() if "Join" in line and "_key" not in line)
+    assert plan.count("Exchange hashpartitioning(user_id") == 2  # the rows, and the users
+
+
 def test_methods_too_large_for_the_jvm_are_not_generated():
     assert int(SQL_SETTINGS["spark.sql.codegen.hugeMethodLimit"]) <= 8000
