@@ -15,6 +15,9 @@ HOT_ROWS = 20_000
 # Rows of one range when a hot key is split.
 RANGE_ROWS = 8_000_000
 
+# Ranges wanted at most while a range holds fewer than ``RANGE_ROWS`` rows: each costs the driver a sample and a task.
+MOST_RANGES = 400
+
 
 def hot_keys(df: DataFrame, key: str, hot_rows: int = HOT_ROWS) -> tuple[DataFrame | None, int]:
     """Hot keys as a stored one-column table, and the number of rows they hold.
@@ -27,6 +30,12 @@ def hot_keys(df: DataFrame, key: str, hot_rows: int = HOT_ROWS) -> tuple[DataFra
     return (None, 0) if rows is None else (stored.select(key), rows)
 
 
+def range_count(rows: int, range_rows: int) -> int:
+    """Ranges of ``range_rows`` rows; larger ones, up to ``RANGE_ROWS``, where there would be more than ``MOST_RANGES``."""
+    size = max(range_rows, min(RANGE_ROWS, ceil(rows / MOST_RANGES)))
+    return max(1, ceil(rows / size))
+
+
 def running_totals(
     df: DataFrame, key: str, order: list[str], value: str, rows: int, range_rows: int = RANGE_ROWS
 ) -> DataFrame:
@@ -37,7 +46,7 @@ def running_totals(
     totals. The ranges are stored first: range bounds come from a sample, and a
     recomputed sample could cut differently.
     """
-    ranges = max(1, ceil(rows / range_rows))
+    ranges = range_count(rows, range_rows)
     cut = df.repartitionByRange(ranges, key, *order).withColumn("_range", F.spark_partition_id())
     cut = materialize(cut, "ranges")
 
@@ -74,7 +83,7 @@ def carried_forward(
     As in ``running_totals`` one key spreads over ranges of the full order; a range takes over the last value of the
     ranges before it. What is kept of a range and key is one row.
     """
-    ranges = max(1, ceil(rows / range_rows))
+    ranges = range_count(rows, range_rows)
     cut = df.repartitionByRange(ranges, key, *order).withColumn("_range", F.spark_partition_id())
     cut = materialize(cut, "ranges")
 

@@ -7,6 +7,7 @@ from conftest import SMALL
 from pyspark.sql import functions as F
 
 from cardmill.operators import cleaning, dims, enrich, features, marts
+from cardmill.operators.skew import RANGE_ROWS, range_count
 from cardmill.queries import tables
 from cardmill.session import SQL_SETTINGS
 
@@ -64,3 +65,9 @@ def test_the_mart_of_rows_moves_them_by_user_only(no_broadcast):
 
 def test_methods_too_large_for_the_jvm_are_not_generated():
     assert int(SQL_SETTINGS["spark.sql.codegen.hugeMethodLimit"]) <= 8000
+
+
+def test_ranges_of_a_hot_key_do_not_grow_with_its_rows():
+    assert range_count(0, 5000) == 1 and range_count(20_000, 5000) == 4
+    assert range_count(6_600_000, 5000) <= 400 and range_count(240_000_000, 5000) <= 400
+    assert range_count(100 * 400 * RANGE_ROWS, 5000) == 40_000  # a range never holds more than a task can
