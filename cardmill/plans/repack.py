@@ -1,14 +1,15 @@
 """Compaction by real file sizes: small files are gathered into files of about the wanted size, large ones stay.
 
 The listing of a folder gives the sizes. Files below half the wanted size are put into bins of half to one and a half
-times that size, and the files of a bin become one file in one task: they are read one after the other and sorted, and no
-row is shuffled. Only where rows of one key are repeated are the files that hold them brought together by key, and these
-files alone. New files are complete before old ones go (``sinks.swap.exchange_files``).
+times that size, and the files of a bin become one file in one task: they are read one after the other and sorted. No row
+of a small bin is shuffled; a bin that is too much for the sort of one task is sorted as ranges, stored, and its file is
+written from them one after the other. Only where rows of one key are repeated are the files that hold them brought
+together by key, and these files alone. New files are complete before old ones go (``sinks.swap.exchange_files``).
 """
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 from datetime import date
 from functools import reduce
@@ -16,15 +17,20 @@ from math import ceil
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import AtomicType
 
 from cardmill import files
 from cardmill.operators.dedup import latest_where_keyed
 from cardmill.plans.maintenance import HOT_FILE_BYTES, WARM_FILE_BYTES
+from cardmill.session import scratch_path
 from cardmill.sinks import recover, recover_partitions
 from cardmill.sinks.swap import INCOMING, exchange_files, finish_exchange, pack_folder, put_in_place, swap_folder
 
-# Bins written by one job: bounds its plan, not its data.
-BINS_AT_ONCE = 64
+# Frames written by one job: bounds its plan, not its data.
+FRAMES_AT_ONCE = 128
+# Stored bytes that one task sorts; in memory rows take about twenty times that.
+SORT_BYTES = 16 * 1024 * 1024
+_BIN = "repack_bin"
 # Otherwise Spark unites frames of one partition each into one partition.
 KEEP_APART = "spark.sql.unionOutputPartitioning"
 
@@ -83,28 +89,80 @@ def _files_with_copies(df: DataFrame, base: str, key: str) -> list[str]:
     return sorted(r["file"].rsplit(f"/{root}/", 1)[-1] for r in found)
 
 
-def _without_copies(df: DataFrame, key: str, size: int, wanted: int) -> DataFrame:
-    """The newest row of each key, clustered by user, in files of about the wanted size."""
-    order = _order(df, key)
-    unique = latest_where_keyed(df, key, _newest(df))
-    return unique.repartitionByRange(max(1, ceil(size / wanted)), *order).sortWithinPartitions(*order)
+def _united(frames: Sequence[DataFrame]) -> DataFrame:
+    return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), frames)
 
 
-def _together(df: DataFrame, key: str | None) -> DataFrame:
-    """The rows of a bin in one task, without a shuffle."""
-    one, order = df.coalesce(1), _order(df, key)
-    return one.sortWithinPartitions(*order) if order else one
+def _cut(pieces: Sequence[tuple[DataFrame, int]], count: int) -> list[list[DataFrame]]:
+    """Consecutive pieces in at most ``count`` lists of about equal size."""
+    total, before = sum(size for _, size in pieces) or 1, 0
+    lists: list[list[DataFrame]] = [[] for _ in range(count)]
+    for df, size in pieces:
+        lists[min(count - 1, int((before + size / 2) / total * count))].append(df)
+        before += size
+    return [frames for frames in lists if frames]
 
 
-def _write(frames: Sequence[DataFrame], folder: str, compression: str) -> int:
-    """Write each frame's partitions as files of their own; as many frames in one job as its plan may hold."""
-    rows, conf = 0, frames[0].sparkSession.conf
-    before = conf.get(KEEP_APART, None)
+def _sorted_in_ranges(large: Sequence[tuple[DataFrame, int]], key: str | None, path: str) -> list[list[tuple[DataFrame, int]]]:
+    """Each frame's rows, stored below ``path``, as frames that follow one another in their order; with their stored sizes.
+
+    A range of about ``SORT_BYTES`` is sorted by a task of its own. Rows that agree in the order may be in several ranges.
+    """
+    rows = _united([df.withColumn(_BIN, F.lit(i)) for i, (df, _) in enumerate(large)])
+    order = _order(rows, key)
+    spread = F.xxhash64(*[f.name for f in rows.schema if isinstance(f.dataType, AtomicType)])
+    ranges = max(1, ceil(sum(size for _, size in large) / SORT_BYTES))
+    cut = rows.repartitionByRange(ranges, _BIN, *order, spread).sortWithinPartitions(_BIN, *order)
+    cut.write.partitionBy(_BIN).parquet(path)
+    found = []
+    for i, (df, _) in enumerate(large):
+        reader = rows.sparkSession.read.schema(rows.select(*df.columns).schema)
+        folder = f"{path}/{_BIN}={i}"
+        found.append([(reader.parquet(f"{folder}/{n}"), size) for n, size in files.data_files(rows.sparkSession, folder)])
+    return found
+
+
+def _bins_sorted(
+    unique: tuple[DataFrame, int] | None, gathered: Sequence[tuple[DataFrame, int]], key: str | None, wanted: int, path: str
+) -> list[list[DataFrame]]:
+    """What ``_write`` makes files of: rows without copies in files of about the wanted size, and one file for each bin."""
+    found: list[list[DataFrame]] = []
+    large = []
+    if unique and unique[1] <= SORT_BYTES:
+        order = _order(unique[0], key)
+        found.append([unique[0].repartitionByRange(max(1, ceil(unique[1] / wanted)), *order).sortWithinPartitions(*order)])
+    elif unique:
+        large.append(unique)
+    for df, size in gathered:
+        order = _order(df, key)
+        if order and size > SORT_BYTES:
+            large.append((df, size))
+        else:
+            one = df.coalesce(1)
+            found.append([one.sortWithinPartitions(*order) if order else one])
+    for each, pieces in zip(large, _sorted_in_ranges(large, key, path) if large else ()):
+        count = max(1, ceil(sum(size for _, size in pieces) / wanted)) if each is unique else 1
+        found += [[df.coalesce(1) for df in frames] for frames in _cut(pieces, count)]
+    return found
+
+
+def _write(bins: Sequence[Sequence[DataFrame]], folder: str, compression: str) -> int:
+    """Write each bin: its only frame's partitions as files of their own, or its frames one after the other as one file.
+
+    One job takes as many frames as its plan may hold.
+    """
+    conf = bins[0][0].sparkSession.conf
+    jobs: list[list[Sequence[DataFrame]]] = [[]]
+    for frames in bins:
+        if jobs[-1] and sum(map(len, jobs[-1])) + len(frames) > FRAMES_AT_ONCE:
+            jobs.append([])
+        jobs[-1].append(frames)
+    rows, before = 0, conf.get(KEEP_APART, None)
     conf.set(KEEP_APART, "false")
     try:
-        for at in range(0, len(frames), BINS_AT_ONCE):
+        for job in jobs:
             counted = Observation()
-            union = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), frames[at : at + BINS_AT_ONCE])
+            union = _united([frames[0] if len(frames) == 1 else _united(frames).coalesce(1) for frames in job])
             observed = union.observe(counted, F.count(F.lit(1)).alias("rows"))
             observed.write.mode("append").option("compression", compression).parquet(folder)
             rows += counted.get["rows"]
@@ -113,6 +171,29 @@ def _write(frames: Sequence[DataFrame], folder: str, compression: str) -> int:
     return rows
 
 
+def _rewrite(
+    spark: SparkSession,
+    base: str,
+    sizes: Mapping[str, int],
+    copies: Sequence[str],
+    gathered: Sequence[Sequence[str]],
+    key: str | None,
+    wanted: int,
+    folder: str,
+    compression: str,
+) -> int:
+    """Write the files with ``copies`` without them, and each bin of ``gathered`` as one file; the number of rows written."""
+    unique, path = None, scratch_path(spark, "sorted")
+    if copies:
+        df = _read(spark, base, copies)
+        unique = latest_where_keyed(df, key, _newest(df)), sum(sizes[n] for n in copies)
+    each = [(_read(spark, base, names), sum(sizes[n] for n in names)) for names in gathered]
+    try:
+        return _write(_bins_sorted(unique, each, key, wanted, path), folder, compression)
+    finally:
+        files.delete(spark, path)
+
+
 def repack_folder(
     spark: SparkSession, folder: str, key: str | None = None, wanted: int = HOT_FILE_BYTES, compression: str = "snappy"
 ) -> Repacked:
@@ -125,19 +206,16 @@ def repack_folder(
     listed = files.data_files(spark, folder)
     if not listed:
         return Repacked(folder)
-    sizes, frames, old = dict(listed), [], []
+    sizes, old = dict(listed), []
     if key:
         old = _files_with_copies(_read(spark, folder, list(sizes)), folder, key)
     copied = _read(spark, folder, old).count() if old else 0
-    if old:
-        frames.append(_without_copies(_read(spark, folder, old), key, sum(sizes[n] for n in old), wanted))
-    gathered = bins([(n, s) for n, s in listed if n not in set(old)], wanted)
-    frames += [_together(_read(spark, folder, names), key) for names in gathered]
+    copies, gathered = old, bins([(n, s) for n, s in listed if n not in set(old)], wanted)
     old = [*old, *(n for names in gathered for n in names)]
     if not old:
         return Repacked(folder, kept=len(listed))
     moved = copied + (_read(spark, folder, [n for names in gathered for n in names]).count() if gathered else 0)  # from footers
-    rows = _write(frames, f"{pack_folder(folder)}/{INCOMING}", compression)
+    rows = _rewrite(spark, folder, sizes, copies, gathered, key, wanted, f"{pack_folder(folder)}/{INCOMING}", compression)
     exchange_files(spark, folder, old)
     kept = len(listed) - len(old)
     return Repacked(folder, len(old), len(files.data_files(spark, folder)) - kept, kept, rows, moved - rows)
@@ -173,16 +251,13 @@ def repack_month(
     listed = [(f"{d}/{n}", size) for d in sorted(days) for n, size in files.data_files(spark, f"{base}/{d}")]
     if not listed:
         return Repacked(output)
-    sizes, frames = dict(listed), []
+    sizes = dict(listed)
     old = _files_with_copies(_read(spark, base, list(sizes)), base, key) if key else []
-    if old:
-        frames.append(_without_copies(_read(spark, base, old), key, sum(sizes[n] for n in old), wanted))
     rest = [(n, s) for n, s in listed if n not in set(old)]
     gathered = bins(rest, wanted)
     alone = [[n] for n, _ in rest if n not in {n for names in gathered for n in names}]
-    frames += [_together(_read(spark, base, names), key) for names in (*gathered, *alone)]
     before = _read(spark, base, list(sizes)).count()
     recover(spark, output)
-    rows = _write(frames, f"{swap_folder(output)}/{INCOMING}", compression)
+    rows = _rewrite(spark, base, sizes, old, [*gathered, *alone], key, wanted, f"{swap_folder(output)}/{INCOMING}", compression)
     put_in_place(spark, output)
     return Repacked(output, len(listed), len(files.data_files(spark, output)), 0, rows, before - rows)

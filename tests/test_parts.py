@@ -368,6 +368,35 @@ def test_a_month_is_gathered_into_the_warm_tier(spark, tmp_path):
     assert repack.repack_month(spark, path, warm, 2023, 1) == repack.Repacked(f"{warm}/year=2023/month=1")
 
 
+@pytest.mark.parametrize("key", ["transaction_id", None])
+def test_a_bin_too_large_for_one_sort_is_sorted_as_ranges(spark, tmp_path, monkeypatch, key):
+    path, warm, ranges = str(tmp_path / "t"), str(tmp_path / "warm"), []
+    for d in (1, 2):
+        for i in (0, 200, 400):
+            wide(spark, i, i + 300 if d == 1 else i + 200).write.parquet(f"{path}/year=2024/month=1/day={d}", mode="append")
+    monkeypatch.setattr(repack, "SORT_BYTES", 3000, raising=False)
+    real = repack._sorted_in_ranges
+
+    def counted(large, *rest):
+        found = real(large, *rest)
+        ranges.extend(map(len, found))
+        return found
+
+    monkeypatch.setattr(repack, "_sorted_in_ranges", counted)
+    done = repack.repack_month(spark, path, warm, 2024, 1, key)
+    assert max(ranges) > 2 and done.after == 1  # sorted by several tasks, one file
+    assert (done.rows, done.copies) == ((700, 800) if key else (1500, 0))
+    name = files.data_files(spark, f"{warm}/year=2024/month=1")[0][0]
+    order = [tuple(r) for r in spark.read.parquet(f"{warm}/year=2024/month=1/{name}").select("user_id", *([key] if key else [])).collect()]
+    assert order == sorted(order)
+    before, after = spark.read.parquet(path), spark.read.parquet(warm)
+    columns = [c for c in before.columns if c not in ("year", "month", "day")]
+    assert same(after.select(columns).distinct(), before.select(columns).distinct())
+    stored = content(after.select(columns))
+    many = repack.repack_month(spark, path, warm, 2024, 1, key, wanted=9000)
+    assert many.rows == done.rows and many.after > 1 and content(spark.read.parquet(warm).select(columns)) == stored
+
+
 def test_scratch_tables_are_dropped_by_merges(spark, tmp_path):
     kept = materialize(spark.range(3), "other")
     merge(spark, str(tmp_path / "dim"), T[0], a="X")
