@@ -42,6 +42,10 @@ def explode_json_map(df: DataFrame, text: str, key: str, value: str, inner: str
 
 _SPLIT = ("_file", "_block")
 
+# An entry of two short texts in which nothing is escaped: its texts are what stands between the quotes.
+_PLAIN = r'^[ \t\r\n]*"[^"\\\x00-\x1F]*"[ \t\r\n]*:[ \t\r\n]*"[^"\\\x00-\x1F]*"[ \t\r\n]*\z'
+_PLAIN_LENGTH = 10_000
+
 
 def _count(text: Column, mark: str) -> Column:
     return F.length(text) - F.length(F.replace(text, F.lit(mark), F.lit("")))
@@ -80,6 +84,7 @@ def _split_starts(measured: DataFrame, wrapper: str) -> DataFrame:
     opened = F.when(F.col("_inside") == 1, F.col("_opens1")).otherwise(F.col("_opens0"))
     return begun.withColumn("_open", opened).select(
         *_SPLIT,
+        F.dense_rank().over(Window.orderBy("_file")).alias("_number"),
         "_inside",
         F.coalesce(F.sum("_open").over(earlier), F.lit(0)).alias("_start"),
         F.when(F.first("_first").over(in_file).rlike(wrapper), 2).otherwise(1).alias("_base"),
@@ -109,7 +114,8 @@ def read_json_entries(
 
     Files are cut at commas wherever that is, so one line is read by many tasks. A cut counts if the quotes before it
     are even and the braces before it leave the depth of the entries; other pieces are put together again. Each split is
-    measured for both ways it can begin and stored; a scan over one row for each split then says which one holds. Values
+    measured for both ways it can begin and stored; a scan over one row for each split then says which one holds, and
+    these rows go to all tasks, so the pieces are not moved again. Values
     come as text (a nested one as its JSON). What is no entry comes as text in ``rejected``. Where ``inner`` opens the
     file, the entries of that member are taken. Of equal keys the last one counts.
     """
@@ -122,7 +128,8 @@ def read_json_entries(
     measured = materialize(_measured(pieces), "json-pieces")
     wrapper = rf'^\s*\{{\s*"{inner}"\s*:\s*\{{' if inner else r"^\b$"
     inside = F.col("_inside") == 1
-    placed = measured.join(_split_starts(measured, wrapper), [*_SPLIT]).withColumns(
+    placed = measured.join(F.broadcast(_split_starts(measured, wrapper)), [*_SPLIT]).drop("_file").withColumnRenamed("_number", "_file")
+    placed = placed.withColumns(
         {
             "_odd": (F.col("_inside") + F.col("_odd")) % 2,
             "_depth": F.col("_start") + F.when(inside, F.col("_depth1")).otherwise(F.col("_depth0")),
@@ -147,11 +154,14 @@ def read_json_entries(
     body = F.when(F.col("_depth") == 0, opened).otherwise(F.col("value"))
     closers = F.col("_base") - F.col("_after")
     body = F.when(closers >= 2, F.regexp_replace(body, r"\}\s*\}\s*$", "")).when(closers == 1, F.regexp_replace(body, r"\}\s*$", "")).otherwise(body)
-    parsed = entries.select("_file", "_entry", body.alias("_body")).filter(F.trim(F.regexp_replace("_body", r"\s", "")) != "")
-    parsed = parsed.withColumn("_map", F.from_json(F.concat(F.lit("{"), F.col("_body"), F.lit("}")), "map<string,string>"))
-    one = F.coalesce(F.size("_map") == 1, F.lit(False))
+    parsed = entries.select("_file", "_entry", body.alias("_body")).filter(F.col("_body").rlike(r"\S"))
+    plain = (F.length("_body") < _PLAIN_LENGTH) & F.col("_body").rlike(_PLAIN)
+    other = F.from_json(F.concat(F.lit("{"), F.col("_body"), F.lit("}")), "map<string,string>")
+    parsed = parsed.withColumn("_plain", plain).withColumn("_map", F.when(~F.col("_plain"), other))
+    is_plain, one, texts = F.col("_plain"), F.col("_plain") | F.coalesce(F.size("_map") == 1, F.lit(False)), F.split("_body", '"')
     rows = parsed.select(
-        F.when(one, F.map_keys("_map")[0]).alias(key), F.when(one, F.map_values("_map")[0]).alias(value),
+        F.when(is_plain, texts[1]).when(one, F.map_keys("_map")[0]).alias(key),
+        F.when(is_plain, texts[3]).when(one, F.map_values("_map")[0]).alias(value),
         F.when(~one, F.col("_body")).alias("rejected"), "_file", "_entry",
     )
     last = Window.partitionBy(key, "rejected").orderBy(F.col("_file").desc(), F.col("_entry").desc())

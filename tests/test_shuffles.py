@@ -9,7 +9,9 @@ from pyspark.sql import functions as F
 from cardmill.operators import cleaning, dims, enrich, features, marts
 from cardmill.operators.skew import RANGE_ROWS, range_count
 from cardmill.queries import tables
+from cardmill.queries.registry import all_queries
 from cardmill.session import SQL_SETTINGS
+from cardmill.sources import read_json_entries
 
 
 @pytest.fixture
@@ -71,3 +73,16 @@ def test_ranges_of_a_hot_key_do_not_grow_with_its_rows():
     assert range_count(0, 5000) == 1 and range_count(20_000, 5000) == 4
     assert range_count(6_600_000, 5000) <= 400 and range_count(240_000_000, 5000) <= 400
     assert range_count(100 * 400 * RANGE_ROWS, 5000) == 40_000  # a range never holds more than a task can
+
+
+def test_pieces_of_json_are_not_moved_to_join_their_splits(no_broadcast, tmp_path):
+    texts = {"a": '"Yes"', "b": r'"say \"no\", {x}"', "c": "null", "d": "5", "": '""', "e": '{"f": [1, "g"]}', "h\u2028": '"i:j"', "k\\u0041": '"l"'}
+    entries = [f'"{k}" \n:\t{v}' for k, v in texts.items()] + ['"m": "\x01"', '"n": "o"  ', '"a": "last"', "p"]
+    (tmp_path / "map.json").write_text("{" + ",".join(entries) + "}", encoding="utf-8")
+    found = read_json_entries(no_broadcast, str(tmp_path / "map.json"))
+    assert "BroadcastHashJoin [_file" in _plan(found)
+    rows = {r.key: r.value for r in found.collect() if r.rejected is None}
+    assert rows == {
+        "a": "last", "b": 'say "no", {x}', "c": None, "d": "5", "": "", "e": '{"f":[1,"g"]}', "h\u2028": "i:j", "kA": "l", "n": "o",
+    }
+    assert sorted(r.rejected.strip() for r in found.collect() if r.rejected) == ['"m": "\x01"', "p"]
