@@ -84,6 +84,11 @@ def clean_transactions(df: DataFrame, tiebreak: Sequence[Column] | None = None)
     return clean_latest(latest_where_keyed(df, "id", ["_loaded_at"], tiebreak))
 
 
+def typed_transactions(df: DataFrame, tiebreak: Sequence[Column] | None = None) -> DataFrame:
+    """The rows of ``clean_transactions`` as typed, without what is read from amounts, errors and places."""
+    return type_transactions(latest_where_keyed(df, "id", ["_loaded_at"], tiebreak))
+
+
 def clean_latest(latest: DataFrame) -> DataFrame:
     """The typed and flagged columns of raw transactions, row by row."""
     parsed = fn.parse_money(type_transactions(latest).transform(mark_errors))

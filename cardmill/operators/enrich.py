@@ -47,15 +47,22 @@ def enrich_transactions(txns: DataFrame, mcc: DataFrame, cards: DataFrame, label
 
 
 def clean_and_enrich(
-    raw: DataFrame, mcc: DataFrame, cards: DataFrame, labels: DataFrame | None, tiebreak: Sequence[Column] | None = None
+    raw: DataFrame,
+    mcc: DataFrame | None,
+    cards: DataFrame | None,
+    labels: DataFrame | None,
+    tiebreak: Sequence[Column] | None = None,
 ) -> DataFrame:
     """``enrich_transactions`` of ``clean_transactions``, with the large rows moved twice in their raw, narrow form.
 
     De-duplication and labels share one shuffle by id, cards take the other. Cleaning makes rows half as wide again and
-    comes after both.
+    comes after both. Sides that are None add nothing: a left join is run even if nothing is taken from it.
     """
     latest = latest_with_row_key(raw.drop("card_number", "is_fraud", *CARD_ATTRIBUTES), "id", ["_loaded_at"], tiebreak)
     if labels is not None:
         latest = latest.join(labels.select(F.col("transaction_id").alias("_key"), "is_fraud"), "_key", "left")
-    carded = add_card_attributes(restore_key(latest, "id"), cards)
-    return add_mcc_description(clean_latest(carded), mcc)
+    carded = restore_key(latest, "id")
+    if cards is not None:
+        carded = add_card_attributes(carded, cards)
+    cleaned = clean_latest(carded)
+    return cleaned if mcc is None else add_mcc_description(cleaned, mcc)

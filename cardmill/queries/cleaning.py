@@ -200,19 +200,19 @@ def mcc_clean(spark: SparkSession, folder: str) -> DataFrame:
 
 @query("SELECT transaction_id, mcc, mcc_description FROM q_enriched")
 def mcc_enrich_unknown(spark: SparkSession, folder: str) -> DataFrame:
-    enriched = enrich.add_mcc_description(tables.cleaned_transactions(spark, folder), tables.mcc_codes(spark, folder))
+    enriched = enrich.add_mcc_description(tables.typed_transactions(spark, folder), tables.mcc_codes(spark, folder))
     return enriched.select("transaction_id", "mcc", "mcc_description")
 
 
 @query("SELECT transaction_id, card_id, card_brand, card_type, card_number_masked, card_on_dark_web FROM q_enriched")
 def card_enrich(spark: SparkSession, folder: str) -> DataFrame:
-    enriched = enrich.add_card_attributes(tables.cleaned_transactions(spark, folder), tables.cards(spark, folder))
+    enriched = enrich.add_card_attributes(tables.typed_transactions(spark, folder), tables.cards(spark, folder))
     return enriched.select("transaction_id", "card_id", *enrich.CARD_ATTRIBUTES)
 
 
 @query("SELECT transaction_id, is_fraud FROM q_enriched")
 def label_enrich(spark: SparkSession, folder: str) -> DataFrame:
-    enriched = enrich.add_labels(tables.cleaned_transactions(spark, folder), tables.labels(spark, folder))
+    enriched = enrich.add_labels(tables.typed_transactions(spark, folder), tables.labels(spark, folder))
     return enriched.select("transaction_id", "is_fraud")
 
 

@@ -46,6 +46,12 @@ def cleaned_transactions(spark: SparkSession, folder: str) -> DataFrame:
     return cleaning.clean_transactions(raw_transactions(spark, folder), order)
 
 
+def typed_transactions(spark: SparkSession, folder: str) -> DataFrame:
+    """For queries that take nothing from amounts: their parser is not moved out of a plan that doesn't need it."""
+    order = [F.col("_source_file").asc_nulls_last()]
+    return cleaning.typed_transactions(raw_transactions(spark, folder), order)
+
+
 def users(spark: SparkSession, folder: str) -> DataFrame:
     return cleaning.clean_users(raw_users(spark, folder), [F.col("_batch_id").asc()])
 
@@ -62,8 +68,9 @@ def labels(spark: SparkSession, folder: str) -> DataFrame:
     return cleaning.clean_labels(raw_labels(spark, folder))
 
 
-def enriched_transactions(spark: SparkSession, folder: str) -> DataFrame:
+def enriched_transactions(spark: SparkSession, folder: str, with_mcc: bool = True, with_cards: bool = True) -> DataFrame:
+    """Cleaned rows with labels; codes and cards for queries that take something from them."""
     order = [F.col("_source_file").asc_nulls_last()]
-    return enrich.clean_and_enrich(
-        raw_transactions(spark, folder), mcc_codes(spark, folder), cards(spark, folder), labels(spark, folder), order
-    )
+    mcc = mcc_codes(spark, folder) if with_mcc else None
+    cards_ = cards(spark, folder) if with_cards else None
+    return enrich.clean_and_enrich(raw_transactions(spark, folder), mcc, cards_, labels(spark, folder), order)

@@ -75,6 +75,11 @@ def test_ranges_of_a_hot_key_do_not_grow_with_its_rows():
     assert range_count(100 * 400 * RANGE_ROWS, 5000) == 40_000  # a range never holds more than a task can
 
 
+@pytest.mark.parametrize("name", ["mcc_enrich_unknown", "card_enrich", "label_enrich"])
+def test_amounts_are_not_parsed_for_queries_without_them(spark, name):
+    assert "_money" not in _plan(all_queries()[name].run(spark, SMALL))
+
+
 def test_pieces_of_json_are_not_moved_to_join_their_splits(no_broadcast, tmp_path):
     texts = {"a": '"Yes"', "b": r'"say \"no\", {x}"', "c": "null", "d": "5", "": '""', "e": '{"f": [1, "g"]}', "h\u2028": '"i:j"', "k\\u0041": '"l"'}
     entries = [f'"{k}" \n:\t{v}' for k, v in texts.items()] + ['"m": "\x01"', '"n": "o"  ', '"a": "last"', "p"]
