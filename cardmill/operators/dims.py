@@ -110,14 +110,23 @@ def latest_batch(df: DataFrame, batch: str = "_batch_id") -> DataFrame:
 
 
 def merchant_dimension(txns: DataFrame) -> DataFrame:
-    """One row per merchant with volume, fraud rate and risk tier."""
-    rolled = txns.filter("merchant_id IS NOT NULL").groupBy("merchant_id").agg(
-        *(F.max(c).alias(c) for c in ("merchant_city", "merchant_state", "mcc", "mcc_description")),
+    """One row per merchant with volume, fraud rate and risk tier.
+
+    Rows are counted by merchant and texts first: an aggregate that holds the largest text sorts its input, so it gets the
+    few rows that are left.
+    """
+    texts = ("merchant_city", "merchant_state", "mcc_description")
+    counted = txns.filter("merchant_id IS NOT NULL").groupBy("merchant_id", *texts).agg(
+        F.max("mcc").alias("mcc"),
         F.count(F.lit(1)).alias("total_txn_count"),
         fn.count_where(F.col("is_fraud")).alias("fraud_txn_count"),
         F.sum("amount").alias("_sum"),
         F.count("amount").alias("_n"),
     )
+    rolled = counted.groupBy("merchant_id").agg(
+        *(F.max(c).alias(c) for c in ("merchant_city", "merchant_state", "mcc", "mcc_description")),
+        *(F.sum(c).alias(c) for c in ("total_txn_count", "fraud_txn_count", "_sum", "_n")),
+    )
     return (
         rolled.withColumn("fraud_rate", fn.share(F.col("fraud_txn_count"), F.col("total_txn_count")))
         .withColumn("avg_amount", F.try_divide(F.col("_sum").cast("double"), F.col("_n").cast("double")))

@@ -80,6 +80,13 @@ def test_amounts_are_not_parsed_for_queries_without_them(spark, name):
     assert "_money" not in _plan(all_queries()[name].run(spark, SMALL))
 
 
+def test_merchants_are_counted_before_their_texts_are_sorted(no_broadcast):
+    plan = _plan(all_queries()["dim_merchants"].run(no_broadcast, SMALL))
+    assert "card_id" not in plan
+    below = plan[plan.rindex("SortAggregate(key=[merchant_id") :]
+    assert "HashAggregate(keys=[merchant_id" in below
+
+
 def test_pieces_of_json_are_not_moved_to_join_their_splits(no_broadcast, tmp_path):
     texts = {"a": '"Yes"', "b": r'"say \"no\", {x}"', "c": "null", "d": "5", "": '""', "e": '{"f": [1, "g"]}', "h\u2028": '"i:j"', "k\\u0041": '"l"'}
     entries = [f'"{k}" \n:\t{v}' for k, v in texts.items()] + ['"m": "\x01"', '"n": "o"  ', '"a": "last"', "p"]
