@@ -11,6 +11,9 @@ from cardmill.session import materialize, tune
 HELD_OUT_REMAINDER = 1
 FOLDS = 3
 
+# Settings of the library that suit tables of many short rows, not documents.
+PAYMENT_SETTINGS = ("spark.sql.adaptive.coalescePartitions.initialPartitionNum", "spark.sql.files.maxPartitionBytes")
+
 
 def read(spark: SparkSession, folder: str, table: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{table}.parquet")
@@ -19,6 +22,8 @@ def read(spark: SparkSession, folder: str, table: str) -> DataFrame:
 def ready(spark: SparkSession) -> SparkSession:
     """Settings of the library, and Arrow batches small enough for long texts."""
     tune(spark)
+    for name in PAYMENT_SETTINGS:
+        spark.conf.unset(name)
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "1000")
     return spark
 

@@ -24,6 +24,10 @@ SQL_SETTINGS = {
     "spark.sql.adaptive.optimizeSkewsInRebalancePartitions.enabled": "true",
     # Rows are kept packed in a shuffle and take about ten times that in a sort or hash table: tasks get 24 MB, not 64.
     "spark.sql.adaptive.advisoryPartitionSizeInBytes": "24m",
+    # As many partitions as a large table needs for that; of a small one they are put together.
+    "spark.sql.adaptive.coalescePartitions.initialPartitionNum": "1000",
+    # The same for tasks that sort or hash what they read from files.
+    "spark.sql.files.maxPartitionBytes": "32m",
     # A side whose partitions are all small is hashed, so that the other, larger one needs no sort.
     "spark.sql.adaptive.maxShuffledHashJoinLocalMapThreshold": "24m",
     # The JVM compiles no method above 8000 bytes: a stage that has one is faster as separate, smaller projections.

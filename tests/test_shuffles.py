@@ -75,6 +75,15 @@ def test_ranges_of_a_hot_key_do_not_grow_with_its_rows():
     assert range_count(100 * 400 * RANGE_ROWS, 5000) == 40_000  # a range never holds more than a task can
 
 
+@pytest.mark.parametrize("name", ["unique_keys"])
+def test_tasks_do_not_grow_with_a_table_of_few_partitions(spark, name):
+    """The session has 8 shuffle partitions; large tables get as many tasks as they need."""
+    plan = _plan(all_queries()[name].run(spark, SMALL))
+    dealt = [line for line in plan.splitlines() if "hashpartitioning(id" in line or "hashpartitioning(l_orderkey" in line]
+    assert dealt and all(", 1000)" in line for line in dealt)
+    assert spark.conf.get("spark.sql.files.maxPartitionBytes") == SQL_SETTINGS["spark.sql.files.maxPartitionBytes"]
+
+
 @pytest.mark.parametrize("name", ["mcc_enrich_unknown", "card_enrich", "label_enrich"])
 def test_amounts_are_not_parsed_for_queries_without_them(spark, name):
     assert "_money" not in _plan(all_queries()[name].run(spark, SMALL))
