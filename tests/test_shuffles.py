@@ -75,7 +75,7 @@ def test_ranges_of_a_hot_key_do_not_grow_with_its_rows():
     assert range_count(100 * 400 * RANGE_ROWS, 5000) == 40_000  # a range never holds more than a task can
 
 
-@pytest.mark.parametrize("name", ["unique_keys"])
+@pytest.mark.parametrize("name", ["unique_keys", "dedup_latest"])
 def test_tasks_do_not_grow_with_a_table_of_few_partitions(spark, name):
     """The session has 8 shuffle partitions; large tables get as many tasks as they need."""
     plan = _plan(all_queries()[name].run(spark, SMALL))
