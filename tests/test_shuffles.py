@@ -84,6 +84,12 @@ def test_tasks_do_not_grow_with_a_table_of_few_partitions(spark, name):
     assert spark.conf.get("spark.sql.files.maxPartitionBytes") == SQL_SETTINGS["spark.sql.files.maxPartitionBytes"]
 
 
+@pytest.mark.parametrize("name", ["user_daily_stats", "label_coverage"])
+def test_queries_join_no_side_they_take_nothing_from(no_broadcast, name):
+    plan = _plan(all_queries()[name].run(no_broadcast, SMALL))
+    assert "card_id" not in plan and "mcc" not in plan
+
+
 @pytest.mark.parametrize("name", ["mcc_enrich_unknown", "card_enrich", "label_enrich"])
 def test_amounts_are_not_parsed_for_queries_without_them(spark, name):
     assert "_money" not in _plan(all_queries()[name].run(spark, SMALL))
