@@ -240,21 +240,39 @@ def piece_ids(v: Vocabulary, data: np.ndarray, offsets: np.ndarray, keys: np.nda
     return ids.astype(np.int32), bound
 
 
-def _with(docs: DataFrame, extra, name: str, kind: str, run) -> DataFrame:
-    """``docs`` with one more column computed by ``run`` from the ``extra`` columns; clashing names do no harm."""
-    kept_columns = docs.drop(name).columns
+def _with(docs: DataFrame, extra, added: dict[str, str], run) -> DataFrame:
+    """``docs`` with more columns (names and types) computed by ``run`` from the ``extra`` columns; clashing names do no harm."""
+    kept_columns = docs.drop(*added).columns
     width = len(kept_columns)
-    fields = ", ".join(f"c{i} {t}" for i, (_, t) in enumerate(docs.drop(name).dtypes))
+    types = [*(t for _, t in docs.drop(*added).dtypes), *added.values()]
+    names = [f"c{i}" for i in range(len(types))]
     plain = docs.select(*[F.col(f"`{c}`").alias(f"c{i}") for i, c in enumerate(kept_columns)], *extra)
 
     def whole(batches):
         for batch in batches:
-            for a, b, column in run(batch):
+            for a, b, *columns in run(batch):
                 kept = [batch.column(i).slice(a, b - a) for i in range(width)]
-                yield pa.RecordBatch.from_arrays([*kept, column], [*[f"c{i}" for i in range(width)], "added"])
+                yield pa.RecordBatch.from_arrays([*kept, *columns], names)
 
-    out = plain.mapInArrow(whole, f"{fields}, added {kind}")
-    return out.toDF(*kept_columns, name)
+    out = plain.mapInArrow(whole, ", ".join(f"{c} {t}" for c, t in zip(names, types)))
+    return out.toDF(*kept_columns, *added)
+
+
+def _coded(v: Vocabulary, keys: pa.Array, texts: pa.Array, seed: int):
+    """First row, end row and pieces of each slice of a batch."""
+    numbers = keys.fill_null(0).to_numpy(zero_copy_only=False)
+    data, offsets = tx.flat(texts)
+    for a, b in tx.slices(offsets, SLICE):
+        ids, bound = piece_ids(v, data[offsets[a] : offsets[b]], offsets[a : b + 1] - offsets[a], numbers[a:b], seed)
+        yield a, b, pa.ListArray.from_arrays(pa.array(bound, pa.int32()), pa.array(ids), mask=texts.slice(a, b - a).is_null())
+
+
+def _decoded(known: np.ndarray, lists: pa.Array) -> pa.Array:
+    return pa.array([b"".join(known[x.values.to_numpy()]).decode("utf-8", "replace") if x.is_valid else None for x in lists], pa.string())
+
+
+def _inputs(key: str, text_column: str):
+    return [F.col(key).cast("long").alias("__key"), F.col(text_column).alias("__text")]
 
 
 def encode(docs: DataFrame, model: bytes, key="doc_id", text_column="text", name="pieces", alpha: float = 1.0, seed: int = 0) -> DataFrame:
@@ -266,16 +284,9 @@ def encode(docs: DataFrame, model: bytes, key="doc_id", text_column="text", name
         if not loaded:
             loaded["v"] = Vocabulary(shared.value, alpha)
         n = batch.num_columns
-        keys = batch.column(n - 2).fill_null(0).to_numpy(zero_copy_only=False)
-        texts = batch.column(n - 1)
-        data, offsets = tx.flat(texts)
-        for a, b in tx.slices(offsets, SLICE):
-            ids, bound = piece_ids(loaded["v"], data[offsets[a] : offsets[b]], offsets[a : b + 1] - offsets[a], keys[a:b], seed)
-            column = pa.ListArray.from_arrays(pa.array(bound, pa.int32()), pa.array(ids), mask=texts.slice(a, b - a).is_null())
-            yield a, b, column
+        yield from _coded(loaded["v"], batch.column(n - 2), batch.column(n - 1), seed)
 
-    extra = [F.col(key).cast("long").alias("__key"), F.col(text_column).alias("__text")]
-    return _with(docs, extra, name, "array<int>", run)
+    return _with(docs, _inputs(key, text_column), {name: "array<int>"}, run)
 
 
 def decode(docs: DataFrame, model: bytes, pieces="pieces", name="decoded") -> DataFrame:
@@ -286,16 +297,32 @@ def decode(docs: DataFrame, model: bytes, pieces="pieces", name="decoded") -> Da
     def run(batch):
         if not loaded:
             loaded["v"] = np.array(Vocabulary(shared.value, 1.0).bytes, dtype=object)
-        lists = batch.column(batch.num_columns - 1)
-        texts = [b"".join(loaded["v"][x.values.to_numpy()]).decode("utf-8", "replace") if x.is_valid else None for x in lists]
-        yield 0, batch.num_rows, pa.array(texts, pa.string())
+        yield 0, batch.num_rows, _decoded(loaded["v"], batch.column(batch.num_columns - 1))
+
+    return _with(docs, [F.col(pieces).alias("__pieces")], {name: "string"}, run)
+
+
+def encode_and_decode(
+    docs: DataFrame, model: bytes, key="doc_id", text_column="text", name="pieces", decoded="decoded", alpha: float = 1.0, seed: int = 0
+) -> DataFrame:
+    """``encode``, then ``decode``: one Python worker for each task does both, with one vocabulary in memory."""
+    shared = docs.sparkSession.sparkContext.broadcast(model)
+    loaded: dict[str, Vocabulary | np.ndarray] = {}
+
+    def run(batch):
+        if not loaded:
+            loaded["v"] = Vocabulary(shared.value, alpha)
+            loaded["known"] = np.array(loaded["v"].bytes, dtype=object)
+        n = batch.num_columns
+        for a, b, ids in _coded(loaded["v"], batch.column(n - 2), batch.column(n - 1), seed):
+            yield a, b, ids, _decoded(loaded["known"], ids)
 
-    return _with(docs, [F.col(pieces).alias("__pieces")], name, "string", run)
+    return _with(docs, _inputs(key, text_column), {name: "array<int>", decoded: "string"}, run)
 
 
 def op3_pieces(spark, folder: str) -> DataFrame:
     ready(spark)
     model = model_bytes(spark)
     docs = read(spark, folder, "documents").select("doc_id", "text")
-    both = decode(encode(docs, model), model)
+    both = encode_and_decode(docs, model)
     return both.select("doc_id", F.size("pieces").alias("n_pieces"), "pieces", F.col("decoded").eqNullSafe(F.col("text")).alias("lossless"))

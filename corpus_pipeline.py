@@ -71,7 +71,7 @@ def to_pieces(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Ids of a sampled segmentation of each text, and whether they decode to it."""
     ready(spark)
     model = pieces.model_bytes(spark)
-    found = pieces.decode(pieces.encode(docs, model), model)
+    found = pieces.encode_and_decode(docs, model)
     lossless = F.col("decoded").eqNullSafe(F.col("text")).alias("lossless")
     return found.select("doc_id", "lang", "source", "n_chars", F.size("pieces").alias("n_pieces"), "pieces", lossless)
 

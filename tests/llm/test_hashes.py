@@ -57,6 +57,15 @@ def test_pieces_are_lossless_for_colliding_words(spark):
     assert {r.doc_id: r.decoded for r in pieces.decode(pieces.encode(docs, model), model).collect()} == dict(rows)
 
 
+def test_pieces_are_coded_and_decoded_by_one_worker(spark):
+    rows = [(0, None), (1, ""), (2, "some \u2581 words, some words"), (None, "no key"), (4, "x" * 3000 + " \u00e9\U0001f600")]
+    model, docs = pieces.model_bytes(spark), documents(spark, rows)
+    both, apart = pieces.encode_and_decode(docs, model), pieces.decode(pieces.encode(docs, model), model)
+    assert both.columns == apart.columns and both.exceptAll(apart).isEmpty() and apart.exceptAll(both).isEmpty()
+    assert both._jdf.queryExecution().executedPlan().toString().count("MapInArrow") == 1
+    assert pieces.encode_and_decode(documents(spark, []), model).count() == 0
+
+
 def test_kinds_are_checked_byte_by_byte(monkeypatch):
     monkeypatch.setattr(tx, "span_hashes", lambda data, starts, ends, lower=True, kind=0: np.zeros(len(starts), np.uint64))
     data = np.frombuffer(b"ab ab abc xy ab", dtype=np.uint8)
