@@ -89,6 +89,12 @@ def _files_with_copies(df: DataFrame, base: str, key: str) -> list[str]:
     return sorted(r["file"].rsplit(f"/{root}/", 1)[-1] for r in found)
 
 
+def _together(df: DataFrame, key: str | None) -> DataFrame:
+    """The rows of a bin in one task, without a shuffle."""
+    one, order = df.coalesce(1), _order(df, key)
+    return one.sortWithinPartitions(*order) if order else one
+
+
 def _united(frames: Sequence[DataFrame]) -> DataFrame:
     return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), frames)
 
@@ -134,12 +140,10 @@ def _bins_sorted(
     elif unique:
         large.append(unique)
     for df, size in gathered:
-        order = _order(df, key)
-        if order and size > SORT_BYTES:
+        if size > SORT_BYTES and _order(df, key):
             large.append((df, size))
         else:
-            one = df.coalesce(1)
-            found.append([one.sortWithinPartitions(*order) if order else one])
+            found.append([_together(df, key)])
     for each, pieces in zip(large, _sorted_in_ranges(large, key, path) if large else ()):
         count = max(1, ceil(sum(size for _, size in pieces) / wanted)) if each is unique else 1
         found += [[df.coalesce(1) for df in frames] for frames in _cut(pieces, count)]
