@@ -171,7 +171,12 @@ def clean_mcc_codes(df: DataFrame) -> DataFrame:
     return latest_per_key(typed.filter("mcc IS NOT NULL"), ["mcc"], ["_ingested_at"], order)
 
 
-def clean_labels(df: DataFrame) -> DataFrame:
-    """One boolean label per transaction. Labels that contradict each other count as fraud."""
+def clean_labels(df: DataFrame, frauds_only: bool = False) -> DataFrame:
+    """One boolean label per transaction. Labels that contradict each other count as fraud.
+
+    Counts of frauds need no other label: with ``frauds_only`` the rest is left out before it is moved.
+    """
     flagged = df.select("transaction_id", fn.to_flag(F.col("is_fraud")).alias("is_fraud"))
+    if frauds_only:
+        flagged = flagged.filter("is_fraud")
     return flagged.groupBy("transaction_id").agg(F.max("is_fraud").alias("is_fraud"))

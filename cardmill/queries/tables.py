@@ -64,8 +64,8 @@ def mcc_codes(spark: SparkSession, folder: str) -> DataFrame:
     return cleaning.clean_mcc_codes(raw_mcc_codes(spark, folder))
 
 
-def labels(spark: SparkSession, folder: str) -> DataFrame:
-    return cleaning.clean_labels(raw_labels(spark, folder))
+def labels(spark: SparkSession, folder: str, frauds_only: bool = False) -> DataFrame:
+    return cleaning.clean_labels(raw_labels(spark, folder), frauds_only)
 
 
 def enriched_transactions(spark: SparkSession, folder: str, with_mcc: bool = True, with_cards: bool = True) -> DataFrame:
@@ -74,3 +74,11 @@ def enriched_transactions(spark: SparkSession, folder: str, with_mcc: bool = Tru
     mcc = mcc_codes(spark, folder) if with_mcc else None
     cards_ = cards(spark, folder) if with_cards else None
     return enrich.clean_and_enrich(raw_transactions(spark, folder), mcc, cards_, labels(spark, folder), order)
+
+
+def counted_transactions(spark: SparkSession, folder: str, with_mcc: bool = True) -> DataFrame:
+    """Valid rows for queries that only count frauds: ``is_fraud`` is true or NULL, and rows without an id, never valid, aren't moved."""
+    order = [F.col("_source_file").asc_nulls_last()]
+    keyed = raw_transactions(spark, folder).filter("id IS NOT NULL")
+    mcc = mcc_codes(spark, folder) if with_mcc else None
+    return enrich.clean_and_enrich(keyed, mcc, None, labels(spark, folder, frauds_only=True), order).filter("is_valid")

@@ -90,6 +90,31 @@ def test_queries_join_no_side_they_take_nothing_from(no_broadcast, name):
     assert "card_id" not in plan and "mcc" not in plan
 
 
+def test_daily_stats_deal_valid_rows_once(no_broadcast):
+    plan = _plan(all_queries()["user_daily_stats"].run(no_broadcast, SMALL))
+    dealt = [line for line in plan.splitlines() if "Exchange hashpartitioning(" in line]
+    assert [line.count("user_id") for line in dealt if "user_id" in line or "merchant_id" in line] == [1]
+
+
+@pytest.mark.parametrize("name", ["user_daily_stats", "dim_merchants", "merchant_risk_score"])
+def test_only_labels_that_are_fraud_move_to_count_frauds(no_broadcast, name):
+    plan = _plan(all_queries()[name].run(no_broadcast, SMALL))
+    scanned = plan[plan.rindex("Exchange hashpartitioning(transaction_id") :]
+    assert "Filter" in scanned and "l_quantity" in scanned[scanned.index("Filter") :].splitlines()[0]
+
+
+def test_rows_to_count_frauds_give_the_counts_of_all_labels(spark):
+    labels = spark.createDataFrame([("a", "Yes"), ("a", "No"), ("b", "no"), ("c", "YES"), ("d", None)], "transaction_id string, is_fraud string")
+    assert [r.transaction_id for r in cleaning.clean_labels(labels, frauds_only=True).orderBy("transaction_id").collect()] == ["a", "c"]
+    assert cleaning.clean_labels(labels).count() == 4
+    full = tables.enriched_transactions(spark, SMALL, with_cards=False)
+    counted = tables.counted_transactions(spark, SMALL)
+    for mart in (marts.user_daily_stats, marts.merchant_risk_score, lambda rows: dims.merchant_dimension(rows.filter("is_valid"))):
+        left, right = mart(full), mart(counted)
+        assert left.columns == right.columns
+        assert left.exceptAll(right).isEmpty() and right.exceptAll(left).isEmpty()
+
+
 @pytest.mark.parametrize("name", ["mcc_enrich_unknown", "card_enrich", "label_enrich"])
 def test_amounts_are_not_parsed_for_queries_without_them(spark, name):
     assert "_money" not in _plan(all_queries()[name].run(spark, SMALL))
