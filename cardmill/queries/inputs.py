@@ -11,6 +11,8 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
+from cardmill import files
+from cardmill.session import size_shuffles
 
 TEST_TABLES = (
     "region nation customer supplier part orders lineitem events documents embeddings pages benchmark labels "
@@ -227,11 +229,14 @@ def duck(text: str) -> str:
 
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{folder}/{name}.parquet")
+    found = spark.read.parquet(f"{folder}/{name}.parquet")
+    size_shuffles(spark, files.size(spark, f"{folder}/{name}.parquet"))
+    return found
 
 
 def derive(spark: SparkSession, folder: str, text: str) -> DataFrame:
     used = {t: table(spark, folder, t) for t in TEST_TABLES if "{" + t + "}" in text}
+    size_shuffles(spark, sum(files.size(spark, f"{folder}/{t}.parquet") for t in used))
     if "lineitem" in used:
         # One row group in the test tables: dealt by key, so that deriving rows is shared by all cores.
         used["lineitem"] = used["lineitem"].repartition("l_orderkey")

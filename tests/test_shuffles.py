@@ -1,11 +1,13 @@
 """How often the rows of the large tables are moved, and that moving them less changes no row."""
 
 from datetime import datetime
+from pathlib import Path
 
 import pytest
 from conftest import SMALL
 from pyspark.sql import functions as F
 
+from cardmill import session
 from cardmill.operators import cleaning, dims, enrich, features, marts
 from cardmill.operators.skew import RANGE_ROWS, range_count
 from cardmill.queries import tables
@@ -84,6 +86,30 @@ def test_tasks_do_not_grow_with_a_table_of_few_partitions(spark, name):
     assert spark.conf.get("spark.sql.files.maxPartitionBytes") == SQL_SETTINGS["spark.sql.files.maxPartitionBytes"]
 
 
+@pytest.fixture
+def own_partitions(spark):
+    yield spark
+    spark.conf.set("spark.sql.shuffle.partitions", "8")
+    spark.conf.unset("spark.sql.adaptive.coalescePartitions.initialPartitionNum")
+
+
+@pytest.mark.parametrize("name", ["unique_keys", "dedup_latest"])
+def test_more_partitions_of_a_session_are_kept(own_partitions, name):
+    own_partitions.conf.set("spark.sql.shuffle.partitions", "3000")
+    plan = _plan(all_queries()[name].run(own_partitions, SMALL))
+    dealt = [line for line in plan.splitlines() if "hashpartitioning(id" in line or "hashpartitioning(l_orderkey" in line]
+    assert dealt and all(", 3000)" in line for line in dealt)
+
+
+def test_partitions_grow_with_the_input(own_partitions, monkeypatch):
+    read = sum((Path(SMALL) / f"{t}.parquet").stat().st_size for t in ("lineitem", "orders", "supplier"))
+    monkeypatch.setattr(session, "INPUT_BYTES_PER_PARTITION", 50)
+    latest = all_queries()["dedup_latest"].run(own_partitions, SMALL)
+    dealt = [line for line in _plan(latest).splitlines() if "hashpartitioning(id" in line or "hashpartitioning(l_orderkey" in line]
+    assert read > 1000 * 50
+    assert dealt and all(f", {-(-read // 50)})" in line for line in dealt)
+
+
 @pytest.mark.parametrize("name", ["user_daily_stats", "label_coverage"])
 def test_queries_join_no_side_they_take_nothing_from(no_broadcast, name):
     plan = _plan(all_queries()[name].run(no_broadcast, SMALL))
