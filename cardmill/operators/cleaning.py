@@ -21,9 +21,11 @@ def _present(df: DataFrame, name: str, type_name: str = "string") -> Column:
 
 
 def type_transactions(df: DataFrame) -> DataFrame:
-    """Rename, parse the event time, cast the merchant code; card secrets do not pass."""
+    """Rename, parse the event time, cast the merchant code; card secrets do not pass. A time that is typed stays."""
     typed = df.withColumnsRenamed({"id": "transaction_id", "client_id": "user_id", "use_chip": "use_chip_raw"})
-    typed = typed.withColumns({"transaction_date": fn.event_time(F.col("date")), "mcc": fn.to_int(F.col("mcc"))})
+    typed = typed.withColumn("mcc", fn.to_int(F.col("mcc")))
+    if "date" in df.columns:
+        typed = typed.withColumn("transaction_date", fn.event_time(F.col("date")))
     if "card_number" in df.columns:
         typed = typed.withColumn("card_number_masked", fn.mask_pan(F.col("card_number")))
     return typed.drop("date", "card_number", "cvv")

@@ -11,9 +11,13 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType
 
-from cardmill.operators.cleaning import clean_latest
+from cardmill.functions import event_time
+from cardmill.operators.cleaning import add_event_day, clean_latest
 from cardmill.operators.dedup import latest_with_row_key, restore_key
+from cardmill.operators.packed import pack, unpack
+from cardmill.schemas import RAW
 
 UNKNOWN = "UNKNOWN"
 
@@ -52,17 +56,53 @@ def clean_and_enrich(
     cards: DataFrame | None,
     labels: DataFrame | None,
     tiebreak: Sequence[Column] | None = None,
+    packed: Sequence[str] = (),
 ) -> DataFrame:
     """``enrich_transactions`` of ``clean_transactions``, with the large rows moved twice in their raw, narrow form.
 
     De-duplication and labels share one shuffle by id, cards take the other. Cleaning makes rows half as wide again and
-    comes after both. Sides that are None add nothing: a left join is run even if nothing is taken from it.
+    comes after both. Sides that are None add nothing: a left join is run even if nothing is taken from it. ``packed`` names
+    raw texts that are moved as one: not those of the tiebreak, and only for callers that want all of them.
     """
-    latest = latest_with_row_key(raw.drop("card_number", "is_fraud", *CARD_ATTRIBUTES), "id", ["_loaded_at"], tiebreak)
-    if labels is not None:
-        latest = latest.join(labels.select(F.col("transaction_id").alias("_key"), "is_fraud"), "_key", "left")
-    carded = restore_key(latest, "id")
+    carded = _labelled_latest(raw, labels, tiebreak, packed)
     if cards is not None:
         carded = add_card_attributes(carded, cards)
-    cleaned = clean_latest(carded)
+    cleaned = clean_latest(unpack(carded, packed))
     return cleaned if mcc is None else add_mcc_description(cleaned, mcc)
+
+
+def valid_and_enriched(
+    raw: DataFrame,
+    mcc: DataFrame,
+    cards: DataFrame,
+    labels: DataFrame,
+    columns: Sequence[str],
+    tiebreak: Sequence[Column] | None = None,
+    packed: Sequence[str] = (),
+) -> DataFrame:
+    """The valid rows of ``clean_and_enrich``, cut to ``columns``: rows and columns that go no further aren't moved to the cards.
+
+    Texts that ``raw`` lacks are NULL, so a caller leaves out what none of the columns is made from. Parts of the day are
+    taken from the time again, behind the move.
+    """
+    keyed = raw.filter("id IS NOT NULL")  # rows without an id are never valid
+    latest = unpack(_labelled_latest(keyed, labels, tiebreak, packed), packed)
+    lacking = {c: F.lit(None).cast("string") for c in RAW["transactions"].names if c not in (*latest.columns, "date")}
+    later = ("mcc_description", "year", "month", "day", *CARD_ATTRIBUTES)
+    own = list(dict.fromkeys(("transaction_date", "mcc", "card_id", *(c for c in columns if c not in later))))
+    valid = clean_latest(latest.withColumns(lacking)).filter("is_valid").select(*own)
+    texts = [f.name for f in valid.schema if isinstance(f.dataType, StringType) and f.name != "card_id"]
+    carded = unpack(add_card_attributes(pack(valid, texts), cards), texts)
+    return add_mcc_description(add_event_day(carded), mcc).select(*columns)
+
+
+def _labelled_latest(raw: DataFrame, labels: DataFrame | None, tiebreak: Sequence[Column] | None, packed: Sequence[str]) -> DataFrame:
+    """The newest raw row of each id with its label, times typed and the texts of ``packed`` as one."""
+    own = raw.drop("card_number", "is_fraud", *CARD_ATTRIBUTES)
+    if tiebreak is None:
+        own = own.withColumn("_whole", F.xxhash64(*own.columns))
+    typed = pack(own.withColumn("transaction_date", event_time(F.col("date"))).drop("date"), packed)
+    latest = latest_with_row_key(typed, "id", ["_loaded_at"], tiebreak or [F.col("_whole").asc()]).drop("_whole")
+    if labels is not None:
+        latest = latest.join(labels.select(F.col("transaction_id").alias("_key"), "is_fraud"), "_key", "left")
+    return restore_key(latest, "id")

@@ -221,7 +221,7 @@ _ENRICHED_COLUMNS = [*_CLEANED_COLUMNS, "mcc_description", *enrich.CARD_ATTRIBUT
 
 @query(f"SELECT {', '.join(_ENRICHED_COLUMNS)}, CAST(amount AS DOUBLE) AS amount FROM q_enriched")
 def enrich_transactions(spark: SparkSession, folder: str) -> DataFrame:
-    enriched = tables.enriched_transactions(spark, folder)
+    enriched = tables.enriched_transactions(spark, folder, whole=True)
     return enriched.select(*_ENRICHED_COLUMNS, F.col("amount").cast("double").alias("amount"))
 
 

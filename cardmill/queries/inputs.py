@@ -12,7 +12,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from cardmill import files
-from cardmill.session import size_shuffles
+from cardmill.session import size_shuffles, small_side
 
 TEST_TABLES = (
     "region nation customer supplier part orders lineitem events documents embeddings pages benchmark labels "
@@ -237,7 +237,9 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
 def derive(spark: SparkSession, folder: str, text: str) -> DataFrame:
     used = {t: table(spark, folder, t) for t in TEST_TABLES if "{" + t + "}" in text}
     size_shuffles(spark, sum(files.size(spark, f"{folder}/{t}.parquet") for t in used))
-    if "lineitem" in used:
-        # One row group in the test tables: dealt by key, so that deriving rows is shared by all cores.
+    if "lineitem" in used and len(used) > 1:
+        # One row group in the test tables: dealt by the key of the join, so that deriving rows is shared by all cores.
         used["lineitem"] = used["lineitem"].repartition("l_orderkey")
+        # They aren't moved again for the few suppliers.
+        used.update({t: small_side(used[t], files.size(spark, f"{folder}/{t}.parquet")) for t in used if t not in ("lineitem", "orders")})
     return spark.sql(text, **used)

@@ -10,6 +10,7 @@ from contextlib import contextmanager
 from contextvars import ContextVar
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from cardmill import files
 
@@ -18,6 +19,12 @@ INITIAL_PARTITIONS = "spark.sql.adaptive.coalescePartitions.initialPartitionNum"
 # Rows derived from that much of files packed as the test tables take about 28 MB in a shuffle (5.3 times the bytes).
 INPUT_BYTES_PER_PARTITION = 5 << 20
 
+# A side of a join whose files are no larger is sent to all tasks (the 360 000 suppliers of 6 GB are 8 MB).
+SMALL_TABLE_BYTES = 32 << 20
+
+# Intermediate tables are written and read a few times: small files count more than the time to pack them.
+SCRATCH_CODEC = "zstd"
+
 # Settings that can be changed on a running session. Sizes and executor shape
 # belong to the deployment, so none of them is set here.
 SQL_SETTINGS = {
@@ -123,10 +130,21 @@ def clear_scratch(spark: SparkSession) -> int:
 def materialize(df: DataFrame, label: str) -> DataFrame:
     """Write ``df`` to the scratch folder and read it back: fixed rows, no lineage."""
     path = scratch_path(df.sparkSession, label)
-    df.write.parquet(path)
+    df.write.option("compression", SCRATCH_CODEC).parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def small_side(df: DataFrame, file_bytes: int) -> DataFrame:
+    """Sent to all tasks by a join where its files are known to be small, whatever Spark guesses of it."""
+    return F.broadcast(df) if file_bytes <= SMALL_TABLE_BYTES else df
+
+
+def stored_small_side(df: DataFrame) -> DataFrame:
+    """``small_side`` for a table that ``materialize`` returned."""
+    folders = {file.rsplit("/", 1)[0] for file in df.inputFiles()}
+    return small_side(df, sum(files.size(df.sparkSession, folder) for folder in folders))
+
+
 def drop_table(df: DataFrame) -> None:
     """Delete the files of a table that ``materialize`` returned, before its run ends."""
     for file in df.inputFiles()[:1]:
