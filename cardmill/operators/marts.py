@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from cardmill import functions as fn
 from cardmill.operators import features as feature_ops
+from cardmill.operators.packed import pack, unpack
 
 # Columns of the fact projection, in order.
 FACT_COLUMNS = (
@@ -117,6 +118,10 @@ _MEASURES = {
 }
 
 
+# Texts of the mart's rows that are moved as one: no join or window looks at them.
+_CARRIED = ("amount_currency", "mcc_description", "card_brand", "card_type", "merchant_city", "merchant_state")
+
+
 def fraud_mart(facts: DataFrame, users: DataFrame, features: DataFrame, merchants: DataFrame) -> DataFrame:
     """Facts with the current user version, the features and the merchant's risk.
 
@@ -132,8 +137,9 @@ def fraud_mart(facts: DataFrame, users: DataFrame, features: DataFrame, merchant
         "card_on_dark_web",
     )
     own = [c for c in MART_SOURCE_COLUMNS if c not in ("mcc", "card_on_dark_web")]
-    slim = facts.select(*own).withColumn("amount", F.col("amount").cast("double"))
-    return _with_user_and_merchant(slim.join(measured, "transaction_id", "left"), users, merchants)
+    slim = pack(facts.select(*own), _CARRIED)
+    joined = _with_user_and_merchant(slim.join(measured, "transaction_id", "left"), users, merchants)
+    return unpack(joined, _CARRIED).withColumn("amount", F.col("amount").cast("double")).select(*MART_COLUMNS)
 
 
 def fraud_mart_of(valid: DataFrame, users: DataFrame, merchants: DataFrame) -> DataFrame:
@@ -142,11 +148,13 @@ def fraud_mart_of(valid: DataFrame, users: DataFrame, merchants: DataFrame) -> D
     Features are added to the mart's own rows, which are dealt by user for that: neither they nor the user's columns need
     another shuffle.
     """
-    rows = feature_ops.add_time_and_place_flags(feature_ops.velocity(valid.select(*MART_SOURCE_COLUMNS)))
+    own = [c for c in MART_SOURCE_COLUMNS if c != "mcc"]
+    rows = feature_ops.velocity(pack(valid.select(*own), _CARRIED))
     typed = rows.withColumns(
         {c: F.col(c).cast(kind) if c in rows.columns else F.lit(None).cast(kind) for c, kind in _MEASURES.items()}
     )
-    return _with_user_and_merchant(typed.withColumn("amount", F.col("amount").cast("double")), users, merchants)
+    joined = unpack(_with_user_and_merchant(typed, users, merchants), _CARRIED)
+    return feature_ops.add_time_and_place_flags(joined).withColumn("amount", F.col("amount").cast("double")).select(*MART_COLUMNS)
 
 
 def _with_user_and_merchant(rows: DataFrame, users: DataFrame, merchants: DataFrame) -> DataFrame:
@@ -158,4 +166,4 @@ def _with_user_and_merchant(rows: DataFrame, users: DataFrame, merchants: DataFr
         F.col("fraud_rate").cast("double").alias("merchant_fraud_rate"),
         F.col("risk_tier").alias("merchant_risk_tier"),
     )
-    return rows.join(current, "user_id", "left").join(risk, "merchant_id", "left").select(*MART_COLUMNS)
+    return rows.join(current, "user_id", "left").join(risk, "merchant_id", "left")
