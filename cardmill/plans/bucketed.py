@@ -7,29 +7,45 @@ no mart built from them pays again.
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import DataFrame, SparkSession
 
 from cardmill.operators import features, marts
 from cardmill.plans import history
 from cardmill.plans.layout import Lake
+from cardmill.session import SCRATCH_CODEC
 from cardmill.sources import read_table
 
 KEY = "transaction_id"
 BUCKETS = 256
 
 
-def store(df: DataFrame, name: str, path: str, key: str = KEY, buckets: int = BUCKETS) -> DataFrame:
-    """Write ``df`` as the external table ``name``, one file for each bucket, and read it by name."""
-    dealt = df.repartition(buckets, key)
-    dealt.write.mode("overwrite").option("path", path).bucketBy(buckets, key).sortBy(key).format("parquet").saveAsTable(name)
+# Input that becomes one bucket: about a million rows, which one task sorts.
+BYTES_PER_BUCKET = 40 << 20
+
+
+def bucket_count(input_bytes: int, least: int) -> int:
+    return max(least, math.ceil(input_bytes / BYTES_PER_BUCKET))
+
+
+def store(df: DataFrame, name: str, path: str, key: str = KEY, buckets: int = BUCKETS, dealt: bool = True) -> DataFrame:
+    """Write ``df`` as the external table ``name`` and read it by name.
+
+    One file for each bucket; without ``dealt`` each task adds a file to each bucket it has rows of, and no row is moved:
+    for tables that are read once.
+    """
+    rows = df.repartition(buckets, key) if dealt else df
+    writer = rows.write.mode("overwrite").option("path", path).option("compression", SCRATCH_CODEC)
+    writer.bucketBy(buckets, key).sortBy(key).format("parquet").saveAsTable(name)
     return df.sparkSession.table(name)
 
 
-def store_pair(valid: DataFrame, database: str, folder: str, buckets: int = BUCKETS) -> tuple[DataFrame, DataFrame]:
+def store_pair(valid: DataFrame, database: str, folder: str, buckets: int = BUCKETS, dealt: bool = True) -> tuple[DataFrame, DataFrame]:
     """Valid transactions and their features as two tables in the same buckets."""
     valid.sparkSession.sql(f"CREATE DATABASE IF NOT EXISTS {database}")
-    txns = store(valid, f"{database}.transactions", f"{folder}/transactions", buckets=buckets)
-    built = store(features.fraud_features(txns), f"{database}.features", f"{folder}/features", buckets=buckets)
+    txns = store(valid, f"{database}.transactions", f"{folder}/transactions", buckets=buckets, dealt=dealt)
+    built = store(features.fraud_features(txns), f"{database}.features", f"{folder}/features", buckets=buckets, dealt=dealt)
     return txns, built
 
 
